@@ -33,4 +33,4 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def load_all() -> None:
-    from . import scans  # noqa: F401
+    from . import admission, loads, paths, predicates, registry, routing, scalars, scans, streams  # noqa: F401

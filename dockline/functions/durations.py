@@ -7,6 +7,8 @@ from datetime import timedelta
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..options import spark_datetime_pattern
+
 # PnW or PnDTnHnMnS. Years and months have no fixed length and are refused.
 _ISO = r"^([+-]?)P(?:(\d+(?:\.\d+)?)W)?(?:(\d+(?:\.\d+)?)D)?(?:T(?:(\d+(?:\.\d+)?)H)?(?:(\d+(?:\.\d+)?)M)?(?:(\d+(?:\.\d+)?)S)?)?$"
 _UNIT_SECONDS = ((2, 604800), (3, 86400), (4, 3600), (5, 60), (6, 1))
@@ -99,9 +101,7 @@ def schedule_times(
 
 def date_to_micros(text: Column, strptime_format: str = "%Y%m%d") -> Column:
     """A UTC date text as microseconds since the epoch."""
-    from ..options import spark_datetime_pattern
-
-    return F.unix_micros(F.to_timestamp(text, F.lit(spark_datetime_pattern(strptime_format))))
+    return F.unix_micros(F.to_timestamp(text, spark_datetime_pattern(strptime_format)))
 
 
 def epoch_seconds(moment: Column) -> Column:

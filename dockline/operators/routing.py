@@ -52,7 +52,7 @@ def with_ordinal(rules: DataFrame) -> DataFrame:
 
 def _searched(text: Column, pattern: Column, mode: Column) -> Column:
     """The pattern is found, and a file or marker rule has a name to look at."""
-    return text.rlike(pattern) & ((mode == "folder") | (text != ""))
+    return F.rlike(text, pattern) & ((mode == "folder") | (text != ""))
 
 
 def _inline_matches(events: DataFrame, rules: DataFrame, bucket: str, name: str) -> DataFrame:
@@ -201,7 +201,7 @@ def resolve_single_job(events: DataFrame, rules: DataFrame, event_key: list[str]
 
 def analyze_path(rules: DataFrame, bucket: str, name: str) -> DataFrame:
     """Every rule, and whether one given path would start it, with the reason."""
-    hit = F.lit(name).rlike(F.replace(F.col("source_prefix"), F.lit("(?P<"), F.lit("(?<")))
+    hit = F.rlike(F.lit(name), F.replace(F.col("source_prefix"), F.lit("(?P<"), F.lit("(?<")))
     auto = F.coalesce("auto_trigger", F.lit(True))
     other_bucket = F.col("source_bucket") != bucket
     folder_note = (F.col("mode") == "folder") & ~has_wildcards(F.lit(name)) & ~other_bucket & hit

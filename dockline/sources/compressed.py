@@ -91,7 +91,7 @@ def _lines(spark: SparkSession, paths: list[str], codec: str, recursive: bool) -
 
 def _file_batches(path: str, content: pa.Buffer, codec: str) -> Iterator[pa.RecordBatch]:
     first, pending, rest = True, [], b""
-    for piece in _INFLATE[codec](memoryview(content)):
+    for piece in _INFLATE[codec](memoryview(content).cast("B")):
         *lines, rest = (rest + piece).split(b"\n")
         pending.extend(lines)
         while len(pending) >= _LINES_PER_BATCH:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from dockline.functions.partitions import parse_partition_value, partition_name
 from dockline.plans.load import LoadSpec, convert_format, quarantine_sink, run_load
 from dockline.session import scratch
 from dockline.sinks.table import (
@@ -23,12 +22,11 @@ from .fixtures import (
     ORDERS_SQL,
     ORDERS_TEXT_SCHEMA,
     cents,
-    dated_files,
     flat_orders,
     monthly_orders,
-    naive,
     order_rows,
     orders,
+    plain_folders,
     table,
 )
 from .scans import event_texts
@@ -38,7 +36,7 @@ MONTHS = LoadSpec(
     fmt="delimited",
     delimiter=",",
     schema=ORDERS_TEXT_SCHEMA,
-    partition_regex=r"^/(\d{6})/",
+    partition_regex=r"^/(\d{6})(?:/|$)",
     partition_format="%Y%m",
     path_root="/daily/data",
     table=TableSpec(path="", granularity="MONTH"),
@@ -260,8 +258,6 @@ def load_with_quarantine(spark, sf_dir):
     root = f"{scratch(spark, 'files')}/daily/data"
     rows = orders(spark, sf_dir).withColumn("folder", folder).hint("rebalance", "folder")
     rows.write.partitionBy("folder").csv(root)
-    from .fixtures import plain_folders
-
     plain_folders(root, spark, "folder")
     target, aside = scratch(spark, "table"), scratch(spark, "quarantine")
     spec = months_into(target, on_error="quarantine", quarantine_path=aside)
@@ -273,12 +269,12 @@ def load_with_quarantine(spark, sf_dir):
 
 def with_margin(df, params):
     """A caller's own step between scan and write."""
-    return df.withColumn("margin", F.round(F.col("o_totalprice") * params["rate"], 2)).filter("o_orderstatus = 'F'")
+    return df.withColumn("margin", F.col("o_totalprice") * params["rate"]).filter("o_orderstatus = 'F'")
 
 
 @query(
     "custom_transform",
-    "SELECT o_orderkey, round(o_totalprice * 0.25, 2) AS margin FROM orders WHERE o_orderstatus = 'F'",
+    "SELECT o_orderkey, o_totalprice * CAST(0.25 AS DOUBLE) AS margin FROM orders WHERE o_orderstatus = 'F'",
 )
 def custom_transform(spark, sf_dir):
     root = monthly_orders(spark, sf_dir)

@@ -18,9 +18,8 @@ from dockline.operators.predicates import (
     path_regex_filter,
     recent_window_filter,
 )
-from dockline.operators.routing import match_pairs
 from dockline.sources.events import EVENT_FIELDS, missing_fields, unexpected_fields
-from dockline.sources.scan import add_lineage, drop_lineage, normalize_timestamps
+from dockline.sources.scan import add_lineage, drop_lineage, source_path
 
 from . import query
 from .fixtures import OBJECTS_SQL, ORDERS_SQL, RULES_SQL, dated_files, naive, objects, order_rows, orders, rules, table
@@ -40,7 +39,7 @@ def partition_literal(spark, sf_dir):
 def partition_from_path_query(spark, sf_dir):
     root = dated_files(table(spark, sf_dir, "events").select("event_id", "ts"), "ts", "yyyyMMdd", "parquet")
     scanned = add_lineage(spark.read.option("recursiveFileLookup", "true").parquet(root))
-    value = partition_from_path(F.col("_source_path"), r"/data/(\d{8})/", "%Y%m%d")
+    value = partition_from_path(source_path(), r"/data/(\d{8})/", "%Y%m%d")
     return scanned.select("event_id", naive(value).alias("date"))
 
 

@@ -9,7 +9,7 @@ from dockline.options import parse_separator
 from dockline.session import scratch
 from dockline.sources.events import parse_events, rejected_records, valid_events
 from dockline.sources.manifest import expand_paths, expand_wildcard, object_manifest
-from dockline.sources.scan import SOURCE_PATH, normalize_timestamps, scan
+from dockline.sources.scan import normalize_timestamps, scan, source_path
 
 from . import query
 from .fixtures import (
@@ -164,7 +164,7 @@ def scan_wildcard(spark, sf_dir):
     root = monthly_orders(spark, sf_dir)
     paths = expand_paths(object_manifest(spark, root, "b"), "199[78]0?", root)
     df = scan(spark, paths, "delimited", delimiter=",", schema=ORDERS_TEXT_SCHEMA, lineage=True)
-    month = F.regexp_extract(SOURCE_PATH, r"/daily/data/(\d{6})/", 1)
+    month = F.regexp_extract(source_path(), r"/daily/data/(\d{6})/", 1)
     return df.groupBy(month.alias("month")).agg(F.count(F.lit(1)).alias("n"), cents("o_totalprice").alias("total"))
 
 
@@ -175,7 +175,7 @@ def scan_wildcard(spark, sf_dir):
 def file_lineage(spark, sf_dir):
     root = monthly_orders(spark, sf_dir, "parquet")
     df = scan(spark, root, "parquet", recursive=True, lineage=True)
-    return df.select("o_orderkey", last_segment(F.regexp_replace(SOURCE_PATH, "/[^/]*$", "")).alias("folder"))
+    return df.select("o_orderkey", last_segment(F.regexp_replace(source_path(), "/[^/]*$", "")).alias("folder"))
 
 
 def event_texts(spark, sf_dir):

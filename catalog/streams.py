@@ -2,20 +2,17 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
-
 from pyspark.sql import functions as F
 
-from dockline.plans.load import LoadSpec
 from dockline.session import scratch
-from dockline.sinks.table import TableSpec, read_table
-from dockline.streaming.admission import admit_stateful
+from dockline.sinks.table import read_table
+from dockline.streaming.admission import admit_stateful, late_events
 from dockline.streaming.continuous import ContinuousLoad
 from dockline.streaming.ingest import event_stream, routed_stream
 
 from . import query
 from .admission import DAY, EVENTS_SQL, admission_sql, answers, narrow
-from .fixtures import ORDERS_TEXT_SCHEMA, monthly_orders, objects, orders, rules
+from .fixtures import monthly_orders, objects, orders, rules
 from .loads import MONTHLY_SQL, monthly, months_into
 from .routing import PAIRS_SQL
 
@@ -73,11 +70,21 @@ def admit_events_stream(spark, sf_dir):
     return answers(spark.read.parquet(out))
 
 
-# Every tenth event also arrives again long after, behind an accepted one.
-@query("late_events")
-def late_events(spark, sf_dir):
-    from dockline.streaming.admission import late_events as only_late
-
+# Every tenth event arrives again at the end; it is late unless nothing of its
+# user was accepted after it.
+@query(
+    "late_events",
+    f"""
+    SELECT -e.event_id - 1 AS event_id, 'late' AS status, created_us, scheduled_us, cooldown_us, expire_us
+    FROM events e JOIN (
+      SELECT user_id, max(created_us) AS created_us, max(scheduled_us) AS scheduled_us,
+             max(cooldown_us) AS cooldown_us, max(expire_us) AS expire_us
+      FROM ({admission_sql(EVENTS_SQL, DAY)}) JOIN events USING (event_id) GROUP BY 1
+    ) USING (user_id)
+    WHERE e.event_id % 10 = 0 AND epoch_us(e.ts) < created_us
+    """,
+)
+def late_events_query(spark, sf_dir):
     path, schema = event_files(spark, sf_dir, ["2024-01-15"])
     late = narrow(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp")).filter("event_id % 10 = 0")
     late.withColumn("event_id", -F.col("event_id") - 1).coalesce(1).write.mode("append").parquet(path)
@@ -85,7 +92,7 @@ def late_events(spark, sf_dir):
     admitted = admit_stateful(
         stream, F.col("user_id"), "ts", watermark="60 days", order=["event_id"], content_hash=F.col("event_type"), windows=DAY
     )
-    return only_late(answers(spark.read.parquet(drain(admitted, scratch(spark, "admitted")))))
+    return late_events(answers(spark.read.parquet(drain(admitted, scratch(spark, "admitted")))))
 
 
 @query("continuous_load", MONTHLY_SQL)

@@ -10,9 +10,8 @@ from ..options import java_regex, spark_datetime_pattern
 
 
 def extract_partition(path: Column, regex: str) -> Column:
-    """First capture group of the first match; NULL where nothing matches."""
-    pattern = java_regex(regex, need_group=True)
-    return F.when(path.rlike(pattern), F.regexp_extract(path, pattern, 1))
+    """First capture group of the first match; NULL where nothing is captured."""
+    return F.nullif(F.regexp_extract(path, java_regex(regex, need_group=True), 1), F.lit(""))
 
 
 def parse_partition_value(value: Column, strptime_format: str, column_type: str = "timestamp") -> Column:
@@ -34,18 +33,14 @@ def partition_from_path(
     With ``fail`` a path without a usable value ends the job; otherwise it gives
     NULL, for callers that set such rows aside.
     """
-    text = extract_partition(path, regex)
-    value = parse_partition_value(text, strptime_format, column_type)
-    if not fail:
-        return value
-    missing = F.raise_error(F.concat(F.lit(f"no partition matching {regex} in path "), path))
-    malformed = F.raise_error(F.concat(F.lit(f"partition value not in format {strptime_format}: "), path))
-    kind = "date" if column_type == "date" else "timestamp"
-    return (
-        F.when(value.isNotNull(), value)
-        .when(text.isNull(), missing.cast(kind))
-        .otherwise(malformed.cast(kind))
-    )
+    value = parse_partition_value(extract_partition(path, regex), strptime_format, column_type)
+    return F.coalesce(value, no_partition(path, regex, strptime_format, column_type)) if fail else value
+
+
+def no_partition(path: Column, regex: str, strptime_format: str, column_type: str = "timestamp") -> Column:
+    """Ends the job when it is evaluated; typed like the value it stands for."""
+    message = F.concat(F.lit(f"no partition value by {regex} and {strptime_format} in path "), F.coalesce(path, F.lit("")))
+    return F.raise_error(message).cast("date" if column_type == "date" else "timestamp")
 
 
 def partition_name(value: Column, granularity: str) -> Column:

@@ -75,7 +75,9 @@ def ancestor_folders(path: Column) -> Column:
     )
 
 
-def decoded_file_path(column: Column | str = "_metadata.file_path") -> Column:
+def decoded_file_path(path: Column | None = None) -> Column:
     """A scan's file path with percent escapes resolved (``+`` is literal there)."""
-    path = F.col(column) if isinstance(column, str) else column
-    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    path = F.col("_metadata.file_path") if path is None else path
+    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    # Most paths have no escapes, and decoding costs more than looking.
+    return F.when(F.contains(path, F.lit("%")), decoded).otherwise(path)

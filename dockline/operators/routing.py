@@ -12,7 +12,9 @@ name, and the regex runs only on those candidates.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..functions.paths import ancestor_folders, has_wildcards, trim_slashes
@@ -20,7 +22,7 @@ from ..options import java_regex
 from .classify import classify_paths
 
 # A registry up to this many rules is written into the plan.
-INLINE_RULES = 256
+INLINE_RULES = 64
 # A registry up to this many rules may be broadcast (a few hundred bytes each).
 BROADCAST_RULES = 100_000
 
@@ -50,34 +52,38 @@ def with_ordinal(rules: DataFrame) -> DataFrame:
     return rules.withColumn("ordinal", F.monotonically_increasing_id())
 
 
-def _searched(text: Column, pattern: Column, mode: Column) -> Column:
-    """The pattern is found, and a file or marker rule has a name to look at."""
-    return F.rlike(text, pattern) & ((mode == "folder") | (text != ""))
+def _inline_rules(rules: DataFrame) -> list[Row] | None:
+    """The rules of a small registry, in order; None for a larger one."""
+    columns = ("ordinal", "name", "source_bucket", "source_prefix", "mode", "auto_trigger")
+    listed = rules.select(*columns).limit(INLINE_RULES + 1).collect()
+    return None if len(listed) > INLINE_RULES else sorted(listed, key=lambda rule: rule.ordinal)
+
 
+def _inline_hits(events: DataFrame, listed: list[Row], bucket: str, name: str) -> tuple[DataFrame, Column]:
+    """Events with ``_hits``, positions in the returned constant array of rules.
 
-def _inline_matches(events: DataFrame, rules: DataFrame, bucket: str, name: str) -> DataFrame:
-    # At most INLINE_RULES rows.
-    by_bucket: dict[str, list] = {}
-    for rule in rules.select("ordinal", "name", "source_bucket", "source_prefix", "mode", "auto_trigger").orderBy("ordinal").collect():
-        by_bucket.setdefault(rule.source_bucket, []).append(rule)
+    Positions are plain integers, so matching stays inside generated code.
+    """
+    by_bucket: dict[str, list[tuple[int, Row]]] = {}
+    for position, rule in enumerate(listed):
+        by_bucket.setdefault(rule.source_bucket, []).append((position, rule))
     text = F.coalesce(F.col(name), F.lit(""))
-    branches = F.lit(None).cast(f"array<{_MATCH}>")
+    named = text != ""
+    hits = F.lit(None).cast("array<int>")
     for source_bucket, group in by_bucket.items():
-        hits = [
-            F.when(
-                _searched(text, F.lit(java_regex(rule.source_prefix)), F.lit(rule.mode)),
-                F.struct(
-                    F.lit(rule.ordinal).cast("bigint").alias("ordinal"),
-                    F.lit(rule.name).alias("name"),
-                    F.lit(rule.mode).alias("mode"),
-                    F.lit(rule.auto_trigger is not False).alias("auto_trigger"),
-                ),
-            )
-            for rule in group
-        ]
-        found = F.array_compact(F.array(*hits)).cast(f"array<{_MATCH}>")
-        branches = F.when(F.col(bucket) == source_bucket, found).otherwise(branches)
-    return events.withColumn("matches", F.coalesce(branches, F.array().cast(f"array<{_MATCH}>")))
+        tests = []
+        for position, rule in group:
+            found = F.rlike(text, F.lit(java_regex(rule.source_prefix)))
+            # A file or marker rule needs a name to look at.
+            found = found if rule.mode == "folder" else named & found
+            tests.append(F.when(found, F.lit(position)).otherwise(F.lit(-1)))
+        hits = F.when(F.col(bucket) == source_bucket, F.array_remove(F.array(*tests), F.lit(-1))).otherwise(hits)
+    constant = [
+        {"ordinal": rule.ordinal, "name": rule.name, "mode": rule.mode, "auto_trigger": rule.auto_trigger is not False}
+        for rule in listed
+    ]
+    entries = F.from_json(F.lit(json.dumps(constant)), f"array<{_MATCH}>")
+    return events.withColumn("_hits", F.coalesce(hits, F.array().cast("array<int>"))), entries
 
 
 def match_pairs(
@@ -89,10 +95,13 @@ def match_pairs(
 ) -> DataFrame:
     """One row per event and rule that match, as ``(event columns, rule struct)``."""
     rules = with_ordinal(rules)
-    size = registry_size(rules, BROADCAST_RULES)
-    if size <= INLINE_RULES:
-        matched = _inline_matches(events, rules, bucket, name)
-        return matched.select(*events.columns, F.explode("matches").alias("rule"))
+    listed = _inline_rules(rules)
+    if listed is not None:
+        marked, entries = _inline_hits(events, listed, bucket, name)
+        # The outer form, as the plain one would test every pattern twice: once more
+        # in the filter that is inferred for it.
+        hit = marked.select(*events.columns, F.explode_outer("_hits").alias("_hit"))
+        return hit.filter(F.col("_hit").isNotNull()).select(*events.columns, F.get(entries, F.col("_hit")).alias("rule"))
 
     text = F.coalesce(F.col(name), F.lit(""))
     folders = F.concat(
@@ -112,8 +121,9 @@ def match_pairs(
         ).alias("rule"),
     )
     same = (F.col(bucket) == F.col("_bucket")) & (F.col("_anchor") == F.col("_rule_anchor"))
-    found = _searched(text, F.col("_pattern"), F.col("rule.mode"))
-    if size <= BROADCAST_RULES:
+    # A file or marker rule needs a name to look at.
+    found = F.rlike(text, F.col("_pattern")) & ((F.col("rule.mode") == "folder") | (text != ""))
+    if registry_size(rules, BROADCAST_RULES) <= BROADCAST_RULES:
         joined = keyed.join(F.broadcast(patterns), same & found)
     else:
         # Too many rules to ship everywhere: shuffle both sides. A bucket's events
@@ -133,8 +143,11 @@ def with_matches(
 ) -> DataFrame:
     """Events with ``matches``, the array of their rules in registry order."""
     rules = with_ordinal(rules)
-    if registry_size(rules, INLINE_RULES) <= INLINE_RULES:
-        return _inline_matches(events, rules, bucket, name)
+    listed = _inline_rules(rules)
+    if listed is not None:
+        marked, entries = _inline_hits(events, listed, bucket, name)
+        found = F.transform("_hits", lambda hit: F.get(entries, hit))
+        return marked.withColumn("matches", found).drop("_hits")
     # An event's array is bounded by the registry, not by the events.
     found = (
         match_pairs(events.select(*dict.fromkeys([*event_key, bucket, name])), rules, bucket, name)

@@ -6,14 +6,21 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.partitions import extract_partition, parse_partition_value, partition_from_path
+from ..functions.partitions import (
+    extract_partition,
+    no_partition,
+    parse_partition_value,
+    partition_from_path,
+    partition_name,
+)
 from ..options import has_wildcards
 from ..sinks.storage import refuse_overlap
 from ..sinks.table import (
+    KNOWN_PART_ID,
     TableSpec,
     WriteResult,
     overwrite_partition,
@@ -21,11 +28,14 @@ from ..sinks.table import (
     overwrite_table,
 )
 from ..sources.manifest import expand_paths, object_manifest
-from ..sources.scan import SOURCE_PATH, normalize_timestamps, scan
+from ..sources.scan import SOURCE_PATH, normalize_timestamps, scan, source_files, source_path
 
 MODES = ("table", "partition", "partition_range")
 POLICIES = ("fail", "quarantine")
 
+# File paths with their values, about 300 bytes each, are broadcast up to this many.
+BROADCAST_FILES = 200_000
+
 AUDIT_SCHEMA = T.StructType(
     [
         T.StructField("run_uuid", T.StringType()),
@@ -118,12 +128,13 @@ def run_load(
             value = _path_value(spark, spec, inputs)
             df = df.drop(SOURCE_PATH)
         else:
-            df = with_partition(df, spec)
+            df = with_partition(df, spec, source_files(spark, inputs, spec.recursive))
         if spec.transform is not None:
-            df = spec.transform(df, spec.params)
+            # The caller's step may move rows to other partitions.
+            df = spec.transform(df.drop(KNOWN_PART_ID), spec.params)
         if spec.staging_path:
             df = _staged(df, f"{spec.staging_path}/{run_uuid}")
-        columns = df.columns
+        columns = [c for c in df.columns if c != KNOWN_PART_ID]
         if spec.mode == "partition":
             result = overwrite_partition(df, spec.table, value)
         elif spec.mode == "partition_range":
@@ -139,20 +150,32 @@ def run_load(
     return done
 
 
-def with_partition(df: DataFrame, spec: LoadSpec) -> DataFrame:
-    """The partition column from each row's file path; the path itself is dropped."""
-    value = partition_from_path(
-        _searched(spec), spec.partition_regex, spec.partition_format, spec.table.column_type, spec.on_error == "fail"
-    )
-    column = spec.table.partition_column
+def with_partition(df: DataFrame, spec: LoadSpec, files: DataFrame | None = None) -> DataFrame:
+    """The partition column from each row's file path; the path itself is dropped.
+
+    A path is the same for all rows of a file, and parsing it costs more than
+    reading a row. Given the list of files, it is parsed once per file and joined,
+    unless the files are too many to broadcast.
+    """
+    path = _searched(spec, source_path())
+    column, kind = spec.table.partition_column, spec.table.column_type
+    value = partition_from_path(path, spec.partition_regex, spec.partition_format, kind, fail=False)
+    name = partition_name(F.col("_value"), spec.table.granularity)
+    if files is not None and files.limit(BROADCAST_FILES + 1).count() <= BROADCAST_FILES:
+        values = files.select(SOURCE_PATH, value.alias("_value")).withColumn(KNOWN_PART_ID, name)
+        rows = df.join(F.broadcast(values), SOURCE_PATH, "left")
+    else:
+        rows = df.withColumn("_value", value).withColumn(KNOWN_PART_ID, name)
     kept = [F.col(f"`{c}`") for c in df.columns if c not in (SOURCE_PATH, column)]
-    rows = df.select(*kept, value.alias(column))
-    # Rows without a value are in the quarantine.
-    return rows if spec.on_error == "fail" else rows.filter(F.col(column).isNotNull())
+    if spec.on_error == "quarantine":
+        # Rows without a value have been set aside.
+        return rows.filter(F.col("_value").isNotNull()).select(*kept, F.col("_value").alias(column), KNOWN_PART_ID)
+    missing = no_partition(path, spec.partition_regex, spec.partition_format, kind)
+    return rows.select(*kept, F.coalesce("_value", missing).alias(column), KNOWN_PART_ID)
 
 
-def _searched(spec: LoadSpec, path=None):
-    path = F.col(SOURCE_PATH) if path is None else path
+def _searched(spec: LoadSpec, path: Column) -> Column:
+    """The part of a path in which the partition value stands."""
     if not spec.path_root:
         return path
     return F.substring(path, F.locate(spec.path_root, path) + F.lit(len(spec.path_root)), F.length(path))
@@ -171,20 +194,19 @@ def _path_value(spark: SparkSession, spec: LoadSpec, inputs: list[str]) -> str:
     """The one partition value the input path itself names."""
     if len(inputs) != 1:
         raise ValueError("replacing one partition takes one input path")
-    path = F.lit(inputs[0])
-    value = partition_from_path(_searched(spec, path), spec.partition_regex, spec.partition_format)
+    value = partition_from_path(_searched(spec, F.lit(inputs[0])), spec.partition_regex, spec.partition_format)
     return spark.range(1).select(value.cast("string").alias("value")).head().value
 
 
 def _quarantine(source: DataFrame, spec: LoadSpec, run_uuid: str) -> int:
     """Set aside the rows of files whose path names no partition; their number."""
-    text = extract_partition(_searched(spec), spec.partition_regex)
+    text = extract_partition(_searched(spec, source_path()), spec.partition_regex)
     value = parse_partition_value(text, spec.partition_format, spec.table.column_type)
     data = [c for c in source.columns if c != SOURCE_PATH]
     reason = F.when(text.isNull(), F.lit("no partition in path")).otherwise(F.lit("malformed partition value"))
     rejects = source.filter(value.isNull()).select(
         F.lit(run_uuid).alias("run_uuid"),
-        F.col(SOURCE_PATH).alias("path"),
+        source_path().alias("path"),
         F.to_json(F.struct(*(F.col(f"`{c}`") for c in data))).alias("raw"),
         F.array(reason).alias("reasons"),
     )
@@ -193,8 +215,6 @@ def _quarantine(source: DataFrame, spec: LoadSpec, run_uuid: str) -> int:
 
 def quarantine_sink(rejects: DataFrame, path: str, run: str = "run_uuid") -> int:
     """Store rejected records by run; running again replaces them. Returns their number."""
-    from pyspark.sql import Observation
-
     seen = Observation()
     counted = rejects.observe(seen, F.count(F.lit(1)).alias("rows"))
     counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(run).parquet(path)

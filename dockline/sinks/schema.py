@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,17 +50,15 @@ def relaxed_type(kind: T.DataType) -> T.DataType:
     return kind
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """The load in the table's columns; ones it lacks are NULL."""
+def conformed(df: DataFrame, schema: T.StructType) -> list[Column]:
+    """The load's values for the table's columns; ones it lacks are NULL."""
     present = {c.lower(): c for c in df.columns}
-    return df.select(
-        *(
-            F.col(f"`{present[f.name.lower()]}`").alias(f.name)
-            if f.name.lower() in present
-            else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in schema.fields
-        )
-    )
+    return [
+        F.col(f"`{present[f.name.lower()]}`").alias(f.name)
+        if f.name.lower() in present
+        else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in schema.fields
+    ]
 
 
 def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:

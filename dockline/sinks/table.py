@@ -19,10 +19,15 @@ from pyspark.sql import types as T
 
 from ..constants import PART_ID
 from ..functions.partitions import check_column_type, check_granularity, partition_name
-from .schema import conform, merge_schemas, relaxed, store_schema, stored_schema
+from .schema import conformed, merge_schemas, relaxed, store_schema, stored_schema
 from .storage import Folder
 
 
+# A load may bring each row's partition name along in this column, where it was
+# worked out once per file; otherwise it follows from the partition column.
+KNOWN_PART_ID = "_part_id"
+
+
 @dataclass(frozen=True)
 class TableSpec:
     path: str
@@ -86,12 +91,15 @@ def _write(df: DataFrame, table: TableSpec, part_id: Column | None = None) -> Wr
     spark = df.sparkSession
     if PART_ID in (c.lower() for c in df.columns):
         raise ValueError(f"the input has a column named {PART_ID}")
+    if part_id is None:
+        brought = KNOWN_PART_ID in df.columns
+        part_id = F.col(KNOWN_PART_ID) if brought else partition_name(F.col(table.partition_column), table.granularity)
+    load = T.StructType([f for f in df.schema.fields if f.name != KNOWN_PART_ID])
     known = stored_schema(spark, table.path)
     if known is None and not table.create and not Folder(spark, table.path).exists():
         raise MissingTable(f"table {table.path} does not exist")
-    schema = merge_schemas(known, df.schema) if known is not None else relaxed(df.schema)
-    name = partition_name(F.col(table.partition_column), table.granularity) if part_id is None else part_id
-    rows = _distribute(conform(df, schema).withColumn(PART_ID, name), table)
+    schema = merge_schemas(known, load) if known is not None else relaxed(load)
+    rows = _distribute(df.select(*conformed(df, schema), part_id.alias(PART_ID)), table)
     metrics = Observation()
     # Observed behind the shuffle, in the tasks that write.
     rows = rows.observe(metrics, F.count(F.lit(1)).alias("rows"), F.collect_set(PART_ID).alias("partitions"))

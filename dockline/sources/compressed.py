@@ -18,7 +18,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.paths import decoded_file_path
 from ..session import scratch
 
 SOURCE_PATH = "_source_path"
@@ -78,7 +77,7 @@ def _lines(spark: SparkSession, paths: list[str], codec: str, recursive: bool) -
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", str(recursive).lower())
         .load(paths)
-        .select(decoded_file_path().alias("path"), "content")
+        .select(F.col("_metadata.file_path").alias("path"), "content")
     )
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,8 +30,8 @@ def scan(
     """Read files of one format from one or many paths.
 
     ``codec`` names the compression of files that carry no extension for it; files
-    with one are recognised by the reader itself. ``lineage`` adds the decoded
-    path of each row's file as ``_source_path``. ``recursive`` reads dated
+    with one are recognised by the reader itself. ``lineage`` adds the path of each
+    row's file as ``_source_path``. ``recursive`` reads dated
     sub-folders of any depth; leave it off for ``key=value`` roots.
     """
     if fmt not in FORMATS:
@@ -73,8 +73,25 @@ def scan(
 
 
 def add_lineage(df: DataFrame, name: str = SOURCE_PATH) -> DataFrame:
-    """The path of each row's source file; must sit directly on a file scan."""
-    return df.select("*", decoded_file_path().alias(name))
+    """The path of each row's source file; must sit directly on a file scan.
+
+    As the scan gives it, percent-encoded: see ``source_path`` for reading it.
+    """
+    return df.select("*", F.col("_metadata.file_path").alias(name))
+
+
+def source_path(name: str = SOURCE_PATH) -> Column:
+    """The decoded lineage path."""
+    return decoded_file_path(F.col(name))
+
+
+def source_files(spark: SparkSession, paths: Sequence[str], recursive: bool) -> DataFrame:
+    """One row per input file, its path in the same form as the lineage column.
+
+    Files are listed, not opened.
+    """
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
+    return reader.load(list(paths)).select(F.col("_metadata.file_path").alias(SOURCE_PATH)).distinct()
 
 
 def drop_lineage(df: DataFrame, name: str = SOURCE_PATH) -> DataFrame:

@@ -40,6 +40,12 @@ def rule_anchor(pattern: Column) -> Column:
     return F.when(pattern.contains("|"), F.lit("")).otherwise(F.regexp_extract(pattern, _ANCHOR, 1))
 
 
+def _java_pattern(pattern: Column) -> Column:
+    """``java_regex`` for patterns that stand in a column."""
+    groups = F.replace(pattern, F.lit("(?P<"), F.lit("(?<"))
+    return F.regexp_replace(groups, r"\(\?P=(\w+)\)", r"\\k<$1>")
+
+
 def registry_size(rules: DataFrame, limit: int) -> int:
     """Number of rules, counting no further than just past ``limit``."""
     return rules.limit(limit + 1).count()
@@ -112,7 +118,7 @@ def match_pairs(
     patterns = rules.select(
         F.col("source_bucket").alias("_bucket"),
         rule_anchor(F.col("source_prefix")).alias("_rule_anchor"),
-        F.replace(F.col("source_prefix"), F.lit("(?P<"), F.lit("(?<")).alias("_pattern"),
+        _java_pattern(F.col("source_prefix")).alias("_pattern"),
         F.struct(
             F.col("ordinal").cast("bigint").alias("ordinal"),
             "name",
@@ -214,7 +220,7 @@ def resolve_single_job(events: DataFrame, rules: DataFrame, event_key: list[str]
 
 def analyze_path(rules: DataFrame, bucket: str, name: str) -> DataFrame:
     """Every rule, and whether one given path would start it, with the reason."""
-    hit = F.rlike(F.lit(name), F.replace(F.col("source_prefix"), F.lit("(?P<"), F.lit("(?<")))
+    hit = F.rlike(F.lit(name), _java_pattern(F.col("source_prefix")))
     auto = F.coalesce("auto_trigger", F.lit(True))
     other_bucket = F.col("source_bucket") != bucket
     folder_note = (F.col("mode") == "folder") & ~has_wildcards(F.lit(name)) & ~other_bucket & hit

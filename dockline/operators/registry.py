@@ -24,8 +24,8 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def key_intersection(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys defined on both sides."""
-    return left.select(*keys).intersect(right.select(*keys))
+    """Keys defined on both sides, each reduced before it is shuffled."""
+    return left.select(*keys).distinct().intersect(right.select(*keys).distinct())
 
 
 def registry_union(common: DataFrame, own: DataFrame) -> DataFrame:

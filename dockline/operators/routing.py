@@ -17,7 +17,7 @@ import json
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from ..functions.paths import ancestor_folders, has_wildcards, trim_slashes
+from ..functions.paths import ancestor_folders, has_wildcards
 from ..options import java_regex
 from .classify import classify_paths
 
@@ -164,23 +164,12 @@ def with_matches(
     return events.join(found, event_key, "left").withColumn("matches", F.coalesce("matches", empty))
 
 
-def _folder_rules_hold(pairs: DataFrame, manifest: DataFrame, bucket: str, name: str) -> DataFrame:
-    """Keep folder rules only on paths that are folders (or hold a wildcard)."""
-    text = F.coalesce(F.col(name), F.lit(""))
-    needs_check = (F.col("rule.mode") == "folder") & ~has_wildcards(text)
-    probes = pairs.filter(needs_check).select(F.col(bucket).alias("bucket"), trim_slashes(text).alias("path")).distinct()
-    kinds = classify_paths(probes, manifest).select(
-        F.col("bucket").alias("_bucket"), F.col("path").alias("_path"), "path_class"
-    )
-    return (
-        pairs.join(
-            kinds,
-            needs_check & (F.col(bucket) == F.col("_bucket")) & (trim_slashes(text) == F.col("_path")),
-            "left",
-        )
-        .filter(~needs_check | (F.col("path_class") == "folder"))
-        .drop("_bucket", "_path", "path_class")
-    )
+def _folder_pairs(events: DataFrame, rules: DataFrame, manifest: DataFrame, bucket: str, name: str) -> DataFrame:
+    """Pairs of folder rules whose path is a folder, or holds a wildcard."""
+    pairs = match_pairs(events, rules, bucket, name)
+    probes = pairs.select(F.struct(*pairs.columns).alias("_pair"), F.col(bucket).alias("bucket"), F.col(name).alias("path"))
+    kept = classify_paths(probes, manifest).filter(has_wildcards(F.coalesce("path", F.lit(""))) | (F.col("path_class") == "folder"))
+    return kept.select("_pair.*")
 
 
 def route_events(
@@ -194,10 +183,15 @@ def route_events(
 
     With a manifest, folder rules also need the event's path to be a folder.
     """
-    started = rules.filter(F.coalesce("auto_trigger", F.lit(True)))
-    pairs = match_pairs(events, started, bucket, name)
-    if manifest is not None:
-        pairs = _folder_rules_hold(pairs, manifest, bucket, name)
+    started = with_ordinal(rules).filter(F.coalesce("auto_trigger", F.lit(True)))
+    folder_rules = started.filter("mode = 'folder'")
+    if manifest is None or registry_size(folder_rules, 0) == 0:
+        pairs = match_pairs(events, started, bucket, name)
+    else:
+        # Only the pairs of folder rules have to meet the listing.
+        pairs = match_pairs(events, started.filter("mode <> 'folder'"), bucket, name).unionByName(
+            _folder_pairs(events, folder_rules, manifest, bucket, name)
+        )
     return pairs.select(
         *events.columns,
         F.col("rule.name").alias("job"),

@@ -35,6 +35,8 @@ POLICIES = ("fail", "quarantine")
 
 # File paths with their values, about 300 bytes each, are broadcast up to this many.
 BROADCAST_FILES = 200_000
+# Up to this many files without a partition value are read by name.
+REREAD_FILES = 1_000
 
 AUDIT_SCHEMA = T.StructType(
     [
@@ -108,27 +110,18 @@ def run_load(
     try:
         inputs = [p for path in inputs for p in _expand(spark, path)]
         refuse_overlap(spark, inputs, spec.table.path)
-        source = scan(
-            spark,
-            inputs,
-            spec.fmt,
-            delimiter=spec.delimiter,
-            has_header=spec.has_header,
-            schema=spec.schema,
-            codec=spec.codec,
-            recursive=spec.recursive,
-            lineage=True,
-        )
+        source = _source(spark, spec, inputs, spec.schema)
         if dry_run:
             columns = [c for c in source.columns if c != SOURCE_PATH]
             return _audit(spark, spec, run_uuid, inputs, columns, None, None, "dry_run", None, started)
-        rejected = _quarantine(source, spec, run_uuid) if spec.on_error == "quarantine" else 0
+        files = source_files(spark, inputs, spec.recursive)
+        rejected = _quarantine(source, files, spec, run_uuid) if spec.on_error == "quarantine" else 0
         df = normalize_timestamps(source)
         if spec.mode == "partition":
             value = _path_value(spark, spec, inputs)
             df = df.drop(SOURCE_PATH)
         else:
-            df = with_partition(df, spec, source_files(spark, inputs, spec.recursive))
+            df = with_partition(df, spec, files)
         if spec.transform is not None:
             # The caller's step may move rows to other partitions.
             df = spec.transform(df.drop(KNOWN_PART_ID), spec.params)
@@ -198,16 +191,38 @@ def _path_value(spark: SparkSession, spec: LoadSpec, inputs: list[str]) -> str:
     return spark.range(1).select(value.cast("string").alias("value")).head().value
 
 
-def _quarantine(source: DataFrame, spec: LoadSpec, run_uuid: str) -> int:
-    """Set aside the rows of files whose path names no partition; their number."""
+def _source(spark: SparkSession, spec: LoadSpec, paths: list[str], schema: str | T.StructType | None) -> DataFrame:
+    return scan(
+        spark,
+        paths,
+        spec.fmt,
+        delimiter=spec.delimiter,
+        has_header=spec.has_header,
+        schema=schema,
+        codec=spec.codec,
+        recursive=spec.recursive,
+        lineage=True,
+    )
+
+
+def _quarantine(source: DataFrame, files: DataFrame, spec: LoadSpec, run_uuid: str) -> int:
+    """Set aside the rows of files whose path names no partition; their number.
+
+    The file list tells which files those are, so usually only they are read.
+    """
     text = extract_partition(_searched(spec, source_path()), spec.partition_regex)
     value = parse_partition_value(text, spec.partition_format, spec.table.column_type)
-    data = [c for c in source.columns if c != SOURCE_PATH]
+    data = T.StructType([f for f in source.schema.fields if f.name != SOURCE_PATH])
+    bad = [row.path for row in files.filter(value.isNull()).select(source_path().alias("path")).limit(REREAD_FILES + 1).collect()]
+    if not bad:
+        return 0
+    if len(bad) <= REREAD_FILES and not any(set(path) & set("*?[]{}\\") for path in bad):
+        source = _source(source.sparkSession, spec, bad, data)
     reason = F.when(text.isNull(), F.lit("no partition in path")).otherwise(F.lit("malformed partition value"))
     rejects = source.filter(value.isNull()).select(
         F.lit(run_uuid).alias("run_uuid"),
         source_path().alias("path"),
-        F.to_json(F.struct(*(F.col(f"`{c}`") for c in data))).alias("raw"),
+        F.to_json(F.struct(*(F.col(f"`{c}`") for c in data.names))).alias("raw"),
         F.array(reason).alias("reasons"),
     )
     return quarantine_sink(rejects, spec.quarantine_path)

@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -61,6 +61,11 @@ class ContinuousLoad:
         self._write(rejected_records(parsed), "rejected", batch_id)
         self._write(nameless_events(events, self.rules), "nameless", batch_id)
         self._write(self.decide(events, batch_id), "decisions", batch_id)
+        # One row per batch, so that nothing has to search the decisions for it.
+        written = self._read("decisions")
+        if written is not None:
+            tick = written.filter(F.col("batch_id").cast("bigint") == batch_id).agg(F.unix_micros(F.max("at")).alias("tick"))
+            self._write(tick.filter("tick IS NOT NULL").coalesce(1), "clock", batch_id)
         if self.run_due:
             self._run(batch_id)
 
@@ -113,15 +118,17 @@ class ContinuousLoad:
         )
 
     def _run(self, batch_id: int) -> None:
-        """Load what has become due and has not run in an earlier batch."""
+        """Load what has become due since the clock of the batch before."""
+        now, before = self._clock(batch_id), self._clock(batch_id - 1)
         ledger = self._ledger(before=batch_id + 1)
-        now = self._clock()
         if ledger is None or now is None:
             return
-        due = due_tasks(ledger_records(ledger.withColumn("status", F.lit(ACCEPTED))), now)
-        done = self._read("runs", before=batch_id)
-        if done is not None:
-            due = due.join(done.select("task_id"), "task_id", "left_anti")
+        due = due_tasks(ledger, F.timestamp_micros(F.lit(now).cast("bigint")))
+        if before is not None:
+            # Tasks of earlier batches that were due then have run then.
+            fresh = F.col("batch_id").cast("bigint") == batch_id
+            due = due.filter(fresh | (F.col("scheduled_at") > F.timestamp_micros(F.lit(before).cast("bigint"))))
+        due = ledger_records(due.withColumn("status", F.lit(ACCEPTED)))
         source = F.when(F.col("mode") == "marker", strip_filename(F.col("name"))).otherwise(F.col("name"))
         due = due.select("task_id", "job", "bucket", source.alias("path"), "scheduled_at")
         # One row per job and path, the reader needs them here; jobs are few.
@@ -154,11 +161,24 @@ class ContinuousLoad:
         found = self._read("decisions", before)
         return None if found is None else found.filter(F.col("status") == ACCEPTED)
 
-    def _clock(self) -> Column | None:
-        """Event time so far: the latest time any decision was made for."""
-        found = self._read("decisions")
-        latest = None if found is None else found.agg(F.unix_micros(F.max("at")).alias("t")).head().t
-        return None if latest is None else F.timestamp_micros(F.lit(latest).cast("bigint"))
+    def _clock(self, batch_id: int) -> int | None:
+        """Event time up to a batch: the latest time any decision was made for."""
+        ticks = self._read("clock", before=batch_id + 1)
+        return None if ticks is None else ticks.agg(F.max("tick").alias("tick")).head().tick
+
+    def forget_expired(self) -> list[str]:
+        """Drop the batches of decisions of which every task has expired."""
+        found, ticks = self._read("decisions"), self._read("clock")
+        if found is None or ticks is None:
+            return []
+        now = ticks.agg(F.max("tick").alias("tick")).head().tick
+        # A refused event carries the expiry of the task that held it back.
+        alive = F.max(F.unix_micros("expire_at") > now).alias("alive")
+        gone = [str(r.batch_id) for r in found.groupBy("batch_id").agg(alive).filter("NOT alive").collect()]
+        folder = Folder(self.spark, f"{self.state}/decisions")
+        for batch_id in gone:
+            folder.remove(f"batch_id={batch_id}")
+        return sorted(gone, key=int)
 
     def _read(self, name: str, before: int | None = None) -> DataFrame | None:
         path = f"{self.state}/{name}"

@@ -144,7 +144,12 @@ def partition_granularity(spark, sf_dir):
     events = normalize_timestamps(table(spark, sf_dir, "events"))
     parts = []
     for unit in ("HOUR", "DAY", "MONTH", "YEAR"):
-        target = TableSpec(path=scratch(spark, "table"), partition_column="ts", granularity=unit)
+        target = TableSpec(
+            path=scratch(spark, "table"),
+            partition_column="ts",
+            granularity=unit,
+            tasks=spark.sparkContext.defaultParallelism,
+        )
         overwrite_table(events, target)
         written = read_table(spark, target.path, with_part_id=True)
         parts.append(written.groupBy(F.lit(unit.lower()).alias("unit"), "part_id").agg(F.count(F.lit(1)).alias("n")))

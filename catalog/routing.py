@@ -32,7 +32,8 @@ FROM ({OBJECTS_SQL}) o JOIN {RULES_SQL.replace('AS rules(', 'AS r(')}
 
 @query("route_events", f"SELECT o_orderkey, job, mode, ordinal FROM ({PAIRS_SQL}) WHERE auto_trigger")
 def route_events_query(spark, sf_dir):
-    return route_events(objects(spark, sf_dir), rules(spark)).select("o_orderkey", "job", "mode", "ordinal")
+    routed = route_events(objects(spark, sf_dir), rules(spark))
+    return routed.select("o_orderkey", "job", "mode", F.col("ordinal").cast("int").alias("ordinal"))
 
 
 USER_OBJECTS_SQL = """

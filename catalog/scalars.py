@@ -194,7 +194,7 @@ def date_to_micros(spark, sf_dir):
     "iso_duration",
     """
     SELECT event_id, user_id * 86400 + (event_id % 24) * 3600 + (event_id % 60) * 60 + value AS seconds,
-           604800.0 * user_id AS weeks, TRUE AS month_refused, TRUE AS empty_refused
+           CAST(604800 * user_id AS DOUBLE) AS weeks, TRUE AS month_refused, TRUE AS empty_refused
     FROM events
     """,
 )

@@ -36,6 +36,9 @@ class TableSpec:
     column_type: str = "timestamp"
     cluster_by: Sequence[str] = field(default_factory=tuple)
     create: bool = True
+    # Number of write tasks. By default Spark sizes tasks by bytes, which gives too few
+    # where a load has very many tiny partitions: each of them costs a file.
+    tasks: int | None = None
     # Upper bound of rows in one file, for partitions that are much larger than others.
     max_records_per_file: int = 0
 
@@ -116,21 +119,19 @@ def _write(df: DataFrame, table: TableSpec, part_id: Column | None = None) -> Wr
 def _distribute(df: DataFrame, table: TableSpec) -> DataFrame:
     """Few files per partition, none of them huge.
 
-    Without clustering, rows are rebalanced by partition: small partitions share a
-    task and a partition too large for one task is split. With clustering, rows
-    are range-partitioned by partition and fields, so files cover narrow ranges
-    that readers skip by their statistics; the trailing hash splits hot values.
+    Usually rows are rebalanced by partition: small partitions share a task and a
+    partition too large for one task is split. With clustering or a given number of
+    tasks, rows are range-partitioned by partition and fields; files then cover
+    narrow ranges that readers skip by their statistics. The trailing hash splits
+    hot values and large partitions. This samples the input first.
     """
-    if not table.cluster_by:
+    if not table.cluster_by and not table.tasks:
         return df.hint("rebalance", PART_ID)
     plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     keys = [PART_ID, *table.cluster_by]
-    return (
-        df.withColumn("_spread", F.xxhash64(*plain))
-        .repartitionByRange(*keys, "_spread")
-        .drop("_spread")
-        .sortWithinPartitions(*keys)
-    )
+    spread = df.withColumn("_spread", F.xxhash64(*plain))
+    ranged = spread.repartitionByRange(*([table.tasks] if table.tasks else []), *keys, "_spread")
+    return ranged.drop("_spread").sortWithinPartitions(*keys)
 
 
 def _drop_partitions(spark: SparkSession, table: TableSpec, keep: list[str]) -> None:

@@ -45,11 +45,26 @@ def duck_rows(db, sql: str):
     return [d[0] for d in cursor.description], cursor.fetchall()
 
 
+TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+    "date": "DATE",
+}
+
+
 def compare(df, db, sql: str) -> str | None:
     """None when equal, else what differs."""
     columns, expected = duck_rows(db, sql)
     if sorted(df.columns) != sorted(columns):
         return f"columns {sorted(df.columns)} != {sorted(columns)}"
+    theirs = {row[0]: row[1] for row in db.execute(f"DESCRIBE {sql}").fetchall()}
+    mine = {f.name: TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    if mine != theirs:
+        return f"types {dict(mine.items() - theirs.items())} != {dict(theirs.items() - mine.items())}"
     mine, theirs = normal(df.columns, df.collect()), normal(columns, expected)
     if len(mine) != len(theirs):
         return f"{len(mine)} rows != {len(theirs)}"

@@ -19,7 +19,9 @@ from dataclasses import dataclass
 from datetime import timedelta
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,7 +39,8 @@ from ..constants import (
     PENDING,
 )
 from ..functions.durations import to_micros, window_or_default
-from ..session import enable_checkpoints
+from ..session import enable_checkpoints, scratch
+from .fold import Rows
 
 
 class Task(NamedTuple):
@@ -102,11 +105,48 @@ def accept(at: int, uid, digest, force, double_tap: int, cooldown: int, ttl: int
 # Names of the prepared columns, in the order the fold reads them.
 _INPUTS = ("_key", "_seed", "_at", "_uid", "_digest", "_force", "_double_tap", "_cooldown", "_ttl", "_delay", "_sched", "_until", "_expire")
 _OUTPUTS = ("_created", "_scheduled", "_cooldown_until", "_expire_at")
-_EXIT = "slice int, key string, settled boolean, created bigint, scheduled bigint, until bigint, expire bigint, uid string, digest string"
 
 
-def _columns(batch: pa.RecordBatch) -> list[list]:
-    return [batch.column(name).to_pylist() for name in _INPUTS]
+def fold_batch(
+    batch: pa.RecordBatch, key: str, state: Task | None
+) -> tuple[pa.Array, list[pa.Array], str, Task | None]:
+    """Answers for a sorted batch, given the last key before it and its state.
+
+    Returns the statuses, the task times, and the same two for what follows.
+    """
+    columns = {name: batch.column(name) for name in _INPUTS}
+    carried = state is not None and columns["_key"][0].as_py() == key
+    if carried:
+        columns = _with_states(columns, key, [state])
+    rows = Rows(columns)
+    if rows.uniform():
+        accepted = rows.accepted(rows.successors())
+    else:
+        accepted = _accepted_one_by_one(columns)
+    status, holder = rows.answers(accepted)
+    skip = int(carried)
+    times = [pa.array(values[holder][skip:]) for values in (rows.at, rows.sched, rows.until, rows.expire)]
+    state = _task(rows, columns, int(holder[-1]))
+    return pa.array(status[skip:], pa.string()), times, columns["_key"][-1].as_py(), state
+
+
+def _accepted_one_by_one(columns: dict[str, pa.Array]) -> np.ndarray:
+    """The accepted rows where the windows of a key differ between its events."""
+    marks, current, state = [], None, None
+    for k, seed, when, u, d, f, dt, cd, ttl, delay, sched, until, expire in zip(
+        *(columns[name].to_pylist() for name in _INPUTS)
+    ):
+        if k != current:
+            current, state = k, None
+        if seed:
+            state = Task(when, sched, until, expire, u, d)
+        elif decide(state, when, u, d, f, dt, cd) == ACCEPTED:
+            state = accept(when, u, d, f, dt, cd, ttl, delay)
+        else:
+            marks.append(False)
+            continue
+        marks.append(True)
+    return np.array(marks, bool)
 
 
 def prepare(
@@ -123,7 +163,7 @@ def prepare(
     none_text, none_micros = F.lit(None).cast("string"), F.lit(None).cast("bigint")
     return events.select(
         "*",
-        key.cast("string").alias("_key"),
+        F.coalesce(key.cast("string"), F.lit("")).alias("_key"),
         F.lit(False).alias("_seed"),
         F.unix_micros(at.cast("timestamp")).alias("_at"),
         (none_text if uid is None else uid.cast("string")).alias("_uid"),
@@ -189,32 +229,15 @@ def admit(
     entries = _boundary_states(ordered, seeded=last is not None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, state = None, None
+        key, state = None, None
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            values = _columns(batch)
-            if current is None:
-                current = values[0][0]
-                state = entries.get(batch.column("_slice")[0].as_py())
-            out: list[tuple] = []
-            for k, seed, when, u, d, f, dt, cd, ttl, delay, sched, until, expire in zip(*values):
-                if k != current:
-                    current, state = k, None
-                if seed:
-                    state = Task(when, sched, until, expire, u, d)
-                    out.append((None, None, None, None, None))
-                    continue
-                status = decide(state, when, u, d, f, dt, cd)
-                if status == ACCEPTED:
-                    state = accept(when, u, d, f, dt, cd, ttl, delay)
-                out.append((status, *state[:4]))
-            answers = list(zip(*out))
+            if key is None:
+                key, state = batch.column("_key")[0].as_py(), entries.get(batch.column("_slice")[0].as_py())
+            status, times, key, state = fold_batch(batch, key, state)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(name) for name in columns]
-                + [pa.array(answers[0], pa.string())]
-                + [pa.array(answer, pa.int64()) for answer in answers[1:]],
-                names=[*columns, "status", *_OUTPUTS],
+                [batch.column(name) for name in columns] + [status, *times], names=[*columns, "status", *_OUTPUTS]
             )
 
     folded = ordered.mapInArrow(run, output_schema(events.schema)).filter(F.col("status").isNotNull())
@@ -238,10 +261,37 @@ def task_times(folded: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
+class Slice(NamedTuple):
+    """What is known of a slice that hands its last key on."""
+
+    first: int
+    last: int
+    longest_cooldown: int
+    least_cooldown: int
+    least_tap: int
+    forced: bool
+    uids: bool
+    low_digest: str | None
+    high_digest: str | None
+
+    def passes(self, state: Task) -> bool:
+        """Certain to accept nothing after this state."""
+        if self.last > state.created + self.least_cooldown:
+            return False
+        if self.last < state.created + self.least_tap:
+            return True
+        # Without a digest there is nothing to differ; equal ends mean one digest.
+        quiet = not self.uids and {self.low_digest, self.high_digest} <= {None, state.digest}
+        return not self.forced and (self.last < state.scheduled or (quiet and self.last < state.until))
+
+
 def _boundary_states(ordered: DataFrame, seeded: bool) -> dict[int, Task]:
     """State in which each slice that starts inside a key must start.
 
-    Only per-slice facts come to the driver: two keys and one state each.
+    A slice that takes a key over and hands it on maps entry states to exit states.
+    That map is worked out for all slices at once, for the states the slice before
+    can possibly end with; what the map does not cover is folded on demand. Only
+    facts per slice and a bounded number of states come to the driver.
     """
     bounds = (
         ordered.groupBy("_slice").agg(F.min("_key").alias("low"), F.max("_key").alias("high")).orderBy("_slice").collect()
@@ -249,65 +299,160 @@ def _boundary_states(ordered: DataFrame, seeded: bool) -> dict[int, Task]:
     crossings = [(p._slice, q._slice, p.high) for p, q in zip(bounds, bounds[1:]) if p.high == q.low]
     if not crossings:
         return {}
-    # Slices that hold nothing but one key and hand it on.
-    through = {left for left, _, key in crossings} & {right for _, right, key in crossings}
+    taken_over = {right for _, right, _ in crossings}
     whole = {b._slice for b in bounds if b.low == b.high}
-    through &= whole
+    handed_on = {left: key for left, _, key in crossings}
+    through = taken_over & whole & handed_on.keys()
+
+    # Only the keys that cross, and only what the fold reads, by slice: a round then
+    # touches the slices it is about.
+    spark = ordered.sparkSession
+    path = scratch(spark, "boundary")
+    keys = F.broadcast(spark.createDataFrame(list(handed_on.items()), "_slice int, _key string"))
+    numbered = ordered.select("_slice", *_INPUTS, F.monotonically_increasing_id().alias("_row"))
+    numbered.join(keys, ["_slice", "_key"], "left_semi").write.partitionBy("_slice").parquet(path)
+    rows = spark.read.parquet(path)
+    digest, event = F.nullif("_digest", F.lit("")), ~F.col("_seed")
+    facts = rows.groupBy(F.col("_slice").cast("int").alias("_slice")).agg(
+        F.min("_at").alias("first"),
+        F.max("_at").alias("last"),
+        F.max("_cooldown").alias("longest_cooldown"),
+        F.coalesce(F.min(F.when(event, F.col("_cooldown"))), F.lit(0)).alias("least_cooldown"),
+        F.coalesce(F.min(F.when(event, F.col("_double_tap"))), F.lit(0)).alias("least_tap"),
+        F.bool_or("_force").alias("forced"),
+        F.bool_or(F.coalesce("_uid", F.lit("")) != "").alias("uids"),
+        F.min(digest).alias("low_digest"),
+        F.max(digest).alias("high_digest"),
+    )
+    slices = {r._slice: Slice(*r[1:]) for r in facts.collect()}
+
+    known: dict[tuple[int, Task | None], Task | None] = {}
+    # Slices that start the key themselves, and those long enough to forget their entry.
+    fresh = {s: [None] for s in slices if s not in through}
+    long = {s for s in through if not seeded and slices[s].last - slices[s].first > slices[s].longest_cooldown}
+    share = SPECULATIVE_STATES // max(len(long), 1)
+    possible: dict[int, list[Task]] = {}
+    for number, entry, state in _exits(rows, fresh, long, share):
+        if entry is None:
+            possible.setdefault(number, []).append(state)
+        else:
+            known[number, None] = state
+            possible[number] = [state]
+    ahead = {right: possible[left] for left, right, _ in crossings if right in long and possible.get(left)}
+    for number, entry, state in _exits(rows, ahead, set(), 0):
+        known[number, ahead[number][entry]] = state
 
     entries: dict[int, Task] = {}
-    exits: dict[int, Task | None] = {}
-    settled: dict[int, bool] = {}
-    pending = {left for left, _, _ in crossings}
-    handed_on = {left: key for left, _, key in crossings}
-    while pending:
-        for row in _run_exits(ordered, pending, handed_on, {s: entries[s] for s in through & entries.keys()}).collect():
-            exits[row.slice] = (
-                None if row.created is None else Task(row.created, row.scheduled, row.until, row.expire, row.uid, row.digest)
-            )
-            settled[row.slice] = row.settled and not seeded
-        pending = set()
+    while True:
+        wanted: dict[int, list[Task]] = {}
+        exits = {s: known[s, None] for s in fresh}
         for left, right, _ in crossings:
-            if entries.get(right) != exits[left]:
-                entries[right] = exits[left]
-                if right in through and not settled.get(right):
-                    pending.add(right)
-    return entries
+            if left not in exits:
+                # Behind a slice that is still to be folded.
+                continue
+            state = entries[right] = exits[left]
+            if right not in through:
+                continue
+            if slices[right].passes(state):
+                exits[right] = state
+            elif (right, state) in known:
+                exits[right] = known[right, state]
+            else:
+                wanted[right] = [state]
+        if not wanted:
+            return entries
+        for number, entry, state in _exits(rows, wanted, set(), 0):
+            known[number, wanted[number][entry]] = state
+
+
+# Budget of exit states that may be tried ahead, over all slices.
+SPECULATIVE_STATES = 200_000
+
+_EXIT = T.StructType(
+    [T.StructField("slice", T.IntegerType()), T.StructField("entry", T.IntegerType())]
+    + [T.StructField(name, T.LongType()) for name in ("created", "scheduled", "until", "expire")]
+    + [T.StructField("uid", T.StringType()), T.StructField("digest", T.StringType())]
+)
 
 
-def _run_exits(ordered: DataFrame, slices: set[int], handed_on: dict[int, str], entries: dict[int, Task]) -> DataFrame:
-    """Per slice, the state its last key leaves it with."""
-    rows = ordered.filter(
-        F.col("_slice").isin(sorted(slices)) & F.col("_key").isin(sorted({handed_on[s] for s in slices}))
-    ).select("_slice", *_INPUTS)
+def _exits(
+    rows: DataFrame, entries: dict[int, list[Task | None]], unknown: set[int], share: int
+) -> list[tuple[int, int | None, Task]]:
+    """The states slices end with: ``(slice, number of the entry state, exit)``.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, state, settled, previous, seen = None, None, False, None, False
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            if number is None:
-                number = batch.column("_slice")[0].as_py()
-            for k, seed, when, u, d, f, dt, cd, ttl, delay, sched, until, expire in zip(*_columns(batch)):
-                if k != handed_on[number]:
-                    # An earlier key of this slice: the last one starts afresh.
-                    settled, seen = True, True
-                    continue
-                if not seen:
-                    state, seen = entries.get(number), True
-                if seed:
-                    state = Task(when, sched, until, expire, u, d)
-                    continue
-                if previous is not None and previous < when - cd:
-                    # Accepted whatever came before.
-                    settled = True
-                previous = when
-                if decide(state, when, u, d, f, dt, cd) == ACCEPTED:
-                    state = accept(when, u, d, f, dt, cd, ttl, delay)
-        if number is not None:
-            fields = state or (None,) * 6
-            row = [number, handed_on[number], settled, *fields]
-            kinds = [pa.int32(), pa.string(), pa.bool_(), *([pa.int64()] * 4), pa.string(), pa.string()]
-            names = ["slice", "key", "settled", "created", "scheduled", "until", "expire", "uid", "digest"]
-            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds)], names=names)
-
-    return rows.mapInArrow(run, _EXIT)
+    For slices in ``unknown``, every state they can end with, whatever the entry,
+    without a number; nothing if there are more than ``share``.
+    """
+    numbers = sorted(entries.keys() | unknown)
+    if not numbers:
+        return []
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("_row").combine_chunks()
+        number = int(table.column("_slice")[0].as_py())
+        # One slice of one key, cut to a bounded size by the range partitioning.
+        columns = {name: pc.cast(table.column(name), _ARROW[name]).combine_chunks() for name in _INPUTS}
+        found = exits_of_any(columns, share) if number in unknown else exits_after(columns, entries[number])
+        fields = list(zip(*((number, entry, *state) for entry, state in found))) or [[]] * len(_EXIT.fields)
+        return pa.table([pa.array(list(v), t) for v, t in zip(fields, _EXIT_ARROW)], names=_EXIT.names)
+
+    chosen = rows.filter(F.col("_slice").isin(numbers))
+    return [(r.slice, r.entry, Task(*r[2:])) for r in chosen.groupBy("_slice").applyInArrow(run, _EXIT).collect()]
+
+
+_EXIT_ARROW = [pa.int32(), pa.int32(), *([pa.int64()] * 4), pa.string(), pa.string()]
+_ARROW = {name: pa.int64() for name in _INPUTS} | {
+    "_key": pa.string(), "_uid": pa.string(), "_digest": pa.string(), "_seed": pa.bool_(), "_force": pa.bool_(),
+}
+
+
+def exits_of_any(columns: dict[str, pa.Array], share: int) -> list[tuple[None, Task]]:
+    """Every state a slice of one key can end with."""
+    rows = Rows(columns)
+    if not rows.uniform():
+        return []
+    ends = np.unique(rows.ends(rows.successors())[: rows.possible_starts()])
+    return [(None, _task(rows, columns, int(end))) for end in ends] if len(ends) <= share else []
+
+
+def exits_after(columns: dict[str, pa.Array], entries: list[Task | None]) -> list[tuple[int, Task]]:
+    """The state a slice of one key ends with, for each state it may start in."""
+    given = [entry for entry in entries if entry is not None]
+    started = _with_states(columns, columns["_key"][0].as_py(), given)
+    rows = Rows(started)
+    if rows.uniform():
+        ends = rows.ends(rows.successors())
+        # Entry states are the leading rows; without one, the first event starts.
+        return [(i, _task(rows, started, int(ends[i]))) for i in range(len(entries))]
+    found = []
+    for number, entry in enumerate(entries):
+        alone = _with_states(columns, columns["_key"][0].as_py(), [] if entry is None else [entry])
+        accepted = np.flatnonzero(_accepted_one_by_one(alone))
+        found.append((number, _task(Rows(alone), alone, int(accepted[-1]))))
+    return found
+
+
+def _with_states(columns: dict[str, pa.Array], key: str, states: list[Task]) -> dict[str, pa.Array]:
+    """The columns of a sorted batch with states of its first key put in front."""
+    if not states:
+        return columns
+    front = [
+        dict(_key=key, _seed=True, _at=s.created, _uid=s.uid, _digest=s.digest, _force=False)
+        | dict(_sched=s.scheduled, _until=s.until, _expire=s.expire)
+        for s in states
+    ]
+    return {
+        name: pa.concat_arrays([pa.array([row.get(name) for row in front], column.type), column])
+        for name, column in columns.items()
+    }
+
+
+def _task(rows: Rows, columns: dict[str, pa.Array], row: int) -> Task:
+    return Task(
+        int(rows.at[row]),
+        int(rows.sched[row]),
+        int(rows.until[row]),
+        int(rows.expire[row]),
+        columns["_uid"][row].as_py(),
+        columns["_digest"][row].as_py(),
+    )

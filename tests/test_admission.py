@@ -90,6 +90,43 @@ def test_batch_equals_the_walk(spark, windows, uids, slices):
     assert collected(run(df, windows, slices=slices)) == walk(rows, windows)
 
 
+@pytest.fixture
+def small_batches(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "37")
+    yield
+    spark.conf.set(name, before)
+
+
+@pytest.mark.parametrize("windows, uids", CASES)
+def test_state_goes_from_batch_to_batch(spark, small_batches, windows, uids):
+    rows = make_events(1500, 6, 3000, seed=13, uids=uids, hot=0.7)
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert collected(run(df, windows, slices=5)) == walk(rows, windows)
+
+
+def test_copies_of_one_event(spark, small_batches):
+    """A third of all events repeat one uid."""
+    w, _ = CASES[0]
+    rows = make_events(900, 2, 1500, seed=19, uids=True)
+    rows = [(i, k, t, "copy" if i % 3 == 0 else u, d, f) for i, k, t, u, d, f in rows]
+    assert collected(run(spark.createDataFrame(rows, SCHEMA), w, slices=4)) == walk(rows, w)
+
+
+def test_windows_that_change_within_a_key(spark, small_batches):
+    """Each event brings its own windows; even ids are more patient."""
+    patient, hasty = CASES[0][0], Windows(timedelta(seconds=2), timedelta(seconds=30), timedelta(hours=2), timedelta(seconds=9))
+    rows = make_events(800, 3, 1500, seed=29, hot=0.4)
+    even = F.col("id") % 2 == 0
+    mixed = {n: F.when(even, a).otherwise(hasty.columns()[n]) for n, a in patient.columns().items()}
+    found = collected(run(spark.createDataFrame(rows, SCHEMA), mixed, slices=3))
+    ledger, expected = [], {}
+    for row in sorted(rows, key=lambda r: (r[1], r[2], r[0])):
+        expected |= walk([row], patient if row[0] % 2 == 0 else hasty, ledger)
+    assert found == expected
+
+
 def test_one_key_over_many_slices_without_gaps(spark):
     """Forced events never settle on their own; the boundary states must travel."""
     w = Windows(timedelta(seconds=7), timedelta(seconds=1000), timedelta(hours=1), timedelta(seconds=0))
@@ -108,8 +145,13 @@ def test_every_outcome_occurs():
     }
 
 
+LONGER = Windows(timedelta(seconds=9), timedelta(seconds=400), timedelta(hours=1), timedelta(seconds=3))
+
+
+@pytest.mark.parametrize("later", [CASES[0][0], LONGER])
 @pytest.mark.parametrize("slices", [None, 9])
-def test_ledger_carries_over(spark, slices):
+def test_ledger_carries_over(spark, slices, later):
+    """The rule's windows may have been changed in between."""
     w, _ = CASES[0]
     rows = make_events(900, 4, 2000, seed=23, hot=0.4)
     # Some of the second half is older than what the first half accepted.
@@ -123,8 +165,8 @@ def test_ledger_carries_over(spark, slices):
         F.col("key").alias("task_key"), F.col("uid").alias("event_uid"), F.col("digest").alias("content_hash"),
         "created_at", "scheduled_at", "cooldown_until", "expire_at",
     )
-    two = run(spark.createDataFrame(second, SCHEMA), w, slices=slices, last=latest_per_key(records))
-    assert collected(two) == walk(second, w, ledger)
+    two = run(spark.createDataFrame(second, SCHEMA), later, slices=slices, last=latest_per_key(records))
+    assert collected(two) == walk(second, later, ledger)
 
 
 def test_columns_pass_through(spark):
@@ -134,6 +176,34 @@ def test_columns_pass_through(spark):
     assert (row.payload.big, row.payload.a, row.status) == (2**60 + 1, ["x"], "accepted")
 
 
+def test_a_dense_key_skips_idle_slices(spark, monkeypatch):
+    """Most slices lie within one delay: they are passed without folding them."""
+    from dockline.operators import admission
+
+    folded, original = [], admission._exits
+    monkeypatch.setattr(admission, "_exits", lambda rows, entries, *more: folded.append(len(entries)) or original(rows, entries, *more))
+    w = Windows(timedelta(seconds=5), timedelta(seconds=900), timedelta(hours=1), timedelta(seconds=400))
+    rows = [(i, "k", BASE + timedelta(seconds=i), None, "a", False) for i in range(2000)]
+    found = collected(run(spark.createDataFrame(rows, SCHEMA), w, slices=40))
+    assert found == walk(rows, w)
+    # Three tasks are accepted in 40 slices.
+    assert sum(status == "accepted" for status, *_ in found.values()) == 3
+    assert sum(folded) <= 8
+
+
+def test_a_long_key_is_settled_in_two_rounds(spark, monkeypatch):
+    """Slices longer than the look-back are mapped at once, not one after another."""
+    from dockline.operators import admission
+
+    rounds, original = [], admission._exits
+    monkeypatch.setattr(admission, "_exits", lambda rows, entries, *more: rounds.append(len(entries)) or original(rows, entries, *more))
+    w = Windows(timedelta(seconds=5), timedelta(seconds=60), timedelta(hours=1), timedelta(seconds=30))
+    rows = [(i, "k", BASE + timedelta(seconds=i * 2), None, "ab"[i % 7 % 2], False) for i in range(3000)]
+    found = collected(run(spark.createDataFrame(rows, SCHEMA), w, slices=12))
+    assert found == walk(rows, w)
+    assert len(rounds) == 2
+
+
 def test_no_events(spark):
     assert run(spark.createDataFrame([], SCHEMA), Windows()).count() == 0
 

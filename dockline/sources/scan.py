@@ -91,7 +91,10 @@ def source_files(spark: SparkSession, paths: Sequence[str], recursive: bool) ->
     Files are listed, not opened.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
-    return reader.load(list(paths)).select(F.col("_metadata.file_path").alias(SOURCE_PATH)).distinct()
+    files = reader.load(list(paths)).select(F.col("_metadata.file_path").alias(SOURCE_PATH))
+    folders = sorted(path.rstrip("/") + "/" for path in paths)
+    nested = any(below.startswith(above) for above, below in zip(folders, folders[1:]))
+    return files.distinct() if nested else files
 
 
 def drop_lineage(df: DataFrame, name: str = SOURCE_PATH) -> DataFrame:

@@ -6,12 +6,12 @@ from datetime import timedelta
 
 from pyspark.sql import functions as F
 
-from dockline.functions.durations import schedule_times, window_or_default
+from dockline.functions.durations import schedule_times
 from dockline.operators.admission import Windows, admit, window_columns
-from dockline.operators.ledger import due_tasks, expire_ledger, ledger_records
+from dockline.operators.ledger import due_tasks, expire_ledger, latest_per_key, ledger_records
 
 from . import query
-from .fixtures import naive, table
+from .fixtures import table
 
 DAY = Windows(double_tap=timedelta(seconds=5), cooldown=timedelta(hours=24), ttl=timedelta(hours=12), delay=timedelta(hours=4))
 
@@ -222,8 +222,6 @@ def expire_ledger_query(spark, sf_dir):
 # The second half of the month is admitted against the ledger of the first.
 @query("admit_with_ledger", admission_sql(EVENTS_SQL, DAY))
 def admit_with_ledger(spark, sf_dir):
-    from dockline.operators.ledger import latest_per_key
-
     events = narrow(spark, sf_dir).withColumn("task_key", F.col("user_id").cast("string"))
     cut = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
     first = run(events.filter(F.col("ts") < cut), DAY, digest=F.col("event_type"))

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from dockline.functions.durations import to_micros
 from dockline.constants import LEDGER_MAX_AGE, MODES
+from dockline.functions.durations import to_micros
 from dockline.operators.ledger import cleanup_batch
 from dockline.operators.registry import check_rules, duplicate_keys, key_intersection, registry_union, union_evolving
 from dockline.operators.status import (
@@ -20,7 +20,7 @@ from dockline.operators.status import (
 from dockline.session import scratch
 
 from . import query
-from .fixtures import ORDERS_SQL, naive, order_rows, orders, table
+from .fixtures import orders, table
 from .predicates import ledger_of_events
 
 

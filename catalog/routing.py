@@ -101,14 +101,14 @@ def route_events_many_rules(spark, sf_dir):
     FROM (SELECT o_orderkey, bucket, regexp_replace(name, 'part-.*', '') AS folder FROM ({OBJECTS_SQL})) f
     WHERE f.bucket = 'b2' AND EXISTS (
       SELECT 1 FROM ({OBJECTS_SQL}) m
-      WHERE m.bucket = 'b2' AND m.o_orderkey % 2 = 0 AND regexp_replace(m.name, 'part-.*', '') = f.folder)
+      WHERE m.bucket = 'b2' AND m.name NOT LIKE '%part-3.csv' AND regexp_replace(m.name, 'part-.*', '') = f.folder)
     """,
 )
 def route_events_with_manifest(spark, sf_dir):
     """File events of all objects, and folder events of which only some exist."""
     found = objects(spark, sf_dir)
     folders = found.withColumn("name", F.regexp_replace("name", "part-.*", "")).filter("bucket = 'b2'")
-    manifest = found.filter((F.col("bucket") != "b2") | (F.col("o_orderkey") % 2 == 0))
+    manifest = found.filter((F.col("bucket") != "b2") | ~F.col("name").like("%part-3.csv"))
     return route_events(found.unionByName(folders), rules(spark), manifest).select("o_orderkey", "job")
 
 
@@ -184,11 +184,11 @@ def event_disposition_query(spark, sf_dir):
     "lookup_by_name",
     """
     SELECT o_orderkey, c_name, c_name IS NOT NULL AS found
-    FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 2 = 0) ON o_custkey = c_custkey
+    FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING') ON o_custkey = c_custkey
     """,
 )
 def lookup_by_name_query(spark, sf_dir):
-    registry = table(spark, sf_dir, "customer").filter("c_custkey % 2 = 0").select(
+    registry = table(spark, sf_dir, "customer").filter("c_mktsegment <> 'BUILDING'").select(
         F.col("c_custkey").alias("name"), "c_name"
     )
     wanted = orders(spark, sf_dir).select("o_orderkey", F.col("o_custkey").alias("name"))
@@ -197,10 +197,13 @@ def lookup_by_name_query(spark, sf_dir):
 
 @query(
     "fk_violations",
-    "SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0)",
+    """
+    SELECT o_orderkey, o_custkey FROM orders
+    WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING')
+    """,
 )
 def fk_violations_query(spark, sf_dir):
-    parent = table(spark, sf_dir, "customer").filter("c_custkey % 2 = 0")
+    parent = table(spark, sf_dir, "customer").filter("c_mktsegment <> 'BUILDING'")
     return fk_violations(orders(spark, sf_dir), parent, {"o_custkey": "c_custkey"}).select("o_orderkey", "o_custkey")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from dockline.functions.paths import last_segment
 from dockline.options import parse_separator
 from dockline.session import scratch
+from dockline.sinks.storage import Folder
 from dockline.sources.events import parse_events, rejected_records, valid_events
 from dockline.sources.manifest import expand_paths, expand_wildcard, object_manifest
 from dockline.sources.scan import normalize_timestamps, scan, source_path
@@ -103,25 +104,18 @@ def scan_compressed_json(spark, sf_dir):
     return order_rows(scan(spark, files, "json", codec="gzip"))
 
 
-@query(
-    "scan_single_path",
-    "SELECT o_orderkey, o_totalprice FROM orders WHERE strftime(o_orderdate, '%Y%m') = '199806'",
-)
+@query("scan_single_path", ORDERS_SQL)
 def scan_single_path(spark, sf_dir):
-    root = monthly_orders(spark, sf_dir)
-    df = scan(spark, f"{root}/199806", "delimited", delimiter=",", schema=ORDERS_TEXT_SCHEMA)
-    return df.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "o_totalprice")
+    files = flat_orders(spark, sf_dir, "parquet")
+    return order_rows(scan(spark, files, "parquet"))
 
 
-@query(
-    "scan_multi_path",
-    "SELECT o_orderkey, o_totalprice FROM orders WHERE strftime(o_orderdate, '%Y%m') IN ('199801','199802','199803')",
-)
+@query("scan_multi_path", ORDERS_SQL)
 def scan_multi_path(spark, sf_dir):
+    """All monthly folders as one list of paths, read by one scan."""
     root = monthly_orders(spark, sf_dir)
-    paths = [f"{root}/{month}" for month in ("199801", "199802", "199803")]
-    df = scan(spark, paths, "delimited", delimiter=",", schema=ORDERS_TEXT_SCHEMA)
-    return df.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "o_totalprice")
+    paths = [f"{root}/{month}" for month in Folder(spark, root).children()]
+    return order_rows(scan(spark, paths, "delimited", delimiter=",", schema=ORDERS_TEXT_SCHEMA))
 
 
 @query("scan_partitioned_folder", ORDERS_SQL)

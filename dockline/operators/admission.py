@@ -40,6 +40,7 @@ from ..constants import (
 )
 from ..functions.durations import to_micros, window_or_default
 from ..session import enable_checkpoints, scratch
+from ..sinks.storage import drop_folder
 from .fold import Rows
 
 
@@ -311,7 +312,16 @@ def _boundary_states(ordered: DataFrame, seeded: bool) -> dict[int, Task]:
     keys = F.broadcast(spark.createDataFrame(list(handed_on.items()), "_slice int, _key string"))
     numbered = ordered.select("_slice", *_INPUTS, F.monotonically_increasing_id().alias("_row"))
     numbered.join(keys, ["_slice", "_key"], "left_semi").write.partitionBy("_slice").parquet(path)
-    rows = spark.read.parquet(path)
+    try:
+        return _settled(spark.read.parquet(path), crossings, through, seeded)
+    finally:
+        drop_folder(spark, path)
+
+
+def _settled(
+    rows: DataFrame, crossings: list[tuple[int, int, str]], through: set[int], seeded: bool
+) -> dict[int, Task]:
+    """The entry states, from the rows of crossing keys, by slice."""
     digest, event = F.nullif("_digest", F.lit("")), ~F.col("_seed")
     facts = rows.groupBy(F.col("_slice").cast("int").alias("_slice")).agg(
         F.min("_at").alias("first"),

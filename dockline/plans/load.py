@@ -18,7 +18,7 @@ from ..functions.partitions import (
     partition_name,
 )
 from ..options import has_wildcards
-from ..sinks.storage import refuse_overlap
+from ..sinks.storage import drop_folder, refuse_overlap
 from ..sinks.table import (
     KNOWN_PART_ID,
     TableSpec,
@@ -134,6 +134,8 @@ def run_load(
             result = overwrite_partition_range(df, spec.table)
         else:
             result = overwrite_table(df, spec.table)
+        if spec.staging_path:
+            drop_folder(spark, f"{spec.staging_path}/{run_uuid}")
     except Exception as error:
         failed = _audit(spark, spec, run_uuid, inputs, columns, None, None, "failed", str(error)[:2000], started)
         _store_audit(failed, spec)

@@ -31,7 +31,9 @@ def build_session(app: str = "dockline", master: str | None = None, **conf: str)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for name, value in {**SETTINGS, **conf}.items():
+    # Checkpoints go with the data frames they belong to.
+    start = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
+    for name, value in {**start, **SETTINGS, **conf}.items():
         builder = builder.config(name, value)
     return configure(builder.getOrCreate())
 

@@ -39,6 +39,12 @@ class Folder:
             raise OSError(f"cannot rename {old} to {new}")
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder this package has made for its own use."""
+    parent, name = path.rstrip("/").rsplit("/", 1)
+    Folder(spark, parent).remove(name)
+
+
 def refuse_overlap(spark: SparkSession, inputs: list[str], target: str) -> None:
     """A load must not read what it replaces: the files would be gone before use."""
     goal = Folder(spark, target).qualified() + "/"

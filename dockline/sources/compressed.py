@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import scratch
+from ..sinks.storage import drop_folder
 
 SOURCE_PATH = "_source_path"
 
@@ -40,7 +41,9 @@ def scan_without_extension(
     lines = _lines(spark, paths, codec, recursive)
     if fmt == "json":
         if schema is None:
-            schema = spark.read.json(_text_copy(lines)).schema
+            copy = _text_copy(lines)
+            schema = spark.read.json(copy).schema
+            drop_folder(spark, copy)
         return _parsed(lines, F.from_json("value", schema))
 
     names = None
@@ -50,7 +53,9 @@ def scan_without_extension(
         names = next(csv.reader([header.value], delimiter=separator)) if header else []
         lines = lines.filter("NOT first")
     if schema is None:
-        schema = spark.read.option("sep", separator).option("inferSchema", "true").csv(_text_copy(lines)).schema
+        copy = _text_copy(lines)
+        schema = spark.read.option("sep", separator).option("inferSchema", "true").csv(copy).schema
+        drop_folder(spark, copy)
         if names:
             schema = T.StructType([T.StructField(n, f.dataType, True) for n, f in zip(names, schema.fields)])
     return _parsed(lines, F.from_csv("value", _ddl(schema), {"sep": separator}))

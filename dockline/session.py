@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
+PACKAGE = os.path.dirname(os.path.abspath(__file__))
+_shipped: set[str] = set()
+
 SETTINGS = {
     # Path dates are naive; every conversion below assumes UTC.
     "spark.sql.session.timeZone": "UTC",
@@ -24,9 +29,26 @@ def configure(spark: SparkSession) -> SparkSession:
     for name, value in SETTINGS.items():
         if spark.conf.get(name, None) != value:
             spark.conf.set(name, value)
+    ship(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once an application, whatever their paths are."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    archive = os.path.join(tempfile.mkdtemp(prefix="dockline-"), "dockline.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(PACKAGE):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(PACKAGE)))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
 def build_session(app: str = "dockline", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:

@@ -5,11 +5,13 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as contract
+import catalog
 
 from .conftest import SF_DIR
 from .oracle import compare, connect
 
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
+# The corpus operators have tests of their own.
+QUERIES, ORACLE = catalog.QUERIES, catalog.ORACLE
 
 
 @pytest.fixture(scope="module")

@@ -1,8 +1,9 @@
 """Byte-level BPE by a global shuffle of distinct words.
 
 * Explode: the pre-tokens of a chunk of documents (the matches of the vocabulary's pattern)
-  become positions in the chunk's list of distinct words. Word lists and position lists are
-  written once to the shared folder.
+  become positions in the chunk's list of distinct words, the most frequent first. Word
+  lists and position lists go different ways, from two passes over the documents; a digest
+  of the word list shows that both saw the same chunk, else the job fails.
 * Encode: word lists are shuffled by a hash of the word, so all copies of a word meet in
   one bucket, where its merges are worked out once, by the rank file.
 * Join back: a bucket's ids return to the chunks that asked for them.
@@ -11,7 +12,8 @@
 
 A chunk is a bounded run of rows of one partition, a word goes to a bucket once per chunk
 however often it occurs: a word that fills a third of the corpus is no hot key. The number
-of buckets follows ``spark.sql.shuffle.partitions``.
+of buckets follows ``spark.sql.shuffle.partitions``. Documents must come in the same order
+when they are read again, as they do from files; store the result of a shuffle first.
 
 Null texts count as empty; empty ones have no ids. Every row gives one row, repeated rows
 too. Special tokens are never matched. An empty table gives an empty result, other columns
@@ -22,6 +24,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from collections import defaultdict
 from itertools import chain, count
 
 import numpy as np
@@ -32,11 +35,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockline.session import scratch
-
 # Characters of a chunk, about; a longer document is a chunk of its own.
 CHUNK_CHARS = 32_000_000
-# Rows of position lists hold about so many positions.
+# Rows of position lists hold about so many positions, or one document.
 ROW_POSITIONS = 1_000_000
 BUCKETS_PER_PARTITION = 4
 # A bucket forgets its words beyond so many, and would encode them anew.
@@ -78,65 +79,98 @@ def _unpieced(data: bytes) -> list[bytes]:
     return [data[a:b] for a, b in zip(edges[:-1], edges[1:])]
 
 
+# Ranks below ONE take a byte, those below ONE + TWO * 256 two, others three.
+ONE, TWO = 200, 40
+
+
+def _narrow(ranks_: np.ndarray) -> bytes:
+    """Ranks as first, second and third bytes, each kind together, squeezed."""
+    x = ranks_.astype(np.int64)
+    short, far = x < ONE, x >= ONE + TWO * 256
+    middle = ~short & ~far
+    if len(x) and int(x.max()) >= ONE + TWO * 256 + ((256 - ONE - TWO) << 16):
+        raise ValueError("a chunk has too many distinct words")
+    y, z = x - ONE, x - ONE - TWO * 256
+    first = np.where(short, x, np.where(middle, ONE + (y >> 8), ONE + TWO + (z >> 16))).astype(np.uint8)
+    second = np.where(middle, y, z >> 8)[~short].astype(np.uint8)
+    third = z[far].astype(np.uint8)
+    return _pieces([_squeeze(part.tobytes()) for part in (first, second, third)])
+
+
+def _broad(data: bytes) -> np.ndarray:
+    first, second, third = (np.frombuffer(_widen(part), np.uint8).astype(np.int64) for part in _unpieced(data))
+    out = first.copy()
+    more, far = first >= ONE, first >= ONE + TWO
+    middle = more & ~far
+    high = np.zeros(len(first), np.int64)
+    high[more] = second
+    out[middle] = ONE + ((first[middle] - ONE) << 8) + high[middle]
+    out[far] = ONE + TWO * 256 + ((first[far] - ONE - TWO) << 16) + (high[far] << 8) + third
+    return out
+
+
 class _Chunk:
     """The distinct words of a run of documents, and their positions."""
 
-    def __init__(self, number: int, buckets: int):
-        from collections import defaultdict
-
-        self.number, self.buckets, self.chars, self.part = number, buckets, 0, 0
+    def __init__(self, number: int):
+        self.number, self.chars = number, 0
         self.words: dict[str, int] = defaultdict(count().__next__)
-        self.doc_ids, self.sizes, self.positions, self.held = [], [], [], 0
+        self.doc_ids, self.places = [], []
 
     def add(self, doc_id, words: list[str], chars: int) -> None:
         self.doc_ids.append(doc_id)
-        self.sizes.append(len(words))
-        self.positions.append(np.fromiter(map(self.words.__getitem__, words), "<u4", len(words)))
-        self.held += len(words)
+        self.places.append(np.fromiter(map(self.words.__getitem__, words), "<u4", len(words)))
         self.chars += chars
 
-    def documents(self) -> tuple:
-        blob = _squeeze(np.concatenate(self.positions).tobytes())
-        row = (self.number, -1, self.part, self.doc_ids, self.sizes, blob, None)
-        self.doc_ids, self.sizes, self.positions, self.held = [], [], [], 0
-        self.part += 1
-        return row
-
-    def word_lists(self):
+    def ranked(self) -> tuple[np.ndarray, list[bytes]]:
+        """The rank of every word, and the words by rank."""
+        uses = np.bincount(np.concatenate(self.places), minlength=len(self.words)) if self.places else np.zeros(0, np.int64)
+        order = np.argsort(-uses, kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
         words = [w.encode() for w in self.words]
-        home = np.array([xxhash.xxh64_intdigest(w) % self.buckets for w in words], np.int64)
+        return rank, [words[i] for i in order.tolist()]
+
+    def position_rows(self):
+        rank, words = self.ranked()
+        digest = xxhash.xxh64_digest(b"\0".join(words))
+        first, held = 0, 0
+        for at, places in enumerate(self.places):
+            held += len(places)
+            if held >= ROW_POSITIONS or at + 1 == len(self.places):
+                here = self.places[first : at + 1]
+                blob = _narrow(rank[np.concatenate(here)])
+                yield (self.number, -1, first, self.doc_ids[first : at + 1], [len(p) for p in here], blob, digest)
+                first, held = at + 1, 0
+
+    def word_rows(self, buckets: int):
+        _, words = self.ranked()
+        home = np.array([xxhash.xxh64_intdigest(w) % buckets for w in words], np.int64)
         order = np.argsort(home, kind="stable")
-        edges = np.flatnonzero(np.diff(home[order], prepend=-1, append=-1)) if len(words) else []
+        edges = np.flatnonzero(np.diff(home[order], prepend=-1, append=-1)) if words else []
         for a, b in zip(edges[:-1], edges[1:]):
             here = order[a:b]
             steps = np.diff(here, prepend=0).astype("<u4")
             yield (self.number, int(home[here[0]]), 0, None, None, _pieces([words[i] for i in here]), _squeeze(steps.tobytes()))
+        # The digest goes the way of the words, in a row without any.
+        yield (self.number, 0, -1, None, None, None, xxhash.xxh64_digest(b"\0".join(words)))
 
 
-def _explode(pattern: str, buckets: int):
+def _explode(pattern: str, rows):
     def exploded(batches):
         import regex
 
         find = regex.compile(pattern).findall
-        base = TaskContext.get().partitionId() << 32
-        chunk = _Chunk(base, buckets)
+        chunk = _Chunk(TaskContext.get().partitionId() << 32)
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
                 text = text.as_py() or ""
                 chunk.add(doc_id, find(text), len(text))
-                if chunk.held >= ROW_POSITIONS:
-                    yield _rows([chunk.documents()])
                 if chunk.chars >= CHUNK_CHARS:
-                    yield from _closed(chunk)
-                    chunk = _Chunk(chunk.number + 1, buckets)
-        yield from _closed(chunk)
-
-    def _closed(chunk):
+                    yield from (_rows([row]) for row in rows(chunk))
+                    chunk = _Chunk(chunk.number + 1)
         if chunk.doc_ids:
-            yield _rows([chunk.documents()])
-        lists = list(chunk.word_lists())
-        if lists:
-            yield _rows(lists)
+            yield from (_rows([row]) for row in rows(chunk))
 
     return exploded
 
@@ -150,6 +184,9 @@ def _encode(path: str):
         for batch in batches:
             out = []
             for row in batch.to_pylist():
+                if row["part"] < 0:
+                    out.append(tuple(row[name] for name in _NAMES))
+                    continue
                 if row["bucket"] != bucket or len(known) > BUCKET_WORDS:
                     bucket, known = row["bucket"], {}
                 found = []
@@ -197,15 +234,20 @@ class _Words:
 
 def _assemble(finish):
     def assembled(batches):
-        chunk, words = None, None
+        chunk, words, digest = None, None, None
         for batch in batches:
             for row in batch.to_pylist():
                 if row["chunk"] != chunk:
-                    chunk, words = row["chunk"], _Words()
+                    chunk, words, digest = row["chunk"], _Words(), None
+                if row["part"] < 0:
+                    digest = row["second"]
+                    continue
                 if row["bucket"] >= 0:
                     words.add(row["first"], row["second"])
                     continue
-                positions = np.frombuffer(_widen(row["first"]), "<u4").astype(np.int64)
+                if row["second"] != digest:
+                    raise RuntimeError("the documents changed between two reads; store them first")
+                positions = _broad(row["first"])
                 edges = np.concatenate(([0], np.cumsum(row["sizes"])))
                 yield finish(row["doc_ids"], [words.ids(positions[a:b]) for a, b in zip(edges[:-1], edges[1:])])
 
@@ -255,20 +297,10 @@ def token_bytes(path: str) -> tuple[list[bytes], list[str]]:
 
 
 def _joined(docs: DataFrame, path: str, pattern: str, finish, schema: str) -> DataFrame:
-    spark = docs.sparkSession
-    buckets = BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    place = scratch(spark, "bpe")
-    (
-        docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "text")
-        .mapInArrow(_explode(pattern, buckets), _SHARED)
-        .withColumn("kind", F.when(F.col("bucket") < 0, "documents").otherwise("words"))
-        .write.partitionBy("kind")
-        .option("compression", "uncompressed")
-        .parquet(place)
-    )
-    whole = spark.read.schema(_SHARED + ", kind string").parquet(place)
-    words = whole.where("kind = 'words'").drop("kind")
-    documents = whole.where("kind = 'documents'").drop("kind")
+    buckets = BUCKETS_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "text")
+    words = texts.mapInArrow(_explode(pattern, lambda chunk: chunk.word_rows(buckets)), _SHARED)
+    documents = texts.mapInArrow(_explode(pattern, _Chunk.position_rows), _SHARED)
     encoded = words.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_encode(path), _SHARED)
     # Word ids come first within a chunk: document rows have part numbers, word rows a bucket.
     order = [F.col("chunk"), (F.col("bucket") < 0).cast("int"), F.col("part")]

@@ -2,8 +2,8 @@
 
 * Explode: the pre-tokens of a chunk of documents (the matches of the vocabulary's pattern)
   become positions in the chunk's list of distinct words, the most frequent first. Word
-  lists and position lists go different ways, from two passes over the documents; a digest
-  of the word list shows that both saw the same chunk, else the job fails.
+  lists and position lists go different ways, from two passes over the documents; a chunk
+  is named by a digest of its word list, so if the two saw different ones the job fails.
 * Encode: word lists are shuffled by a hash of the word, so all copies of a word meet in
   one bucket, where its merges are worked out once, by the rank file.
 * Join back: a bucket's ids return to the chunks that asked for them.
@@ -31,7 +31,6 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -109,11 +108,16 @@ def _broad(data: bytes) -> np.ndarray:
     return out
 
 
+def _name(words: list[bytes]) -> int:
+    """A chunk's name. Chunks with equal word lists may share it: they need the same ids."""
+    return int(np.frombuffer(xxhash.xxh64_digest(b"\0".join(words)), np.int64)[0])
+
+
 class _Chunk:
     """The distinct words of a run of documents, and their positions."""
 
-    def __init__(self, number: int):
-        self.number, self.chars = number, 0
+    def __init__(self):
+        self.chars = 0
         self.words: dict[str, int] = defaultdict(count().__next__)
         self.doc_ids, self.places = [], []
 
@@ -133,27 +137,25 @@ class _Chunk:
 
     def position_rows(self):
         rank, words = self.ranked()
-        digest = xxhash.xxh64_digest(b"\0".join(words))
-        first, held = 0, 0
+        name, first, held = _name(words), 0, 0
         for at, places in enumerate(self.places):
             held += len(places)
             if held >= ROW_POSITIONS or at + 1 == len(self.places):
                 here = self.places[first : at + 1]
                 blob = _narrow(rank[np.concatenate(here)])
-                yield (self.number, -1, first, self.doc_ids[first : at + 1], [len(p) for p in here], blob, digest)
+                yield (name, -1, first, self.doc_ids[first : at + 1], [len(p) for p in here], blob, None)
                 first, held = at + 1, 0
 
     def word_rows(self, buckets: int):
         _, words = self.ranked()
+        name = _name(words)
         home = np.array([xxhash.xxh64_intdigest(w) % buckets for w in words], np.int64)
         order = np.argsort(home, kind="stable")
         edges = np.flatnonzero(np.diff(home[order], prepend=-1, append=-1)) if words else []
         for a, b in zip(edges[:-1], edges[1:]):
             here = order[a:b]
             steps = np.diff(here, prepend=0).astype("<u4")
-            yield (self.number, int(home[here[0]]), 0, None, None, _pieces([words[i] for i in here]), _squeeze(steps.tobytes()))
-        # The digest goes the way of the words, in a row without any.
-        yield (self.number, 0, -1, None, None, None, xxhash.xxh64_digest(b"\0".join(words)))
+            yield (name, int(home[here[0]]), 0, None, None, _pieces([words[i] for i in here]), _squeeze(steps.tobytes()))
 
 
 def _explode(pattern: str, rows):
@@ -161,14 +163,14 @@ def _explode(pattern: str, rows):
         import regex
 
         find = regex.compile(pattern).findall
-        chunk = _Chunk(TaskContext.get().partitionId() << 32)
+        chunk = _Chunk()
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
                 text = text.as_py() or ""
                 chunk.add(doc_id, find(text), len(text))
                 if chunk.chars >= CHUNK_CHARS:
                     yield from (_rows([row]) for row in rows(chunk))
-                    chunk = _Chunk(chunk.number + 1)
+                    chunk = _Chunk()
         if chunk.doc_ids:
             yield from (_rows([row]) for row in rows(chunk))
 
@@ -184,9 +186,6 @@ def _encode(path: str):
         for batch in batches:
             out = []
             for row in batch.to_pylist():
-                if row["part"] < 0:
-                    out.append(tuple(row[name] for name in _NAMES))
-                    continue
                 if row["bucket"] != bucket or len(known) > BUCKET_WORDS:
                     bucket, known = row["bucket"], {}
                 found = []
@@ -227,6 +226,8 @@ class _Words:
             flat = np.concatenate([p[2] for p in self.parts]) if self.parts else np.zeros(0, np.uint32)
             self.done, self.parts = (sizes, starts, flat), []
         sizes, starts, flat = self.done
+        if len(positions) and int(positions.max()) >= len(sizes):
+            raise RuntimeError("the documents changed between two reads; store them first")
         lengths = sizes[positions]
         shift = starts[positions] - (np.cumsum(lengths) - lengths)
         return flat[np.repeat(shift, lengths) + np.arange(int(lengths.sum()))]
@@ -234,19 +235,14 @@ class _Words:
 
 def _assemble(finish):
     def assembled(batches):
-        chunk, words, digest = None, None, None
+        chunk, words = None, None
         for batch in batches:
             for row in batch.to_pylist():
                 if row["chunk"] != chunk:
-                    chunk, words, digest = row["chunk"], _Words(), None
-                if row["part"] < 0:
-                    digest = row["second"]
-                    continue
+                    chunk, words = row["chunk"], _Words()
                 if row["bucket"] >= 0:
                     words.add(row["first"], row["second"])
                     continue
-                if row["second"] != digest:
-                    raise RuntimeError("the documents changed between two reads; store them first")
                 positions = _broad(row["first"])
                 edges = np.concatenate(([0], np.cumsum(row["sizes"])))
                 yield finish(row["doc_ids"], [words.ids(positions[a:b]) for a, b in zip(edges[:-1], edges[1:])])

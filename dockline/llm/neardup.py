@@ -17,6 +17,10 @@ member of its bucket; pairs whose register estimate, corrected for chance collis
 the full sets. Components are formed, and only members of a bucket outside its largest
 component are then compared with the rest of it, every one of them: what is already
 connected needs no further comparison, so no link that matters for a component is lost.
+These comparisons run in blocks inside tasks, each pair in the first bucket it shares, on
+the registers and on bitmaps of the sets: a set lacks at least as many shingles of another
+as its bitmap lacks bits, which bounds the similarity from above. Only pairs that pass both
+are written out and confirmed.
 
 Null texts count as empty. Rows that share a ``doc_id`` share a component. A row without
 ``doc_id`` is linked with nothing, its component is null and it is kept. Ties go to the
@@ -49,6 +53,13 @@ ESTIMATE_FLOOR = 0.75 - DEVIATIONS * (0.75 * 0.25 / BUCKETS) ** 0.5
 
 STAR_ROUNDS = 2
 
+BITMAP_BITS = 2048
+# Ids of documents that are looked up by broadcast, beyond that by a shuffle: 8 MB at most.
+BROADCAST_IDS = 500_000
+# Members of a bucket that are compared with each other in one go, and rows of a task's group.
+BLOCK = 2_048
+CELL_ROWS = 20_000
+
 _PLACE = np.array([mix(np.array([i + 11], np.uint64))[0] | np.uint64(1) for i in range(SHINGLE)])
 _PROBES = np.stack([np.concatenate(([j], np.random.default_rng(j).permutation(BUCKETS))) for j in range(BUCKETS)])
 _BAND_SALT = mix(np.arange(1, BANDS + 1, dtype=np.uint64))
@@ -113,17 +124,24 @@ def estimate(code_a: np.ndarray, code_b: np.ndarray, size_a: np.ndarray, size_b:
     return (agree - accident) / (1 - accident)
 
 
-_FEATURES = "doc_id bigint, n_shingles bigint, key1 bigint, key2 bigint, registers binary"
+def bitmap(hashes: np.ndarray) -> np.ndarray:
+    bits = np.zeros(BITMAP_BITS, bool)
+    bits[(mix(hashes ^ _BAND_SALT[1]) & np.uint64(BITMAP_BITS - 1)).astype(np.int64)] = True
+    return np.packbits(bits)
+
+
+_FEATURES = "doc_id bigint, n_shingles bigint, key1 bigint, key2 bigint, registers binary, bits binary"
 
 
 def _features(batches):
     for batch in batches:
-        sizes, keys1, keys2, codes = [], [], [], []
+        sizes, keys1, keys2, codes, maps = [], [], [], [], []
         for hashes in shingle_sets(batch.column("text")):
             sizes.append(len(hashes))
             keys1.append(int(mix(hashes).sum(dtype=np.uint64).view(np.int64)) if len(hashes) else 0)
             keys2.append(int(np.bitwise_xor.reduce(mix(hashes ^ _BAND_SALT[0])).view(np.int64)) if len(hashes) else 0)
             codes.append(registers(hashes).tobytes() if len(hashes) else None)
+            maps.append(bitmap(hashes).tobytes() if len(hashes) else None)
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id").cast(pa.int64()),
@@ -131,8 +149,9 @@ def _features(batches):
                 pa.array(keys1, pa.int64()),
                 pa.array(keys2, pa.int64()),
                 pa.array(codes, pa.binary()),
+                pa.array(maps, pa.binary()),
             ],
-            names=["doc_id", "n_shingles", "key1", "key2", "registers"],
+            names=["doc_id", "n_shingles", "key1", "key2", "registers", "bits"],
         )
 
 
@@ -175,6 +194,57 @@ def _confirmed(batches):
         yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
 
+class _Side:
+    """Rows of one side of a group of blocks, as arrays, by block."""
+
+    def __init__(self, rows: pa.Table):
+        rows = rows.combine_chunks()
+        get = lambda name: rows.column(name).to_numpy()
+        self.place = np.column_stack([get("band"), get("i"), get("j")])
+        order = np.lexsort(self.place.T[::-1])
+        self.place = self.place[order]
+        self.doc, self.comp, self.main, self.n = (get(c)[order] for c in ("doc_id", "comp", "main", "n_shingles"))
+        flat = lambda name, kind, width: np.frombuffer(b"".join(rows.column(name).to_pylist()), kind).reshape(-1, width)[order]
+        self.code = flat("registers", np.uint16, BUCKETS)
+        self.bits = flat("bits", np.uint64, BITMAP_BITS // 64)
+        self.keys = mix(np.ascontiguousarray(self.code).view(np.uint64) ^ _BAND_SALT).view(np.int64)
+
+    def groups(self) -> dict[tuple, slice]:
+        edges = np.flatnonzero((np.diff(self.place, axis=0) != 0).any(axis=1)) + 1
+        edges = [0, *edges.tolist(), len(self.place)] if len(self.place) else [0]
+        return {tuple(self.place[a].tolist()): slice(a, b) for a, b in zip(edges[:-1], edges[1:])}
+
+
+def _compare(movers: pa.Table, members: pa.Table) -> pa.Table:
+    """Pairs of different components that may be similar enough, each in its first common bucket."""
+    one, two = _Side(movers), _Side(members)
+    found_a, found_b = [], []
+    places = two.groups()
+    for place, rows in one.groups().items():
+        there = places.get(place)
+        if there is None:
+            continue
+        first = there.start
+        comp, doc, n, main = (x[there] for x in (two.comp, two.doc, two.n, two.main))
+        for x in range(rows.start, rows.stop):
+            small, large = np.minimum(n, one.n[x]), np.maximum(n, one.n[x])
+            good = (comp != one.comp[x]) & ((comp == main) | (doc < one.doc[x])) & (100 * small >= PERCENT * large)
+            at = np.flatnonzero(good) + first
+            same = two.keys[at] == one.keys[x]
+            at = at[two.keys[at, same.argmax(axis=1)] == place[0]]
+            at = at[estimate(two.code[at], one.code[x], two.n[at], one.n[x]) >= ESTIMATE_FLOOR]
+            if len(at):
+                shared = np.minimum(
+                    one.n[x] - np.bitwise_count(one.bits[x] & ~two.bits[at]).sum(axis=1, dtype=np.int64),
+                    two.n[at] - np.bitwise_count(two.bits[at] & ~one.bits[x]).sum(axis=1, dtype=np.int64),
+                )
+                at = at[100 * shared >= PERCENT * (one.n[x] + two.n[at] - shared)]
+                found_a.append(np.full(len(at), one.doc[x]))
+                found_b.append(two.doc[at])
+    join = lambda parts: pa.array(np.concatenate(parts) if parts else [], pa.int64())
+    return pa.table({"doc_id": join(found_b), "centre": join(found_a)})
+
+
 class _Search:
     """The candidate rounds over the classes of one corpus."""
 
@@ -203,15 +273,29 @@ class _Search:
         return members.join(centres, "band").where("comp <> centre_comp").select("doc_id", "centre")
 
     def rest(self) -> DataFrame:
-        """Every pair of a bucket that lies in different components."""
+        """Pairs of a bucket in different components that may be similar enough."""
         members = stored(self.labelled(), "neardup-rest")
         sizes = members.groupBy("band", "comp").agg(F.count("*").alias("n"))
-        main = sizes.groupBy("band").agg(F.max(F.struct("n", "comp")).alias("m"))
-        members = members.join(main.select("band", F.col("m.comp").alias("main")), "band")
-        movers = members.where("comp <> main").select("band", F.col("doc_id").alias("centre"), F.col("comp").alias("centre_comp"))
-        return members.join(movers, "band").where(
-            "comp <> centre_comp AND (comp = main OR doc_id < centre)"
-        ).select("doc_id", "centre")
+        main = sizes.groupBy("band").agg(F.max(F.struct("n", "comp")).alias("m"), F.sum("n").alias("total"))
+        blocks = lambda n: F.greatest(F.ceil(n / BLOCK), F.lit(1))
+        main = main.select(
+            "band",
+            F.col("m.comp").alias("main"),
+            blocks(F.col("total")).alias("blocks"),
+            blocks(F.col("total") - F.col("m.n")).alias("mover_blocks"),
+        )
+        wide = self.classes.select("doc_id", "n_shingles", "registers", "bits")
+        rows = members.join(main, "band").join(wide, "doc_id")
+        mine = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n))
+        every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+        left = rows.where("comp <> main").withColumn("i", mine("mover_blocks")).withColumn("j", every("blocks"))
+        right = rows.withColumn("j", mine("blocks")).withColumn("i", every("mover_blocks"))
+        cells = max(-(-members.count() // CELL_ROWS), int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        cell = F.pmod(F.xxhash64("band", "i", "j"), F.lit(cells)).alias("cell")
+        columns = ["band", "i", "j", "doc_id", "comp", "main", "n_shingles", "registers", "bits"]
+        left, right = (side.select(cell, *columns) for side in (left, right))
+        right = right.select(*(F.col(c).alias(c) for c in right.columns))
+        return left.groupBy(left["cell"]).cogroup(right.groupBy(right["cell"])).applyInArrow(_compare, "doc_id bigint, centre bigint")
 
     def confirm(self, pairs: DataFrame) -> None:
         """Check pairs that were not checked before, add their links, form components."""
@@ -229,6 +313,9 @@ class _Search:
         # Pairs that the estimate ruled out would be ruled out again.
         self.checked = likely if self.checked is None else self.checked.unionByName(likely)
         needed = likely.select(F.col("a").alias("doc_id")).unionByName(likely.select(F.col("b").alias("doc_id"))).distinct()
+        needed = stored(needed, "neardup-needed")
+        if needed.count() <= BROADCAST_IDS:
+            needed = F.broadcast(needed)
         sets = stored(
             self.texts.join(needed, "doc_id", "left_semi")
             .withColumn("same", F.xxhash64("text"))
@@ -278,7 +365,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     if labels is not None:
         groups = least.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
         groups = groups.withColumn("rep", F.coalesce("component", "rep")).drop("component")
-    out = features.drop("registers").join(groups, key, "left")
+    out = features.drop("registers", "bits").join(groups, key, "left")
     return out.select(
         "doc_id",
         "n_shingles",

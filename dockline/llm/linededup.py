@@ -165,7 +165,8 @@ def _cut(docs: DataFrame) -> DataFrame:
     own = (F.col("doc_id").cast("bigint") == F.col("_dl_doc_id")) & (F.xxhash64("text") == F.col("_dl_text_hash"))
     nothing = F.array().cast("array<string>")
     left = F.when(F.col("_dl_blocks").isNull(), nothing).otherwise(_without(F.col("_dl_blocks")))
-    joined = docs.join(found, own, "left").withColumn("_dl_left", F.when(F.col("_dl_found"), left))
+    # The table of blocks grows with the corpus: never broadcast, whatever its size just now.
+    joined = docs.join(found.hint("merge"), own, "left").withColumn("_dl_left", F.when(F.col("_dl_found"), left))
     text = F.when(F.col("_dl_found"), F.concat_ws("\n", "_dl_left")).otherwise(F.col("text"))
     return joined.withColumn("_dl_text", text).withColumns(
         {

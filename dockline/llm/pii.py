@@ -205,10 +205,9 @@ def find(docs: DataFrame) -> DataFrame:
     model, least = fit(rows)
     rows = rows.withColumn("chosen", selected(F.col("spans"), model, least))
     base = F.filter("chosen", lambda s: s["kind_rank"] < len(BASE))
-    counts = [
-        F.size(F.filter("chosen", lambda s, rank=rank: s["kind_rank"] == rank)).cast("bigint").alias(f"n_{kind}")
-        for rank, kind in enumerate(BASE)
-    ]
+    # A function of its own: a lambda's second parameter would be the index of an element.
+    number = lambda rank: F.size(F.filter("chosen", lambda s: s["kind_rank"] == rank)).cast("bigint")
+    counts = [number(rank).alias(f"n_{kind}") for rank, kind in enumerate(BASE)]
     return rows.select("doc_id", *counts, F.sha2(_named(base), 256).alias("base_sha256"), _named(F.col("chosen")).alias("spans"))
 
 

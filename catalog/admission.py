@@ -185,7 +185,7 @@ def schedule_times_query(spark, sf_dir):
     "window_defaults",
     """
     SELECT event_id, coalesce(nullif(w, 0), 5000000) AS double_tap, coalesce(nullif(w, 0), 1800000000) AS cooldown,
-           coalesce(nullif(w, 0), 43200000000) AS ttl, coalesce(w, 300000000) AS delay
+           coalesce(nullif(w, 0), 43200000000) AS ttl, coalesce(nullif(w, 0), 300000000) AS delay
     FROM (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 0 WHEN event_id % 3 = 1 THEN user_id * 1000000 END AS w FROM events)
     """,
 )

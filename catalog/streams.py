@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import functions as F
 
 from dockline.session import scratch
@@ -112,7 +114,7 @@ def continuous_load(spark, sf_dir):
     )
     months.select(event.alias("value")).repartition(3).write.text(incoming)
     registry = spark.createDataFrame(
-        [("orders", "warehouse", r"^daily/data/\d{6}/DONE$", "marker", True, "PT30S", "PT30M", "P1D", "PT0S", 0)],
+        [("orders", "warehouse", r"^daily/data/\d{6}/DONE$", "marker", True, "PT30S", "PT30M", "P1D", "PT5M", 0)],
         "name string, source_bucket string, source_prefix string, mode string, auto_trigger boolean, "
         "double_tap_window string, cooldown_window string, ttl_buffer string, schedule_delay string, ordinal bigint",
     )
@@ -125,4 +127,6 @@ def continuous_load(spark, sf_dir):
         locate=lambda bucket, path: f"{base}{path.rstrip('/')}",
     )
     loader.start(incoming, files_per_trigger=1).awaitTermination()
+    # What was accepted last is due later than any event.
+    loader.run_tasks(datetime.now(timezone.utc))
     return monthly(read_table(spark, target, with_part_id=True))

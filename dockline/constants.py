@@ -9,7 +9,6 @@ FORMATS = ("parquet", "orc", "avro", "json", "delimited")
 CODECS = ("none", "gzip", "bzip2", "snappy")
 
 # Column types of the schema text.
-SCHEMA_TYPES = ("string", "int", "integer", "float", "double", "boolean", "date", "timestamp")
 
 # Partition granularities and how each names a partition.
 GRANULARITY_FORMATS = {
@@ -22,7 +21,6 @@ PARTITION_COLUMN_TYPES = ("date", "timestamp")
 
 # Trigger modes and cluster placement kinds of the rule registry.
 MODES = ("file", "folder", "marker")
-PLACEMENTS = ("managed_cluster", "cluster_by_name", "cluster_by_labels")
 
 # Stand-ins inside the content hash.
 HASH_SEPARATOR = "::"

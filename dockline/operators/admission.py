@@ -69,12 +69,12 @@ class Windows:
 
 
 def window_columns(double_tap: Column, cooldown: Column, ttl: Column, delay: Column) -> dict[str, Column]:
-    """Per-event windows in microseconds; all but the delay fall back when zero."""
+    """Per-event windows in microseconds; each falls back to its default when zero."""
     return {
         "_double_tap": window_or_default(double_tap, DEFAULT_DOUBLE_TAP),
         "_cooldown": window_or_default(cooldown, DEFAULT_COOLDOWN),
         "_ttl": window_or_default(ttl, DEFAULT_TTL),
-        "_delay": F.coalesce(delay, F.lit(to_micros(DEFAULT_DELAY)).cast("bigint")),
+        "_delay": window_or_default(delay, DEFAULT_DELAY),
     }
 
 

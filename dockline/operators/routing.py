@@ -189,7 +189,7 @@ def route_events(
         pairs = match_pairs(events, started, bucket, name)
     else:
         # Only the pairs of folder rules have to meet the listing.
-        pairs = match_pairs(events, started.filter("mode <> 'folder'"), bucket, name).unionByName(
+        pairs = match_pairs(events, started.filter("NOT (mode <=> 'folder')"), bucket, name).unionByName(
             _folder_pairs(events, folder_rules, manifest, bucket, name)
         )
     return pairs.select(

@@ -137,7 +137,7 @@ def run_load(
         if spec.staging_path:
             drop_folder(spark, f"{spec.staging_path}/{run_uuid}")
     except Exception as error:
-        failed = _audit(spark, spec, run_uuid, inputs, columns, None, None, "failed", str(error)[:2000], started)
+        failed = _audit(spark, spec, run_uuid, inputs, columns, None, None, "failed", str(error), started)
         _store_audit(failed, spec)
         raise
     done = _audit(spark, spec, run_uuid, inputs, columns, result, rejected, "succeeded", None, started)

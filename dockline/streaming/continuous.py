@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -128,7 +129,26 @@ class ContinuousLoad:
             # Tasks of earlier batches that were due then have run then.
             fresh = F.col("batch_id").cast("bigint") == batch_id
             due = due.filter(fresh | (F.col("scheduled_at") > F.timestamp_micros(F.lit(before).cast("bigint"))))
+        self._run_all(due, batch_id)
+
+    def run_tasks(self, now: datetime) -> None:
+        """Load every accepted task that is due at ``now`` and has not run, without a further event.
+
+        Call it between streams; calling it again with the same time changes nothing.
+        """
+        found = self._read("decisions")
+        if found is not None:
+            number = (now - datetime(1970, 1, 1, tzinfo=timezone.utc)) // timedelta(microseconds=1)
+            accepted = found.filter(F.col("status") == ACCEPTED)
+            self._run_all(due_tasks(accepted, F.timestamp_micros(F.lit(number).cast("bigint"))), number)
+
+    def _run_all(self, due: DataFrame, batch_id: int) -> None:
         due = ledger_records(due.withColumn("status", F.lit(ACCEPTED)))
+        runs = self._read("runs")
+        if runs is not None:
+            # A replay runs its own tasks again, those of other batches not.
+            others = runs.filter(F.col("batch_id").cast("bigint") != batch_id).select("task_id").distinct()
+            due = due.join(others, "task_id", "left_anti")
         source = F.when(F.col("mode") == "marker", strip_filename(F.col("name"))).otherwise(F.col("name"))
         due = due.select("task_id", "job", "bucket", source.alias("path"), "scheduled_at")
         # One row per job and path, the reader needs them here; jobs are few.
@@ -148,7 +168,9 @@ class ContinuousLoad:
             for number, path in enumerate(paths):
                 run_load(self.spark, spec, path, f"{run}-{number}")
         else:
-            run_load(self.spark, spec, paths[-1], run)
+            # Each replaces the table in turn: all are checked and audited, the newest stays.
+            for number, path in enumerate(paths):
+                run_load(self.spark, spec, path, run if len(paths) == 1 else f"{run}-{number}")
 
     def decisions(self) -> DataFrame | None:
         return self._read("decisions")

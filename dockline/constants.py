@@ -8,8 +8,6 @@ from datetime import timedelta
 FORMATS = ("parquet", "orc", "avro", "json", "delimited")
 CODECS = ("none", "gzip", "bzip2", "snappy")
 
-# Column types of the schema text.
-
 # Partition granularities and how each names a partition.
 GRANULARITY_FORMATS = {
     "HOUR": "yyyyMMddHH",
@@ -19,7 +17,7 @@ GRANULARITY_FORMATS = {
 }
 PARTITION_COLUMN_TYPES = ("date", "timestamp")
 
-# Trigger modes and cluster placement kinds of the rule registry.
+# Trigger modes of the rule registry.
 MODES = ("file", "folder", "marker")
 
 # Stand-ins inside the content hash.

@@ -1,32 +1,51 @@
 """Line dedup by pairwise alignment.
 
-Two documents overlap if they share a line. Every shared line links its first holder (the
-smallest id) with each later one: linear in the occurrences however many documents share
-it, so no line has to be left out for being frequent. The lines of each such pair are
-aligned by patience diff: equal heads and tails, then lines that are rare (single) in both
-and in the same order, then the stretches between them. Runs of aligned lines that hold at
-least ``MIN_BLOCK_CHARS`` characters are deleted from the later document.
+A line here ends at a line break or at the end of a sentence, as corpora often hold a
+paragraph in one line and passages are repeated within it. White space around a line does
+not count. Two documents overlap if they share a run of lines with at least
+``MIN_BLOCK_CHARS`` characters: every line starts one such shortest run, and the hash of
+the run links its first holder (the smallest id) with each later one. That is linear in
+the occurrences however many documents share a run, so none has to be left out for being
+frequent, and lines that are short and common link nothing on their own. The lines of each
+such pair are aligned by patience diff: equal heads and tails, then lines that are rare
+(single) in both and in the same order, or else equal occurrences of repeated lines, then
+the stretches between them. Blocks of aligned lines that hold at least ``MIN_BLOCK_CHARS``
+characters are deleted from the later document; what is left of it is aligned again, so a
+block that it holds twice goes twice.
 
 A line is deleted only if an earlier document holds it too, so the first copy stays. A
 document whose text equals an earlier one's is one block. Ids order documents; of rows
 with one id and equal texts all stay as one document, and rows of one id are not compared
 with each other. Null and empty texts have no lines and stay as they are; so do rows
-without an id. Text is kept byte for byte but for the deleted lines and their line ends.
+without an id. Text is kept byte for byte but for the deleted lines; a line break stays if
+something before it in its line does.
 """
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_left
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.functions import pandas_udf
 
-from .common import SPACE, stored
+from .common import SPACE, mix, stored
 
 # A passage of more than 50 words has more than 100 characters.
 MIN_BLOCK_CHARS = 100
 
+# Where lines end, as a Java and Python pattern: after a line break or a sentence.
+LINE_END = r"(?<=\n)|(?<=[.!?\u2026] )|(?<=[\u3002\uFF01\uFF1F])"
+_LINE_END = re.compile(LINE_END)
+
+_BASE = 0x9E3779B97F4A7C15
+_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
+
 
 def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """The longest subsequence of pairs that rises in both; they rise in the first."""
@@ -45,6 +64,13 @@ def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
+def _places(lines: list, first: int, last: int) -> dict:
+    places: dict = {}
+    for at in range(first, last):
+        places.setdefault(lines[at], []).append(at)
+    return places
+
+
 def align(left: list, right: list) -> list[tuple[int, int]]:
     """Patience diff: rising pairs ``(i, j)`` with ``left[i] == right[j]``."""
     found: list[tuple[int, int]] = []
@@ -59,14 +85,10 @@ def align(left: list, right: list) -> list[tuple[int, int]]:
             found.append((b, d))
         if a == b or c == d:
             continue
-        one: dict = {}
-        for i in range(a, b):
-            one[left[i]] = -1 if left[i] in one else i
-        two: dict = {}
-        for j in range(c, d):
-            two[right[j]] = -1 if right[j] in two else j
-        anchors = [(i, two[x]) for x, i in one.items() if i >= 0 and two.get(x, -1) >= 0]
-        anchors = _rising(sorted(anchors))
+        one, two = _places(left, a, b), _places(right, c, d)
+        shared = [(one[x], two[x]) for x in one if x in two]
+        single = [(i[0], j[0]) for i, j in shared if len(i) == len(j) == 1]
+        anchors = _rising(sorted(single or [p for i, j in shared for p in zip(i, j)]))
         for i, j in anchors:
             work.append((a, i, c, j))
             found.append((i, j))
@@ -76,20 +98,63 @@ def align(left: list, right: list) -> list[tuple[int, int]]:
     return sorted(found)
 
 
+def _runs(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Ranges of the second side in which both sides go on line by line."""
+    out: list[tuple[int, int]] = []
+    for at, (i, j) in enumerate(pairs):
+        if at and pairs[at - 1] == (i - 1, j - 1):
+            out[-1] = (out[-1][0], j + 1)
+        else:
+            out.append((j, j + 1))
+    return out
+
+
 def common_blocks(left: list, right: list, sizes: list[int], least: int = MIN_BLOCK_CHARS) -> list[tuple[int, int]]:
     """Ranges of ``right`` that are runs of aligned lines with ``least`` characters or more."""
     out: list[tuple[int, int]] = []
-    pairs = align(left, right)
-    at = 0
-    while at < len(pairs):
-        end = at + 1
-        while end < len(pairs) and pairs[end][0] == pairs[end - 1][0] + 1 and pairs[end][1] == pairs[end - 1][1] + 1:
-            end += 1
-        first, last = pairs[at][1], pairs[end - 1][1] + 1
-        if sum(sizes[first:last]) >= least:
-            out.append((first, last))
-        at = end
-    return out
+    known = set(left)
+    work = [(0, len(right))]
+    while work:
+        at, end = work.pop()
+        if sum(sizes[k] for k in range(at, end) if right[k] in known) < least:
+            continue
+        runs = [(at + i, at + j) for i, j in _runs(align(left, right[at:end]))]
+        blocks = [(i, j) for i, j in runs if sum(sizes[i:j]) >= least]
+        out += blocks
+        if blocks:
+            for i, j in blocks:
+                work.append((at, i))
+                at = j
+            work.append((at, end))
+    return sorted(out)
+
+
+def _powers(base: int, count: int) -> np.ndarray:
+    out = np.full(count, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+def run_hashes(hashes: np.ndarray, sizes: np.ndarray, least: int = MIN_BLOCK_CHARS) -> np.ndarray:
+    """Hashes of the shortest runs with ``least`` characters, one for each line that starts one."""
+    n = len(hashes)
+    before = np.concatenate([[0], np.cumsum(sizes)])
+    starts = np.flatnonzero((before[-1] - before[:-1] >= least) & (sizes > 0))
+    ends = np.searchsorted(before, before[starts] + least)
+    # A polynomial of the lines up to each place; differences are brought to the power 0.
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(mix(hashes.view(np.uint64)) * _powers(_BASE, n), out=sums[1:])
+    length = (ends - starts).astype(np.uint64)
+    return mix((sums[ends] - sums[starts]) * _powers(_BASE_INVERSE, n)[starts] + length).view(np.int64)
+
+
+def _with_runs(batches):
+    for batch in batches:
+        runs = [
+            np.unique(run_hashes(np.array(h.as_py(), np.int64), np.array(n.as_py(), np.int64)))
+            for h, n in zip(batch.column("hashes"), batch.column("sizes"))
+        ]
+        yield batch.append_column("runs", pa.array(runs, pa.list_(pa.int64())))
 
 
 def _aligned(batches):
@@ -107,25 +172,24 @@ def _aligned(batches):
         )
 
 
-def _lines(text) -> Column:
-    return F.split(text, "\n", -1)
-
-
 def repeated_blocks(docs: DataFrame) -> DataFrame:
     """``doc_id, text_hash, blocks`` of documents that repeat earlier ones; blocks are line ranges.
 
     Null blocks stand for the whole text.
     """
-    lines = _lines("text")
-    table = stored(
-        docs.where("doc_id IS NOT NULL AND text <> ''").select(
-            F.col("doc_id").cast("bigint").alias("doc_id"),
-            F.struct(F.xxhash64("text").alias("h"), F.crc32(F.encode("text", "UTF-8")).alias("c"), F.length("text").alias("n")).alias("text_key"),
-            F.transform(lines, lambda line: F.xxhash64(line)).alias("hashes"),
-            F.transform(lines, lambda line: F.length(line)).alias("sizes"),
-        ),
-        "lines",
+    texts = docs.where("doc_id IS NOT NULL AND text <> ''").select(
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.struct(F.xxhash64("text").alias("h"), F.crc32(F.encode("text", "UTF-8")).alias("c"), F.length("text").alias("n")).alias("text_key"),
+        F.transform(F.split("text", LINE_END, -1), lambda line: F.btrim(line, F.lit(" \n"))).alias("lines"),
+    )
+    hashed = texts.select(
+        "doc_id",
+        "text_key",
+        F.transform("lines", lambda line: F.xxhash64(line)).alias("hashes"),
+        F.transform("lines", lambda line: F.length(line)).alias("sizes"),
     )
+    schema = T.StructType([*hashed.schema, T.StructField("runs", T.ArrayType(T.LongType()))])
+    table = stored(hashed.mapInArrow(_with_runs, schema), "lines")
     first_ids = table.groupBy("text_key").agg(F.min("doc_id").alias("first_id"))
     firsts = table.join(first_ids.withColumnRenamed("first_id", "doc_id"), ["doc_id", "text_key"], "left_semi")
     firsts = stored(firsts.dropDuplicates(["doc_id", "text_key"]), "lines-first")
@@ -136,9 +200,9 @@ def repeated_blocks(docs: DataFrame) -> DataFrame:
         .where(f"doc_id <> first_id AND text_key.n >= {MIN_BLOCK_CHARS}")
         .select("doc_id", "text_key.h", F.lit(None).cast("array<struct<first:int,last:int>>").alias("blocks"))
     )
-    holds = firsts.select("doc_id", F.explode(F.array_distinct("hashes")).alias("line"))
-    holders = holds.groupBy("line").agg(F.min("doc_id").alias("one"), F.max("doc_id").alias("last"))
-    pairs = holds.join(holders.where("one <> last").select("line", "one"), "line").where("doc_id <> one")
+    holds = firsts.select("doc_id", F.explode("runs").alias("run"))
+    holders = holds.groupBy("run").agg(F.min("doc_id").alias("one"), F.max("doc_id").alias("last"))
+    pairs = holds.join(holders.where("one <> last").select("run", "one"), "run").where("doc_id <> one")
     pairs = stored(pairs.select("one", "doc_id").distinct(), "lines-pairs")
     later = firsts.select("doc_id", F.col("text_key.h").alias("text_hash"), F.col("hashes").alias("later"), "sizes")
     earlier = firsts.select(F.col("doc_id").alias("one"), F.col("hashes").alias("earlier"))
@@ -152,10 +216,32 @@ def repeated_blocks(docs: DataFrame) -> DataFrame:
     return stored(found.union(copies), "lines-blocks")
 
 
-def _without(blocks: Column) -> Column:
-    return F.filter(
-        _lines("text"), lambda _, i: ~F.exists(blocks, lambda b: (b["first"] <= i) & (i < b["last"]))
-    )
+def without(text: str, blocks: list[tuple[int, int]]) -> tuple[str, int]:
+    """``text`` without the lines of the blocks, and how many those are."""
+    lines = _LINE_END.split(text)
+    gone = np.zeros(len(lines), bool)
+    for first, last in blocks:
+        gone[first:last] = True
+    kept: list[str] = []
+    for line, out in zip(lines, gone.tolist()):
+        if not out:
+            kept.append(line)
+        elif line.endswith("\n") and kept and not kept[-1].endswith("\n"):
+            kept.append("\n")
+    return "".join(kept), int(gone.sum())
+
+
+@pandas_udf(T.StructType().add("text", T.StringType()).add("removed", T.IntegerType()))
+def _left_over(texts: pd.Series, blocks: pd.Series) -> pd.DataFrame:
+    rows = []
+    for text, ranges in zip(texts, blocks):
+        if text is None:
+            rows.append((None, 0))
+        elif ranges is None:
+            rows.append(("", len(_LINE_END.split(text))))
+        else:
+            rows.append(without(text, [(r["first"], r["last"]) for r in ranges]))
+    return pd.DataFrame(rows, columns=["text", "removed"])
 
 
 def _cut(docs: DataFrame) -> DataFrame:
@@ -163,14 +249,14 @@ def _cut(docs: DataFrame) -> DataFrame:
     found = repeated_blocks(docs)
     found = found.select(*(F.col(c).alias(f"_dl_{c}") for c in found.columns), F.lit(True).alias("_dl_found"))
     own = (F.col("doc_id").cast("bigint") == F.col("_dl_doc_id")) & (F.xxhash64("text") == F.col("_dl_text_hash"))
-    nothing = F.array().cast("array<string>")
-    left = F.when(F.col("_dl_blocks").isNull(), nothing).otherwise(_without(F.col("_dl_blocks")))
     # The table of blocks grows with the corpus: never broadcast, whatever its size just now.
-    joined = docs.join(found.hint("merge"), own, "left").withColumn("_dl_left", F.when(F.col("_dl_found"), left))
-    text = F.when(F.col("_dl_found"), F.concat_ws("\n", "_dl_left")).otherwise(F.col("text"))
+    joined = docs.join(found.hint("merge"), own, "left")
+    # Only texts with blocks go to Python.
+    joined = joined.withColumn("_dl_left", _left_over(F.when(F.col("_dl_found"), F.col("text")), F.col("_dl_blocks")))
+    text = F.when(F.col("_dl_found"), F.col("_dl_left.text")).otherwise(F.col("text"))
     return joined.withColumn("_dl_text", text).withColumns(
         {
-            "_dl_removed": F.when(F.col("_dl_found"), F.size(_lines("text")) - F.size("_dl_left")).otherwise(0),
+            "_dl_removed": F.col("_dl_left.removed"),
             "_dl_emptied": F.col("_dl_found").isNotNull() & (F.trim(F.regexp_replace("_dl_text", SPACE, " ")) == ""),
         }
     )

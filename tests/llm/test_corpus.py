@@ -134,6 +134,45 @@ def test_alignment_rises_and_matches():
     assert linededup.align([1, 2, 3, 9], [7, 1, 2, 3]) == [(0, 1), (1, 2), (2, 3)]
 
 
+def test_blocks_that_come_twice_or_without_single_lines():
+    sizes = [60, 60]
+    assert linededup.common_blocks([1, 2, 7], [1, 2, 8, 1, 2], [60, 60, 60, 60, 60]) == [(0, 2), (3, 5)]
+    assert linededup.common_blocks([5, 1, 2, 6, 1, 2, 7], [8, 1, 2, 9, 1, 2, 4], [60] * 7) == [(1, 3), (4, 6)]
+    assert linededup.common_blocks([1, 9, 2], [1, 2], sizes) == []
+
+
+def test_runs_are_hashed_alike_wherever_they_stand():
+    rng = np.random.default_rng(2)
+    for _ in range(100):
+        hashes, sizes = rng.integers(-(1 << 62), 1 << 62, 6), rng.integers(0, 60, 6)
+        head, tail = rng.integers(0, 9, 3), rng.integers(0, 9, 4)
+        longer = linededup.run_hashes(np.concatenate([head, hashes, tail]), np.concatenate([head, sizes, tail]))
+        assert set(linededup.run_hashes(hashes, sizes)) <= set(longer)
+        assert len(linededup.run_hashes(hashes, sizes)) == sum(sizes[i:].sum() >= 100 and sizes[i] > 0 for i in range(6))
+
+
+def test_line_dedup_inside_lines(spark):
+    """Passages within lines; blocks whose lines have other first holders one by one; kept line breaks."""
+    passage = ". ".join(prose(700 + i, 14) for i in range(5)) + "."
+    one, two = prose(800, 6), prose(801, 12)
+    texts = {
+        1: f"{prose(1, 9)}. {passage} {prose(2, 5)}",
+        2: f"{prose(3, 9)}. {passage} {prose(4, 5)}\n{prose(5, 5)}",
+        3: f"{prose(6, 9)}. {passage}\n{prose(7, 5)}\n{passage}",
+        4: f"{one}\n{prose(8, 30)}",
+        5: f"{prose(9, 30)}\n{two}",
+        6: f"{one}\n{two}\n{prose(10, 7)}",
+        7: f"{prose(11, 7)}\n{one}\n{two}",
+        8: f"{prose(12, 30)}. {one}",
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id int, text string")
+    out = {r["doc_id"]: r["text"] for r in linededup.dedup_lines(docs).collect()}
+    assert {i: out[i] for i in (1, 4, 5, 6, 8)} == {i: texts[i] for i in (1, 4, 5, 6, 8)}
+    assert out[2] == f"{prose(3, 9)}. {prose(4, 5)}\n{prose(5, 5)}"
+    assert out[3] == f"{prose(6, 9)}. \n{prose(7, 5)}\n"
+    assert out[7] == f"{prose(11, 7)}\n"
+
+
 def distance(a: str, b: str) -> int:
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):

@@ -180,6 +180,71 @@ def event_disposition_query(spark, sf_dir):
     return event_disposition(objects(spark, sf_dir), rules(spark), KEY).select("o_orderkey", "status")
 
 
+FOLDER_CHECKED_SQL = f"""
+SELECT e.o_orderkey, e.is_folder, r.job, r.auto_trigger
+FROM (SELECT o_orderkey, false AS is_folder, bucket, name FROM ({OBJECTS_SQL})
+      UNION ALL SELECT o_orderkey, true, bucket, regexp_replace(name, 'part-.*', '') FROM ({OBJECTS_SQL})) e
+JOIN {RULES_SQL.replace('AS rules(', 'AS r(')} ON e.bucket = r.source_bucket AND regexp_matches(e.name, r.source_prefix)
+LEFT JOIN (SELECT DISTINCT bucket, regexp_replace(name, 'part-.*', '') AS name FROM ({OBJECTS_SQL})
+           WHERE name NOT LIKE '%part-3.csv') f ON f.bucket = e.bucket AND f.name = e.name
+WHERE r.mode <> 'folder' OR f.name IS NOT NULL
+"""
+EVENT_KEYS_SQL = "SELECT o_orderkey, is_folder FROM orders, (VALUES (false), (true)) AS k(is_folder)"
+
+
+def folder_checked(spark, sf_dir):
+    """Events of all objects and of their folders, and a listing that lacks some of both."""
+    found = objects(spark, sf_dir).withColumn("is_folder", F.lit(False))
+    folders = found.withColumns({"name": F.regexp_replace("name", "part-.*", ""), "is_folder": F.lit(True)})
+    listing = objects(spark, sf_dir).filter(~F.col("name").like("%part-3.csv"))
+    return found.unionByName(folders), listing
+
+
+@query(
+    "event_disposition_with_manifest",
+    f"""
+    SELECT k.o_orderkey, k.is_folder, CASE WHEN count(p.job) > 0 THEN 'accepted' ELSE 'ignored' END AS status
+    FROM ({EVENT_KEYS_SQL}) k LEFT JOIN (SELECT * FROM ({FOLDER_CHECKED_SQL}) WHERE auto_trigger) p USING (o_orderkey, is_folder)
+    GROUP BY 1, 2
+    """,
+)
+def event_disposition_with_manifest(spark, sf_dir):
+    events, listing = folder_checked(spark, sf_dir)
+    found = event_disposition(events, rules(spark), ["o_orderkey", "is_folder"], listing)
+    return found.select("o_orderkey", "is_folder", "status")
+
+
+@query(
+    "resolve_single_job_with_manifest",
+    f"""
+    SELECT k.o_orderkey, k.is_folder, CASE WHEN count(p.job) = 1 THEN min(p.job) END AS job,
+           CASE WHEN count(p.job) = 0 THEN 'not found' WHEN count(p.job) > 1 THEN 'multiple matches' END AS error
+    FROM ({EVENT_KEYS_SQL}) k LEFT JOIN ({FOLDER_CHECKED_SQL}) p USING (o_orderkey, is_folder) GROUP BY 1, 2
+    """,
+)
+def resolve_single_job_with_manifest(spark, sf_dir):
+    events, listing = folder_checked(spark, sf_dir)
+    found = resolve_single_job(events, rules(spark), ["o_orderkey", "is_folder"], listing)
+    return found.select("o_orderkey", "is_folder", "job", "error")
+
+
+@query(
+    "resolve_repeated_keys",
+    f"""
+    SELECT e.event_id, count(r.job) AS n_matches, CASE WHEN count(r.job) = 1 THEN min(r.job) END AS job
+    FROM ({USER_OBJECTS_SQL}) e LEFT JOIN ({USER_RULES_SQL}) r
+      ON e.bucket = r.source_bucket AND starts_with(e.name, split_part(substr(r.source_prefix, 2), '\\', 1))
+     AND regexp_matches(e.name, r.source_prefix)
+    GROUP BY 1
+    """,
+)
+def resolve_repeated_keys(spark, sf_dir):
+    """Many rules, and event keys that repeat and are null."""
+    events = user_objects(spark, sf_dir).withColumn("key", F.nullif(F.col("event_id") % 3, F.lit(0)))
+    found = resolve_single_job(events, user_rules(spark, sf_dir), ["key"])
+    return found.select("event_id", F.col("n_matches").cast("bigint").alias("n_matches"), "job")
+
+
 @query(
     "lookup_by_name",
     """

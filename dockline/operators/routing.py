@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..functions.paths import ancestor_folders, has_wildcards
-from ..options import java_regex
+from ..options import translated_regex
 from .classify import classify_paths
 
 # A registry up to this many rules is written into the plan.
@@ -41,7 +41,7 @@ def rule_anchor(pattern: Column) -> Column:
 
 
 def _java_pattern(pattern: Column) -> Column:
-    """``java_regex`` for patterns that stand in a column."""
+    """``translated_regex`` for patterns that stand in a column."""
     groups = F.replace(pattern, F.lit("(?P<"), F.lit("(?<"))
     return F.regexp_replace(groups, r"\(\?P=(\w+)\)", r"\\k<$1>")
 
@@ -79,7 +79,7 @@ def _inline_hits(events: DataFrame, listed: list[Row], bucket: str, name: str) -
     for source_bucket, group in by_bucket.items():
         tests = []
         for position, rule in group:
-            found = F.rlike(text, F.lit(java_regex(rule.source_prefix)))
+            found = F.rlike(text, F.lit(translated_regex(rule.source_prefix)))
             # A file or marker rule needs a name to look at.
             found = found if rule.mode == "folder" else named & found
             tests.append(F.when(found, F.lit(position)).otherwise(F.lit(-1)))
@@ -146,22 +146,52 @@ def with_matches(
     event_key: list[str],
     bucket: str = "bucket",
     name: str = "name",
+    manifest: DataFrame | None = None,
 ) -> DataFrame:
-    """Events with ``matches``, the array of their rules in registry order."""
+    """Events with ``matches``, the array of their rules in registry order.
+
+    ``event_key`` may repeat and may be null: what matches depends on bucket and name
+    alone. With a manifest, folder rules also need the event's path to be a folder.
+    """
+    matched = _with_matches(events, rules, bucket, name)
+    return matched if manifest is None else _folders_checked(matched, manifest, bucket, name)
+
+
+def _folders_checked(matched: DataFrame, manifest: DataFrame, bucket: str, name: str) -> DataFrame:
+    path = F.coalesce(F.col(name), F.lit(""))
+    asked = matched.filter(F.exists("matches", lambda m: m["mode"] == "folder"))
+    probes = asked.select(F.col(bucket).alias("bucket"), path.alias("path")).distinct()
+    folders = (
+        classify_paths(probes, manifest)
+        .filter(has_wildcards(F.col("path")) | (F.col("path_class") == "folder"))
+        .select(F.col("bucket").alias("_folder_bucket"), F.col("path").alias("_folder"))
+    )
+    kept = F.filter("matches", lambda m: ~m["mode"].eqNullSafe(F.lit("folder")) | F.col("_folder").isNotNull())
+    return (
+        matched.join(folders, (F.col(bucket) == F.col("_folder_bucket")) & (path == F.col("_folder")), "left")
+        .withColumn("matches", kept)
+        .drop("_folder_bucket", "_folder")
+    )
+
+
+def _with_matches(events: DataFrame, rules: DataFrame, bucket: str, name: str) -> DataFrame:
     rules = with_ordinal(rules)
     listed = _inline_rules(rules)
     if listed is not None:
         marked, entries = _inline_hits(events, listed, bucket, name)
         found = F.transform("_hits", lambda hit: F.get(entries, hit))
         return marked.withColumn("matches", found).drop("_hits")
-    # An event's array is bounded by the registry, not by the events.
+    # Every object is matched once, however many events name it. Its array is bounded by
+    # the registry, not by the events.
+    text = F.coalesce(F.col(name), F.lit(""))
     found = (
-        match_pairs(events.select(*dict.fromkeys([*event_key, bucket, name])), rules, bucket, name)
-        .groupBy(*event_key)
+        match_pairs(events.select(F.col(bucket).alias("_in"), text.alias("_text")).distinct(), rules, "_in", "_text")
+        .groupBy("_in", "_text")
         .agg(F.array_sort(F.collect_list("rule")).alias("matches"))
     )
     empty = F.array().cast(f"array<{_MATCH}>")
-    return events.join(found, event_key, "left").withColumn("matches", F.coalesce("matches", empty))
+    joined = events.join(found, (F.col(bucket) == F.col("_in")) & (text == F.col("_text")), "left")
+    return joined.drop("_in", "_text").withColumn("matches", F.coalesce("matches", empty))
 
 
 def _folder_pairs(events: DataFrame, rules: DataFrame, manifest: DataFrame, bucket: str, name: str) -> DataFrame:
@@ -200,11 +230,13 @@ def route_events(
     )
 
 
-def resolve_single_job(events: DataFrame, rules: DataFrame, event_key: list[str]) -> DataFrame:
+def resolve_single_job(
+    events: DataFrame, rules: DataFrame, event_key: list[str], manifest: DataFrame | None = None
+) -> DataFrame:
     """The one rule of an event, manual rules included; several or none is an error."""
     n = F.size("matches")
     return (
-        with_matches(events, rules, event_key)
+        with_matches(events, rules, event_key, manifest=manifest)
         .withColumn("n_matches", n)
         .withColumn("job", F.when(n == 1, F.col("matches")[0]["name"]))
         .withColumn("error", F.when(n == 0, F.lit("not found")).when(n > 1, F.lit("multiple matches")))
@@ -285,10 +317,12 @@ def multi_match(events: DataFrame, rules: DataFrame, event_key: list[str]) -> Da
     )
 
 
-def event_disposition(events: DataFrame, rules: DataFrame, event_key: list[str]) -> DataFrame:
+def event_disposition(
+    events: DataFrame, rules: DataFrame, event_key: list[str], manifest: DataFrame | None = None
+) -> DataFrame:
     """``accepted`` if some rule starts, else ``ignored``."""
     started = rules.filter(F.coalesce("auto_trigger", F.lit(True)))
-    return with_matches(events, started, event_key).select(
+    return with_matches(events, started, event_key, manifest=manifest).select(
         *events.columns,
         F.when(F.size("matches") > 0, F.lit("accepted")).otherwise(F.lit("ignored")).alias("status"),
     )

@@ -93,6 +93,11 @@ def java_regex(pattern: str, need_group: bool = False) -> str:
     compiled = re.compile(pattern)
     if need_group and compiled.groups < 1:
         raise ValueError(f"{pattern!r} needs a capture group")
+    return translated_regex(pattern)
+
+
+def translated_regex(pattern: str) -> str:
+    """Named groups and references as the JVM writes them; the rest is taken as it is."""
     return re.sub(r"\(\?P=(\w+)\)", r"\\k<\1>", pattern.replace("(?P<", "(?<"))
 
 

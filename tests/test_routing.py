@@ -77,6 +77,26 @@ def test_matches_are_in_registry_order(spark, form):
         assert [m.name for m in row.matches] == [r[1] for r in rules if (row.id, r[1]) in pairs]
 
 
+def test_repeated_and_null_keys(spark, form):
+    events = [(1, "b0", "a/x"), (1, "b0", "z"), (None, "b0", "a/x"), (2, None, "a/x"), (3, "b0", None)]
+    rules = [(0, "r", "b0", "^a/", "file", True), (1, "s", "b0", r"^\p{L}/", None, True)]
+    df = with_matches(spark.createDataFrame(events, EVENTS), spark.createDataFrame(rules, RULES), ["id"])
+    found = sorted((str(r.id), str(r.bucket), str(r.name), len(r.matches)) for r in df.collect())
+    assert found == [
+        ("1", "b0", "a/x", 2), ("1", "b0", "z", 0), ("2", "None", "a/x", 0), ("3", "b0", "None", 0), ("None", "b0", "a/x", 2)
+    ]
+
+
+def test_folder_rules_need_a_folder(spark, form):
+    events = spark.createDataFrame([(1, "b", "a/b"), (2, "b", "both"), (3, "b", "nope"), (4, "b", "a/*")], EVENTS)
+    rules = spark.createDataFrame([(0, "f", "b", ".", "folder", True), (1, "o", "b", "^both", None, False)], RULES)
+    manifest = spark.createDataFrame(OBJECTS, "bucket string, name string")
+    jobs = {r.id: (r.job, r.error) for r in routing.resolve_single_job(events, rules, ["id"], manifest).collect()}
+    assert jobs == {1: ("f", None), 2: ("o", None), 3: (None, "not found"), 4: ("f", None)}
+    status = {r.id: r.status for r in routing.event_disposition(events, rules, ["id"], manifest).collect()}
+    assert status == {1: "accepted", 2: "ignored", 3: "ignored", 4: "accepted"}
+
+
 def test_only_automatic_rules_start(spark, form):
     events, rules = make(spark, 100)
     routed = route_events(spark.createDataFrame(events, EVENTS), spark.createDataFrame(rules, RULES))

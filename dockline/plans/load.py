@@ -35,8 +35,6 @@ POLICIES = ("fail", "quarantine")
 
 # File paths with their values, about 300 bytes each, are broadcast up to this many.
 BROADCAST_FILES = 200_000
-# Up to this many files without a partition value are read by name.
-REREAD_FILES = 1_000
 
 AUDIT_SCHEMA = T.StructType(
     [
@@ -210,16 +208,14 @@ def _source(spark: SparkSession, spec: LoadSpec, paths: list[str], schema: str |
 def _quarantine(source: DataFrame, files: DataFrame, spec: LoadSpec, run_uuid: str) -> int:
     """Set aside the rows of files whose path names no partition; their number.
 
-    The file list tells which files those are, so usually only they are read.
+    The file list tells whether there are any. A filter on nothing but the path is
+    applied to the listing of the scan, so only those files are read.
     """
     text = extract_partition(_searched(spec, source_path()), spec.partition_regex)
     value = parse_partition_value(text, spec.partition_format, spec.table.column_type)
     data = T.StructType([f for f in source.schema.fields if f.name != SOURCE_PATH])
-    bad = [row.path for row in files.filter(value.isNull()).select(source_path().alias("path")).limit(REREAD_FILES + 1).collect()]
-    if not bad:
+    if files.filter(value.isNull()).isEmpty():
         return 0
-    if len(bad) <= REREAD_FILES and not any(set(path) & set("*?[]{}\\") for path in bad):
-        source = _source(source.sparkSession, spec, bad, data)
     reason = F.when(text.isNull(), F.lit("no partition in path")).otherwise(F.lit("malformed partition value"))
     rejects = source.filter(value.isNull()).select(
         F.lit(run_uuid).alias("run_uuid"),
@@ -278,7 +274,8 @@ def _audit(
 
 def _store_audit(row: DataFrame, spec: LoadSpec) -> None:
     if spec.audit_path:
-        row.write.mode("append").json(spec.audit_path)
+        # A run that is repeated replaces its row.
+        row.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_uuid").json(spec.audit_path)
 
 
 def convert_format(

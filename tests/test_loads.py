@@ -130,6 +130,19 @@ def test_quarantine(spark, folder, limit, monkeypatch):
     assert rejected.filter("path LIKE '%nodate%'").orderBy("raw").head().raw == '{"id":0,"day":"nodate"}'
 
 
+def test_quarantine_keeps_the_columns_of_the_path(spark, folder):
+    source, aside = f"{folder}/in", f"{folder}/aside"
+    write_days(source, ["region=eu/day=20240101", "region=eu/day=20240199"])
+    careful = spec(
+        f"{folder}/table", recursive=False, partition_regex=r"day=(\d{8})", on_error="quarantine", quarantine_path=aside,
+        audit_path=f"{folder}/audit",
+    )
+    for _ in range(2):
+        run_load(spark, careful, source, "r1")
+    assert spark.read.parquet(aside).orderBy("raw").head().raw == '{"id":0,"region":"eu","day":"20240199"}'
+    assert spark.read.json(f"{folder}/audit").count() == 1
+
+
 def test_paths_with_escapes(spark, folder):
     source, target = f"{folder}/in", f"{folder}/table"
     write_days(f"{source}/a b%+c", ["20240101"])

@@ -208,8 +208,7 @@ def _source(spark: SparkSession, spec: LoadSpec, paths: list[str], schema: str |
 def _quarantine(source: DataFrame, files: DataFrame, spec: LoadSpec, run_uuid: str) -> int:
     """Set aside the rows of files whose path names no partition; their number.
 
-    The file list tells whether there are any. A filter on nothing but the path is
-    applied to the listing of the scan, so only those files are read.
+    The file list tells whether there are any; if so, the source is filtered by path.
     """
     text = extract_partition(_searched(spec, source_path()), spec.partition_regex)
     value = parse_partition_value(text, spec.partition_format, spec.table.column_type)

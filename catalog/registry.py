@@ -144,11 +144,11 @@ def bounded_batch(spark, sf_dir):
 
 @query(
     "key_intersection",
-    "SELECT o_custkey AS name FROM orders INTERSECT SELECT c_custkey FROM customer WHERE c_nationkey < 10",
+    "SELECT o_custkey AS name FROM orders INTERSECT SELECT s_suppkey FROM supplier",
 )
 def key_intersection_query(spark, sf_dir):
     left = orders(spark, sf_dir).select(F.col("o_custkey").alias("name"))
-    right = table(spark, sf_dir, "customer").filter("c_nationkey < 10").select(F.col("c_custkey").alias("name"))
+    right = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("name"))
     return key_intersection(left, right, ["name"])
 
 
@@ -183,11 +183,19 @@ def union_evolving_query(spark, sf_dir):
 
 @query(
     "check_rules",
-    """
+    r"""
     WITH rules AS (SELECT p_name AS name, CASE WHEN p_size % 9 > 0 THEN lower(p_type) END AS mode,
-                          'c' || (p_partkey % 40) AS cluster FROM part)
+                          'c' || (p_partkey % 40) AS cluster,
+                          '^' || p_name || CASE p_partkey % 7 WHEN 0 THEN '/(\d{8}' WHEN 1 THEN '/[' ELSE '/(\d{8})' END AS prefix,
+                          CASE p_partkey % 5 WHEN 0 THEN 'PT' || p_size || 'M' WHEN 1 THEN p_size || ' minutes'
+                               WHEN 2 THEN 'P' || p_size || 'D' WHEN 3 THEN 'PT' END AS delay,
+                          p_partkey % 4 = 0 AS has_colour FROM part)
     SELECT name, 'missing:mode' AS finding FROM rules WHERE mode IS NULL
     UNION ALL SELECT name, 'invalid:mode=' || mode FROM rules WHERE mode NOT IN ('file', 'folder', 'marker', 'economy')
+    UNION ALL SELECT name, 'invalid:source_prefix=' || prefix FROM rules WHERE TRY(regexp_matches('', prefix)) IS NULL
+    UNION ALL SELECT name, 'invalid:schedule_delay=' || delay FROM rules
+              WHERE delay IS NOT NULL AND NOT regexp_full_match(delay, 'P\d+D|PT\d+M')
+    UNION ALL SELECT name, 'unknown:colour' FROM rules WHERE has_colour
     UNION ALL SELECT name, 'duplicate name' FROM rules GROUP BY name HAVING count(*) > 1
     UNION ALL SELECT name, 'unknown cluster: ' || cluster FROM rules
               WHERE cluster NOT IN (SELECT 'c' || n_nationkey FROM nation)
@@ -195,10 +203,30 @@ def union_evolving_query(spark, sf_dir):
 )
 def check_rules_query(spark, sf_dir):
     """The whole integrity report, with parts standing in for rules."""
+    key = F.col("p_partkey")
+    size = F.col("p_size").cast("string")
+    ending = F.when(key % 7 == 0, r"/(\d{8}").when(key % 7 == 1, "/[").otherwise(r"/(\d{8})")
+    delay = (
+        F.when(key % 5 == 0, F.concat(F.lit("PT"), size, F.lit("M")))
+        .when(key % 5 == 1, F.concat(size, F.lit(" minutes")))
+        .when(key % 5 == 2, F.concat(F.lit("P"), size, F.lit("D")))
+        .when(key % 5 == 3, "PT")
+    )
     registry = table(spark, sf_dir, "part").select(
         F.col("p_name").alias("name"),
         F.when(F.col("p_size") % 9 > 0, F.lower("p_type")).alias("mode"),
-        F.concat(F.lit("c"), (F.col("p_partkey") % 40).cast("string")).alias("cluster_blueprint_name"),
+        F.concat(F.lit("c"), (key % 40).cast("string")).alias("cluster_blueprint_name"),
+        F.concat(F.lit("^"), "p_name", ending).alias("source_prefix"),
+        delay.alias("schedule_delay"),
+        F.when(key % 4 == 0, F.col("p_brand")).alias("colour"),
     )
     clusters = table(spark, sf_dir, "nation").select(F.concat(F.lit("c"), F.col("n_nationkey").cast("string")).alias("name"))
-    return check_rules(registry, clusters, ["name", "mode"], {"mode": [*MODES, "economy"]})
+    return check_rules(
+        registry,
+        clusters,
+        ["name", "mode"],
+        {"mode": [*MODES, "economy"]},
+        patterns=["source_prefix"],
+        durations=["schedule_delay"],
+        known=["name", "mode", "cluster_blueprint_name", "source_prefix", "schedule_delay"],
+    )

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.functions import pandas_udf
+
+from ..functions.durations import iso_duration_micros
 
 
 def fk_violations(child: DataFrame, parent: DataFrame, keys: dict[str, str]) -> DataFrame:
@@ -44,18 +50,49 @@ def first_match(df: DataFrame, keys: Sequence[str], ordinal: str, columns: Seque
     return df.groupBy(*keys).agg(row.alias("_row")).select(*keys, "_row.*")
 
 
-def check_rules(rules: DataFrame, clusters: DataFrame, required: Sequence[str], domains: dict[str, Sequence[str]]) -> DataFrame:
+@pandas_udf(T.StringType())
+def pattern_error(patterns: pd.Series) -> pd.Series:
+    """What keeps a regular expression from being one; NULL if nothing does."""
+
+    def error(pattern: str | None) -> str | None:
+        try:
+            re.compile(pattern or "")
+        except re.error as e:
+            return str(e)
+        return None
+
+    return patterns.map(error)
+
+
+def check_rules(
+    rules: DataFrame,
+    clusters: DataFrame,
+    required: Sequence[str],
+    domains: dict[str, Sequence[str]],
+    patterns: Sequence[str] = (),
+    durations: Sequence[str] = (),
+    known: Sequence[str] | None = None,
+) -> DataFrame:
     """All findings about a rule registry: ``name, finding``.
 
-    Missing fields, values outside their domain, duplicate names, and references
-    to clusters that do not exist.
+    Missing fields, values outside their domain, ``patterns`` that are no regular
+    expressions, ``durations`` that are no ISO durations, filled columns that are not
+    ``known`` (if given), duplicate names, and references to clusters that do not exist.
     """
-    absent = [F.when(F.col(c).isNull(), F.lit(f"missing:{c}")) for c in required]
-    outside = [
-        F.when(F.col(c).isNotNull() & ~F.col(c).isin(list(allowed)), F.concat(F.lit(f"invalid:{c}="), F.col(c)))
-        for c, allowed in domains.items()
+
+    def invalid(c: str) -> Column:
+        return F.concat(F.lit(f"invalid:{c}="), F.col(c))
+
+    checks = [F.when(F.col(c).isNull(), F.lit(f"missing:{c}")) for c in required]
+    checks += [
+        F.when(F.col(c).isNotNull() & ~F.col(c).isin(list(allowed)), invalid(c)) for c, allowed in domains.items()
     ]
-    rows = rules.select("name", F.explode(F.array_compact(F.array(*absent, *outside))).alias("finding"))
+    checks += [F.when(pattern_error(F.col(c)).isNotNull(), invalid(c)) for c in patterns]
+    checks += [F.when(F.col(c).isNotNull() & iso_duration_micros(F.col(c)).isNull(), invalid(c)) for c in durations]
+    if known is not None:
+        checks += [F.when(F.col(c).isNotNull(), F.lit(f"unknown:{c}")) for c in rules.columns if c not in known]
+    findings = F.array_compact(F.array(*checks).cast("array<string>"))
+    rows = rules.select("name", F.explode(findings).alias("finding"))
     duplicates = duplicate_keys(rules, ["name"]).select("name", F.lit("duplicate name").alias("finding"))
     dangling = fk_violations(rules, clusters, {"cluster_blueprint_name": "name"}).select(
         "name", F.concat(F.lit("unknown cluster: "), F.coalesce("cluster_blueprint_name", F.lit("NULL"))).alias("finding")

@@ -9,7 +9,7 @@ from dockline.options import parse_separator
 from dockline.session import scratch
 from dockline.sinks.storage import Folder
 from dockline.sources.events import parse_events, rejected_records, valid_events
-from dockline.sources.manifest import expand_paths, expand_wildcard, object_manifest
+from dockline.sources.manifest import expand_folders, expand_wildcard, object_manifest
 from dockline.sources.scan import normalize_timestamps, scan, source_path
 
 from . import query
@@ -156,7 +156,7 @@ def expand_wildcard_query(spark, sf_dir):
 def scan_wildcard(spark, sf_dir):
     """List, expand the pattern, read the matching folders in one scan."""
     root = monthly_orders(spark, sf_dir)
-    paths = expand_paths(object_manifest(spark, root, "b"), "199[78]0?", root)
+    paths = expand_folders(spark, f"{root}/199[78]0?")
     df = scan(spark, paths, "delimited", delimiter=",", schema=ORDERS_TEXT_SCHEMA, lineage=True)
     month = F.regexp_extract(source_path(), r"/daily/data/(\d{6})/", 1)
     return df.groupBy(month.alias("month")).agg(F.count(F.lit(1)).alias("n"), cents("o_totalprice").alias("total"))

@@ -17,7 +17,6 @@ from ..functions.partitions import (
     partition_from_path,
     partition_name,
 )
-from ..options import has_wildcards
 from ..sinks.storage import drop_folder, refuse_overlap
 from ..sinks.table import (
     KNOWN_PART_ID,
@@ -27,7 +26,7 @@ from ..sinks.table import (
     overwrite_partition_range,
     overwrite_table,
 )
-from ..sources.manifest import expand_paths, object_manifest
+from ..sources.manifest import expand_folders
 from ..sources.scan import SOURCE_PATH, normalize_timestamps, scan, source_files, source_path
 
 MODES = ("table", "partition", "partition_range")
@@ -106,7 +105,7 @@ def run_load(
     inputs = [paths] if isinstance(paths, str) else list(paths)
     columns: list[str] = []
     try:
-        inputs = [p for path in inputs for p in _expand(spark, path)]
+        inputs = [p for path in inputs for p in expand_folders(spark, path)]
         refuse_overlap(spark, inputs, spec.table.path)
         source = _source(spark, spec, inputs, spec.schema)
         if dry_run:
@@ -174,15 +173,6 @@ def _searched(spec: LoadSpec, path: Column) -> Column:
     return F.substring(path, F.locate(spec.path_root, path) + F.lit(len(spec.path_root)), F.length(path))
 
 
-def _expand(spark: SparkSession, path: str) -> list[str]:
-    if not has_wildcards(path):
-        return [path]
-    # List from the last folder before the first wildcard.
-    fixed = path[: min(i for i in (path.find("*"), path.find("?")) if i >= 0)].rsplit("/", 1)[0]
-    manifest = object_manifest(spark, fixed, bucket="")
-    return expand_paths(manifest, path[len(fixed) :].strip("/"), fixed)
-
-
 def _path_value(spark: SparkSession, spec: LoadSpec, inputs: list[str]) -> str:
     """The one partition value the input path itself names."""
     if len(inputs) != 1:

@@ -1,4 +1,4 @@
-"""Folders of a table, through the file system its path belongs to."""
+"""Folders of tables and sources, through the file system their path belongs to."""
 
 from __future__ import annotations
 
@@ -30,6 +30,10 @@ class Folder:
             return []
         return [s.getPath().getName() for s in self._fs.listStatus(self._path) if not s.isDirectory()]
 
+    def holds_files(self) -> bool:
+        """Whether a file lies anywhere below; the listing ends at the first one."""
+        return self.exists() and self._fs.listFiles(self._path, True).hasNext()
+
     def remove(self, child: str) -> None:
         self._fs.delete(self._jvm.org.apache.hadoop.fs.Path(self._path, child), True)
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
+from fnmatch import fnmatchcase
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.paths import decoded_file_path
 from ..options import glob_regex, has_wildcards
+from ..sinks.storage import Folder
 
 
 def object_manifest(spark: SparkSession, root: str, bucket: str) -> DataFrame:
@@ -69,3 +73,29 @@ def expand_paths(manifest: DataFrame, pattern: str, uri_root: str) -> list[str]:
     if not folders:
         raise FileNotFoundError(f"no folder matches {pattern!r}")
     return [f"{uri_root.rstrip('/')}/{folder}" for folder in folders]
+
+
+def expand_folders(spark: SparkSession, pattern: str) -> list[str]:
+    """The folders a path with wildcards stands for, by the rules of ``expand_wildcard``.
+
+    Only folders that match are listed, one level after the other; what lies below them
+    or beside them is not. No match is an error.
+    """
+    if not has_wildcards(pattern):
+        return [pattern]
+    fixed = pattern[: re.search(r"[*?]", pattern).start()].rpartition("/")[0]
+    found = [fixed]
+    for segment in pattern[len(fixed) :].strip("/").split("/"):
+        if re.search(r"[*?\[]", segment):
+            found = [
+                f"{folder}/{name}"
+                for folder in found
+                for name in Folder(spark, folder or "/").children()
+                if fnmatchcase(name, segment) and not (has_wildcards(segment) and name[0] in "_.")
+            ]
+        else:
+            found = [f"{folder}/{segment}" for folder in found]
+    found = sorted(folder for folder in found if Folder(spark, folder).holds_files())
+    if not found:
+        raise FileNotFoundError(f"no folder matches {pattern!r}")
+    return found

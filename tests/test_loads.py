@@ -21,7 +21,8 @@ from dockline.sinks.table import (
     overwrite_table,
     read_table,
 )
-from dockline.sources.manifest import expand_paths, expand_wildcard, object_manifest
+from dockline.sources import manifest as manifests
+from dockline.sources.manifest import expand_folders, expand_paths, expand_wildcard, object_manifest
 from dockline.sources.scan import normalize_timestamps, scan
 
 
@@ -304,6 +305,31 @@ def test_wildcards_over_a_manifest(spark, folder):
         expand_paths(manifest, "z/*", "gs://b")
 
 
+def test_wildcards_over_a_file_system(spark, folder, monkeypatch):
+    listed = []
+
+    class Watched(manifests.Folder):
+        def children(self):
+            listed.append(self.qualified().split(folder)[-1])
+            return super().children()
+
+    monkeypatch.setattr(manifests, "Folder", Watched)
+    root = f"{folder}/in"
+    write_days(root, ["2024/01", "2025/01", "2025/02", "_2025/01", "20256/02/deep", "2025 x/02"])
+    os.makedirs(f"{root}/2025e/02")
+    open(f"{root}/2025f", "w").close()
+    assert expand_folders(spark, f"{root}/2025*/02") == [f"{root}/2025 x/02", f"{root}/2025/02", f"{root}/20256/02"]
+    assert listed == ["/in"]
+    assert expand_folders(spark, f"{root}/202?/0[!2]/") == [f"{root}/2024/01", f"{root}/2025/01"]
+    assert sorted(listed[1:]) == ["/in", "/in/2024", "/in/2025"]
+    assert expand_folders(spark, f"{root}/*5") == [f"{root}/2025"]
+    assert expand_folders(spark, f"{root}/2024") == [f"{root}/2024"]
+    with pytest.raises(FileNotFoundError):
+        expand_folders(spark, f"{root}/2025*/03")
+    with pytest.raises(FileNotFoundError):
+        expand_folders(spark, f"{folder}/none/*")
+
+
 def test_manifest_of_a_folder(spark, folder):
     write_days(f"{folder}/in dir", ["20240101"])
     row = object_manifest(spark, f"{folder}/in dir", "bucket").head()

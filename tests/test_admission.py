@@ -8,6 +8,7 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
+from dockline.constants import DEFAULT_DELAY
 from dockline.operators.admission import Windows, admit
 from dockline.operators.ledger import latest_per_key
 from dockline.streaming.admission import admit_stateful
@@ -48,7 +49,8 @@ def walk(rows, w, ledger=None):
             elif now < last["until"] and not (differs or force):
                 status = "cooldown"
         if status == "accepted":
-            scheduled = now if force else now + w.delay
+            # A zero delay stands for the default, as in a rule that names none.
+            scheduled = now if force else now + (w.delay or DEFAULT_DELAY)
             until = max(now + w.double_tap + w.cooldown, scheduled)
             last = dict(key=key, created=now, scheduled=scheduled, until=until, expire=until + w.ttl, uid=uid, digest=digest)
             ledger.append(last)

@@ -1,25 +1,33 @@
 """License scans by sentence rules, in SQL functions.
 
-A text is cut into sentences at empty lines and at ``. ; : ! ?`` before white space; a
-sentence that is not known as a whole is cut at its line ends, so sentences wrapped over
-lines and notices without a full stop are both found. A sentence is normalised to lower-case letters and digits with single spaces. Known licence
+A line ends at a line break, at an empty line, at ``. ; : ! ?`` before white space and at a
+web address; signs and words that open comments at its start do not count, so a line of these
+alone is empty.
+A known sentence is found where it fills a run of whole lines, however many it is wrapped
+over. A run goes over the end of a sentence or an empty line only where the known text has
+such an end itself (``free software: you can``, ``v. 2.0``). Words are compared as lower-case
+letters and digits; where several known sentences fit, the longest counts. Known licence
 sentences have identifiers; ``RULES`` are ordered sequences of identifiers. A licence is
 found if its identifiers occur in that order among the recognised sentences, with at most
 ``MAX_BETWEEN`` other recognised ones in between.
 
-Only sentences with one of ``CUES`` are normalised: every known sentence holds one, so
-nothing is missed. Null and empty texts have no licences; every row gives one row, ties do
-not occur, other columns are ignored, and an empty table gives an empty result.
+Only texts with one of ``CUES`` are searched: every known sentence holds one, as a single
+word that no line break divides, so nothing is missed. Null and empty texts have no licences;
+every row gives one row, ties do not occur, other columns are ignored, and an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_BETWEEN = 3
 
-# Sentences of public licence texts and notices, normalised.
+# Sentences of public licence texts and notices, normalised but for the marks
+# that cut them; a text may have these or not.
 SENTENCES = {
     "apache2_notice": "licensed under the apache license version 2 0",
     "apache2_notice_the_license": "licensed under the apache license version 2 0 the license",
@@ -39,11 +47,11 @@ SENTENCES = {
     "gpl3_licensed": "licensed under the gnu general public license version 3",
     "gpl2_work": "this work is licensed under the gnu general public license version 2",
     "gpl2_licensed": "licensed under the gnu general public license version 2",
-    "gpl_free": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
-    "gpl2_free": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",
-    "gpl_hope": "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose",
+    "gpl_free": "this program is free software; you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation; either version 3 of the license or at your option any later version",
+    "gpl2_free": "this program is free software; you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation; either version 2 of the license or at your option any later version",
+    "gpl_hope": "this program is distributed in the hope that it will be useful but without any warranty; without even the implied warranty of merchantability or fitness for a particular purpose",
     "lgpl3_notice": "licensed under the gnu lesser general public license version 3",
-    "mpl2_notice": "this source code form is subject to the terms of the mozilla public license v 2 0",
+    "mpl2_notice": "this source code form is subject to the terms of the mozilla public license v. 2 0",
     "cc_by_nc": "licensed under cc by nc 4 0",
     "cc_by": "licensed under cc by 4 0",
     "cc_by_sa": "licensed under cc by sa 4 0",
@@ -83,22 +91,40 @@ RULES = {
     "All rights reserved": ("reserved",),
 }
 
-CUES = r"(?i)licen[sc]e|permission|provided as is|redistribut|free software|in the hope|rights reserved|public domain|cc0|compliance|as[\W_]{1,3}is"
-SENTENCE_END = r"\n[\x20\t\r]*\n|[.;:!?](?=\s|$)"
+CUES = r"(?i)licen[sc]e|permission|redistribut|software|warranty|reserved|domain|cc0"
+COMMENT = r"(?m)^[^\p{L}\p{N}\n]+(?:(?:rem|dnl)\b[^\p{L}\p{N}\n]*)?|^(?:rem|dnl)\b[^\p{L}\p{N}\n]*"
+SENTENCE_END = r"\n[\x20\t\r]*\n|[.;:!?](?=\s|$)|https?://\S+"
+# Stands for a sentence's end in lowered texts, which hold no capitals.
+CUT = "X"
+
+
+def sentence_pattern(sentence: str) -> str:
+    """The words of a known sentence, wrapped anyhow; cuts are allowed where it has them itself."""
+    pieces = (r"[\x20\n]++".join(piece.split()) for piece in re.split(SENTENCE_END, sentence))
+    return rf"[\x20\n{CUT}]++".join(pieces)
+
+
+# Of sentences that start alike the longest is tried first.
+KNOWN = (
+    r"(?m)^\x20?("
+    + "|".join(sentence_pattern(s) for s in sorted(SENTENCES.values(), key=len, reverse=True))
+    + rf")(?=\x20?{CUT}?\x20?$)"
+)
 
 
-def normalised(sentence: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
+def marked(text: Column) -> Column:
+    """Lower-case letters and digits, single spaces, line breaks and cuts."""
+    plain = F.regexp_replace(F.lower(text), COMMENT, "")
+    return F.regexp_replace(F.regexp_replace(plain, SENTENCE_END, f"{CUT}\n"), rf"[^a-z0-9\n{CUT}]+", " ")
 
 
 def sentence_ids(text: Column) -> Column:
     """Identifiers of the known sentences of a text, in order."""
-    known = F.create_map(*(F.lit(x) for name, sentence in SENTENCES.items() for x in (sentence, name)))
-    cued = F.filter(F.split(text, SENTENCE_END, -1), lambda s: s.rlike(CUES))
-    name = lambda part: F.try_element_at(known, normalised(part))
-    lines = lambda s: F.transform(F.split(s, "\n", -1), name)
-    found = F.flatten(F.transform(cued, lambda s: F.when(name(s).isNotNull(), F.array(name(s))).otherwise(lines(s))))
-    return F.when(text.rlike(CUES), F.array_compact(found)).otherwise(F.array().cast("array<string>"))
+    words = lambda s: " ".join(re.findall("[a-z0-9]+", s))
+    known = F.create_map(*(F.lit(x) for name, sentence in SENTENCES.items() for x in (words(sentence), name)))
+    found = F.regexp_extract_all(marked(text), F.lit(KNOWN), F.lit(1))
+    names = F.transform(found, lambda s: F.element_at(known, F.regexp_replace(s, "[^a-z0-9]+", " ")))
+    return F.when(text.rlike(CUES), names).otherwise(F.array().cast("array<string>"))
 
 
 def rule_pattern(names: tuple[str, ...]) -> str:

@@ -381,6 +381,68 @@ def test_licences(spark):
     assert all(re.search(licences.CUES, s) for s in licences.SENTENCES.values())
 
 
+GENUINE = {
+    "Apache-2.0 notice": "Licensed under the Apache License, Version 2.0.",
+    "Apache-2.0 header": "Licensed under the Apache License, Version 2.0 (the \"License\");\nyou may not use this file except in "
+    "compliance with the License.\nYou may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\n"
+    "Unless required by applicable law or agreed to in writing, software\ndistributed under the License is distributed on an "
+    "\"AS IS\" BASIS,\nWITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.\nSee the License for the rest.",
+    "MIT notice": "Released under the MIT License.",
+    "MIT reference": "Licensed under the MIT license",
+    "MIT": "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated "
+    "documentation files (the \"Software\"), to deal\nin the Software without restriction, including without limitation the rights\n"
+    "to use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons to "
+    "whom the Software is\nfurnished to do so, subject to the following conditions:\n\nThe above copyright notice and this permission "
+    "notice shall be included in all\ncopies or substantial portions of the Software.\n\nTHE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT "
+    "WARRANTY OF ANY KIND, EXPRESS OR\nIMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,\nFITNESS FOR A "
+    "PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE\nAUTHORS BE LIABLE",
+    "BSD-2-Clause": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that "
+    "the following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this\n   list of "
+    "conditions and the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright notice,\n   this "
+    "list of conditions and the following disclaimer in the documentation\n   and/or other materials provided with the distribution.",
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, "
+    "provided that the above\ncopyright notice and this permission notice appear in all copies.",
+    "GPL-3.0 notice": "This work is licensed under the GNU General Public License, version 3.",
+    "GPL-3.0 reference": "Licensed under the GNU General Public License\nversion 3",
+    "GPL-2.0 notice": "This work is licensed under the GNU General Public License version 2.",
+    "GPL-2.0 reference": "Licensed under the GNU General Public License, version 2",
+    "GPL-3.0-or-later": "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General "
+    "Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later "
+    "version.\n\nThis program is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied "
+    "warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\nGNU General Public License for more details.",
+    "GPL-2.0-or-later": "This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General "
+    "Public License as published by\nthe Free Software Foundation; either version 2 of the License, or\n(at your option) any later "
+    "version.\n\nThis program is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied "
+    "warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\nGNU General Public License for more details.",
+    "LGPL-3.0 notice": "Licensed under the GNU Lesser General Public License, version 3.",
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not "
+    "distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    **{f"CC-{x}-4.0": f"Licensed under CC {x} 4.0." for x in ("BY", "BY-NC", "BY-SA", "BY-ND", "BY-NC-SA", "BY-NC-ND")},
+    "CC0-1.0": "Released under CC0 1.0.",
+    "Unlicense": "This is free and unencumbered software released into the public\ndomain.",
+    "All rights reserved": "All rights\nreserved.",
+}
+
+
+def test_every_licence_is_found_in_its_genuine_text(spark):
+    assert set(GENUINE) == set(licences.RULES)
+    prefixes = ("", "# ", " * ", "// ", "; ", "! ", "dnl ", "REM ")
+    rows = []
+    for licence, text in GENUINE.items():
+        for prefix in prefixes:
+            commented = lambda t: "\n".join(f"{prefix}{x}".rstrip(" ") for x in t.split("\n"))
+            rows.append((licence, commented(text)))
+            rows.append((licence, commented(f"Copyright Some One\n{text}\n\nmore words").replace("\n", "\r\n")))
+        rows.append((licence, f"words before\n\n{' '.join(text.split())} words after"[: None if text.endswith(".") else -12]))
+    rows.append((None, "This program is free.\nsoftware: you can redistribute it.\nNot licensed under the MIT license\nAll rights. reserved."))
+    # A stop is no part of a known sentence that has none there.
+    rows.append(("Apache-2.0 notice", "Licensed under the Apache License, Version 2.0.\n\nThe License\n\nfollows."))
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id bigint, text string")
+    out = {r["doc_id"]: r["licences"] for r in rows_of(licences.scan(docs))}
+    wrong = [(rows[i], found) for i, found in sorted(out.items()) if found != [x for x in rows[i][:1] if x]]
+    assert not wrong and len(out) == len(rows)
+
+
 def test_quality_of_odd_rows(docs):
     out = rows_of(quality.judge(docs))
     assert len(out) == len(TEXTS)

@@ -11,7 +11,9 @@ such pair are aligned by patience diff: equal heads and tails, then lines that a
 (single) in both and in the same order, or else equal occurrences of repeated lines, then
 the stretches between them. Blocks of aligned lines that hold at least ``MIN_BLOCK_CHARS``
 characters are deleted from the later document; what is left of it is aligned again, so a
-block that it holds twice goes twice.
+block that it holds twice goes twice. An alignment takes the most lines, so short shared lines
+in order can hide a passage out of order; where it shows no block, the runs shared with the
+earlier document are looked up one by one and go as well, until none is left.
 
 A line is deleted only if an earlier document holds it too, so the first copy stays. A
 document whose text equals an earlier one's is one block. Ids order documents; of rows
@@ -109,8 +111,36 @@ def _runs(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def shared_runs(left: np.ndarray, right: np.ndarray, sizes: np.ndarray, least: int = MIN_BLOCK_CHARS) -> list[tuple[int, int]]:
+    """Ranges of ``right``, in order, that are the longest runs from their first line that ``left`` holds anywhere."""
+    known, first = np.unique(right, return_index=True)
+    at = np.minimum(np.searchsorted(known, left), len(known) - 1)
+    # A line that only the left side holds ends no shared run, whatever its size.
+    left_sizes = np.where(known[at] == left, sizes[first[at]], 0)
+    one, (i, _) = run_hashes(left, left_sizes, least), run_edges(left_sizes, least)
+    two, (j, ends) = run_hashes(right, sizes, least), run_edges(sizes, least)
+    order = np.argsort(one, kind="stable")
+    one, i = one[order], i[order]
+    low, high = np.searchsorted(one, two), np.searchsorted(one, two, "right")
+    out: list[tuple[int, int]] = []
+    done = 0
+    for k in np.flatnonzero(low < high).tolist():
+        if j[k] < done:
+            continue
+        places, length = i[low[k] : high[k]], int(ends[k] - j[k])
+        while j[k] + length < len(right):
+            inside = places[places + length < len(left)]
+            inside = inside[left[inside + length] == right[j[k] + length]]
+            if not len(inside):
+                break
+            places, length = inside, length + 1
+        done = int(j[k]) + length
+        out.append((int(j[k]), done))
+    return out
+
+
 def common_blocks(left: list, right: list, sizes: list[int], least: int = MIN_BLOCK_CHARS) -> list[tuple[int, int]]:
-    """Ranges of ``right`` that are runs of aligned lines with ``least`` characters or more."""
+    """Ranges of ``right`` that are runs of lines of ``left`` with ``least`` characters or more."""
     out: list[tuple[int, int]] = []
     known = set(left)
     work = [(0, len(right))]
@@ -126,6 +156,9 @@ def common_blocks(left: list, right: list, sizes: list[int], least: int = MIN_BL
                 work.append((at, i))
                 at = j
             work.append((at, end))
+        else:
+            arrays = (np.array(x, np.int64) for x in (left, right[at:end], sizes[at:end]))
+            out += [(at + i, at + j) for i, j in shared_runs(*arrays, least)]
     return sorted(out)
 
 
@@ -135,12 +168,17 @@ def _powers(base: int, count: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def run_hashes(hashes: np.ndarray, sizes: np.ndarray, least: int = MIN_BLOCK_CHARS) -> np.ndarray:
-    """Hashes of the shortest runs with ``least`` characters, one for each line that starts one."""
-    n = len(hashes)
+def run_edges(sizes: np.ndarray, least: int = MIN_BLOCK_CHARS) -> tuple[np.ndarray, np.ndarray]:
+    """First lines and ends of the shortest runs with ``least`` characters, one for each line that starts one."""
     before = np.concatenate([[0], np.cumsum(sizes)])
     starts = np.flatnonzero((before[-1] - before[:-1] >= least) & (sizes > 0))
-    ends = np.searchsorted(before, before[starts] + least)
+    return starts, np.searchsorted(before, before[starts] + least)
+
+
+def run_hashes(hashes: np.ndarray, sizes: np.ndarray, least: int = MIN_BLOCK_CHARS) -> np.ndarray:
+    """Hashes of the runs of ``run_edges``."""
+    n = len(hashes)
+    starts, ends = run_edges(sizes, least)
     # A polynomial of the lines up to each place; differences are brought to the power 0.
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(mix(hashes.view(np.uint64)) * _powers(_BASE, n), out=sums[1:])

@@ -141,6 +141,34 @@ def test_blocks_that_come_twice_or_without_single_lines():
     assert linededup.common_blocks([1, 9, 2], [1, 2], sizes) == []
 
 
+def test_a_passage_out_of_order_behind_short_lines(spark):
+    """[h1,a,h2,b,h3,P] and [P,x,h1,y,h2,z,h3]: the alignment prefers the three short lines."""
+    left, right = [1, 11, 2, 12, 3, 9, 8], [9, 8, 21, 1, 22, 2, 23, 3]
+    assert linededup.common_blocks(left, right, [90, 70, 40, 30, 40, 30, 40, 30]) == [(0, 2)]
+    heads, passage = [f"heading number {i}" for i in range(3)], prose(950, 60)
+    one = "\n".join([heads[0], prose(951, 8), heads[1], prose(952, 8), heads[2], passage])
+    rest = [prose(953, 8), heads[0], prose(954, 8), heads[1], prose(955, 8), heads[2]]
+    docs = spark.createDataFrame([(1, one), (2, "\n".join([passage, *rest]))], "doc_id int, text string")
+    out = {r["doc_id"]: r["text"] for r in linededup.dedup_lines(docs).collect()}
+    assert out == {1: one, 2: "\n".join(rest)}
+
+
+def test_no_shared_run_is_left():
+    rng = np.random.default_rng(8)
+    for _ in range(400):
+        a, b = (rng.integers(0, 7, rng.integers(1, 25)).tolist() for _ in range(2))
+        chars = rng.integers(0, 70, 7)
+        sizes = [int(chars[x]) for x in b]
+        gone = [False] * len(b)
+        for first, last in linededup.common_blocks(a, b, sizes):
+            assert sum(sizes[first:last]) >= 100 and any(a[k : k + last - first] == b[first:last] for k in range(len(a)))
+            gone[first:last] = [True] * (last - first)
+        for first in range(len(b)):
+            for last in range(first + 1, len(b) + 1):
+                if not any(gone[first:last]) and sum(sizes[first:last]) >= 100:
+                    assert not any(a[k : k + last - first] == b[first:last] for k in range(len(a)))
+
+
 def test_runs_are_hashed_alike_wherever_they_stand():
     rng = np.random.default_rng(2)
     for _ in range(100):

@@ -375,9 +375,25 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each group: the smallest id, and one row of that id."""
+    """``docs`` with one document of each group: the smallest id, and one row of that id.
+
+    Of rows that repeat an id the one with the smallest hash of its text stays, then of all
+    its columns. Rows without an id stay.
+    """
     gone = near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    left = docs.join(gone, "doc_id", "left_anti")
+    twice = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
+    twice = stored(twice.select("doc_id"), "neardup-repeated")
+    repeated = twice.count()
+    if not repeated:
+        return left
+    left = stored(left, "neardup-left")
+    if repeated <= BROADCAST_IDS:
+        twice = F.broadcast(twice)
+    # Folded inside the map tasks first, so an id with many rows is no large group.
+    order = F.struct(F.xxhash64("text"), F.xxhash64(*docs.columns))
+    rows = left.join(twice, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), order).alias("_dl_row"))
+    return left.join(twice, "doc_id", "left_anti").unionByName(rows.select("_dl_row.*"))
 
 
 SQL = r"""

@@ -275,6 +275,19 @@ def test_near_duplicates(docs):
     assert out[None]["component_id"] is None and out[None]["kept"] and out[14]["component_id"] == 14
 
 
+def test_one_row_of_each_kept_id_is_left(spark, docs):
+    out = rows_of(neardup.drop_near_duplicates(docs))
+    assert sorted(r["doc_id"] for r in out if r["doc_id"] is not None) == [0, 3, 4, 5, 6, 8, 9, 10, 11, 12, 13, 14]
+    assert [r["text"] for r in out if r["doc_id"] is None] == ["a row without an id"]
+    # One id holds a third of the rows, with texts of their own.
+    rows = [(1 if i % 3 else 1000 + i, prose(i, 30), "en") for i in range(60)] + [(None, "x", "en")] * 2
+    few = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    out = neardup.drop_near_duplicates(few)
+    assert out.columns == few.columns
+    found = [r["doc_id"] for r in out.collect()]
+    assert len(found) == 23 and found.count(1) == 1 and found.count(None) == 2
+
+
 def test_near_duplicates_in_a_group_without_a_centre(spark):
     """Copies with growing edits: linked in chains, and many that just miss the threshold."""
     base, rng = prose(50, 120).split(), np.random.default_rng(3)

@@ -4,14 +4,18 @@
 kinds, and national phone numbers, social security numbers, IBANs and spelled-out e-mail
 addresses. A proposal of a base kind that passes its format is a base span and stays.
 
-*Features* of a proposal, all with few levels: its kind's group, the characters around it,
+*Features* of a proposal, all with few levels: its kind, the characters around it,
 whether a cue word stands shortly before it, its separators, its digit groups and its
 variety of digits.
 
-*Boosting.* Trees are fitted on the counts of feature vectors over all proposals whose
-truth a format check decides; see :mod:`boosting`. A threshold is calibrated to a precision
-of ``PRECISION``; a proposal of an added kind from there on becomes a span, if it overlaps
-no base span and no earlier added one.
+*Boosting.* Trees are fitted on the counts of feature vectors over the proposals of all kinds
+that have evidence; see :mod:`boosting`. Evidence is the format check of ip, card, phone and
+IBAN, numbers that are given out for social security and national phone numbers, and the form
+of the domain for spelled-out addresses: where such proposals are chance, the share with
+evidence falls to that of chance, which is below ``PRECISION``. A number that fails as a card
+and overlaps another kind's proposal says nothing and is left out. Each kind has a threshold
+of its own, calibrated to a precision of ``PRECISION``; a proposal of an added kind from there
+on becomes a span, if it overlaps no base span and no earlier added one.
 
 Null texts count as empty and have no spans. Offsets count code points, ends are exclusive.
 Every row gives one row, ties of start are ordered by kind, an empty table gives an empty
@@ -92,19 +96,34 @@ def passes(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
+def evidence(kind: str, match: Column) -> Column:
+    """What a proposal's truth is learned from: its format, or a form that chance often misses."""
+    if kind == "ssn":
+        return ~match.rlike(r"^(?:000|666|9)|-00-|-0000$")
+    if kind == "national":
+        return match.rlike(r"^\(?[2-9][0-9]{2}\)?[\x20.-][2-9]")
+    if kind == "spelled":
+        domain = r"(?i)[)\]]\x20?[a-z0-9](?:[a-z0-9-]*[a-z0-9])?\x20?"
+        return match.rlike(
+            domain + r"(?:[(\[]dot[)\]]\x20?[a-z]{2,24}|\.\x20?(?:com|org|net|edu|gov|int|mil|info|biz|name|example|[a-z]{2}))$"
+        )
+    return passes(kind, match)
+
+
 def _edge(character: Column) -> Column:
     """0 for none or white space, 1 for a punctuation mark, 2 for a letter or digit."""
     return F.when(character.rlike(r"[\p{L}\p{N}]"), 2).when(character.rlike(r"\S"), 1).otherwise(0)
 
 
-FEATURES = ("before", "after", "cued", "separated", "groups", "variety", "size")
+FEATURES = ("kind", "before", "after", "cued", "separated", "groups", "variety", "size")
 
 
-def _features(match: Column, before: Column, after: Column) -> Column:
+def _features(kind: str, match: Column, before: Column, after: Column) -> Column:
     number = digits(match)
     groups = F.regexp_count(match, F.lit("[0-9]+"))
     variety = F.size(F.array_distinct(F.split(number, "(?!$)")))
     return F.struct(
+        F.lit(KINDS.index(kind)).alias("kind"),
         _edge(F.right(before, F.lit(1))).alias("before"),
         _edge(F.left(after, F.lit(1))).alias("after"),
         F.right(before, F.lit(CONTEXT)).rlike(CUES).cast("int").alias("cued"),
@@ -116,8 +135,8 @@ def _features(match: Column, before: Column, after: Column) -> Column:
 
 
 _NO_SPANS = (
-    "array<struct<start:int,kind_rank:int,end:int,good:boolean,"
-    "f:struct<before:int,after:int,cued:int,separated:int,groups:int,variety:int,size:int>>>"
+    "array<struct<start:int,kind_rank:int,end:int,good:boolean,likely:boolean,"
+    "f:struct<kind:int,before:int,after:int,cued:int,separated:int,groups:int,variety:int,size:int>>>"
 )
 
 
@@ -144,7 +163,8 @@ def _proposed(text: Column, kind: str) -> Column:
                 F.lit(KINDS.index(kind)).alias("kind_rank"),
                 (x["s"] + F.length(x["m"])).alias("end"),
                 passes(kind, x["m"]).alias("good"),
-                _features(x["m"], F.get(pieces, i), F.get(pieces, i + 1)).alias("f"),
+                evidence(kind, x["m"]).alias("likely"),
+                _features(kind, x["m"], F.get(pieces, i), F.get(pieces, i + 1)).alias("f"),
             ),
         )
 
@@ -161,27 +181,42 @@ def proposals(text: Column) -> Column:
     return F.when(text.rlike(r"[0-9@]|[(\[][aA][tT][)\]]"), F.sort_array(worth)).otherwise(F.array().cast(_NO_SPANS))
 
 
-def fit(spans: DataFrame) -> tuple[Boosted, float]:
-    """Trees and threshold from the proposals whose truth a check decides."""
-    decided = [KINDS.index(k) for k in ("ip", "card", "phone", "iban")]
-    each = spans.select(F.explode("spans").alias("s")).where(F.col("s.kind_rank").isin(decided))
+def _telling(spans: Column) -> Column:
+    """Proposals that count in the fit: all but addresses, and card failures that another kind may explain."""
+    card, email = KINDS.index("card"), KINDS.index("email")
+    others = F.filter(spans, lambda s: s["kind_rank"] != card)
+    failed = lambda s: (s["kind_rank"] == card) & ~s["good"]
+    explained = lambda s: F.exists(others, lambda o: (o["start"] < s["end"]) & (s["start"] < o["end"]))
+    return F.filter(spans, lambda s: (s["kind_rank"] != email) & F.when(failed(s), ~explained(s)).otherwise(True))
+
+
+def fit(spans: DataFrame) -> tuple[Boosted, list[float]]:
+    """Trees, and the threshold of each kind, from the proposals with evidence for or against them."""
+    each = spans.select(F.explode(_telling(F.col("spans"))).alias("s"))
     counts = each.groupBy(*(F.col(f"s.f.{f}").alias(f) for f in FEATURES)).agg(
-        F.count("*").alias("n"), F.sum(F.col("s.good").cast("int")).alias("good")
+        F.count("*").alias("n"), F.sum(F.col("s.likely").cast("int")).alias("good")
     )
-    # At most the product of the levels, some 5,000 rows.
+    # At most the product of the levels, some 50,000 rows.
     rows = np.array([tuple(r) for r in counts.orderBy(*FEATURES).collect()], np.float64)
     if not len(rows):
-        return Boosted(-30.0, []), 2.0
+        return Boosted(-30.0, []), [2.0] * len(KINDS)
     x, n, good = rows[:, :-2], rows[:, -2], rows[:, -1]
     model = boost(x, good, n)
-    return model, threshold(1 / (1 + np.exp(-model.margin(x))), good, n, PRECISION)
+    p = 1 / (1 + np.exp(-model.margin(x)))
+    # An IBAN must pass its check as well, which one in 97 of chance does.
+    n = np.where(x[:, 0] == KINDS.index("iban"), good + (n - good) / 96, n)
+    own = [x[:, 0] == rank for rank in range(len(KINDS))]
+    return model, [threshold(p[k], good[k], n[k], PRECISION) for k in own]
 
 
-def selected(spans: Column, model: Boosted, least: float) -> Column:
+def selected(spans: Column, model: Boosted, least: list[float]) -> Column:
     """Base spans, and added ones of a sufficient score that overlap none before them."""
     base = F.filter(spans, lambda s: s["good"] & (s["kind_rank"] < len(BASE)))
     score = lambda s: model.column([s["f"][name] for name in FEATURES])
-    added = F.filter(spans, lambda s: s["good"] & (s["kind_rank"] >= len(BASE)) & (score(s) >= least))
+    # Scores are summed in another order here than in the fit.
+    bounds = F.array(*(F.lit(float(p) - 1e-9) for p in least))
+    enough = lambda s: score(s) >= F.get(bounds, s["kind_rank"])
+    added = F.filter(spans, lambda s: s["good"] & (s["kind_rank"] >= len(BASE)) & enough(s))
     apart = F.filter(
         added, lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
     )

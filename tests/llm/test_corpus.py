@@ -399,6 +399,26 @@ def test_personal_data(docs):
     assert redacted[3]["text"] is None and redacted[0]["text"] == dict(TEXTS)[0]
 
 
+def test_planted_spans_of_each_added_kind(spark):
+    planted = {
+        "ssn": ["536-22-8726", "219-09-9999", "457-55-5462"],
+        "national": ["(212) 555-0147", "415-555-2671", "646.253.0198"],
+        "iban": ["DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "FR1420041010050500013M02606"],
+        "spelled": ["ann.lee (at) example (dot) com", "bob [at] mail.org", "joe(at)site(dot)de"],
+    }
+    mixed = {(kind, x): f"some words {x} and more" for kind, spans in planted.items() for x in spans}
+    for kinds in (*([k] for k in planted), list(planted)):
+        texts = [(k, x, t) for (k, x), t in mixed.items() if k in kinds]
+        df = spark.createDataFrame([(i, t) for i, (_, _, t) in enumerate(texts)], "doc_id bigint, text string")
+        out = {r["doc_id"]: r["spans"] for r in rows_of(pii.find(df))}
+        for i, (k, x, t) in enumerate(texts):
+            assert out[i] == f"{k}:{t.index(x)}:{t.index(x) + len(x)}", (kinds, x)
+    # Numbers that no check holds true of, in the form of an ssn, are not taken for one.
+    wrong = [(i, f"part 000-{10 + i}-0000 of 9{i:02}-00-{1000 + i}") for i in range(40)]
+    df = spark.createDataFrame(wrong, "doc_id bigint, text string")
+    assert {r["spans"] for r in rows_of(pii.find(df))} == {""}
+
+
 def test_licences(spark):
     mit = (
         "MIT License\n\nPermission is hereby granted, free of charge, to any person obtaining a copy of this\nsoftware "

@@ -7,7 +7,9 @@ least ``MIN_CONTEXTS`` different surroundings, so that copies of one text count
 a state is the set of (trie node, edits) pairs that the letters read so far can have
 reached. States are made when a word first needs them, so a word costs one step per letter
 until it can no longer become a term. Terms of five letters or more may carry one edit,
-of nine or more two. Words of documents not labelled toxic are words of their own, not
+of nine or more two. A word is letters and combining marks, when terms are learned and when
+they are sought. Words joined by digits or ``@ $ *`` (``id1ot``) are also tried as one word if
+none of them is a hit by itself, so that an edit can be spent on such a sign. Words of documents not labelled toxic are words of their own, not
 misspellings, and do not match.
 
 *Context.* A hit counts as quoted if quotation marks open before it and close after it
@@ -27,6 +29,9 @@ Texts are read whole; the only inputs of a score are the text and the model.
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -53,8 +58,24 @@ RIDGE = 0.02
 # A task remembers what it found for so many words.
 MEMORY = 300_000
 
-LETTERS = re.compile(r"[^\W\d_]+")
+def _letters_and_marks() -> str:
+    r"""The members of ``[\p{L}\p{M}]`` as ranges of a Python character class."""
+    ranges: list[list[int]] = []
+    for code in range(sys.maxunicode + 1):
+        if unicodedata.category(chr(code))[0] in "LM":
+            if ranges and ranges[-1][1] == code - 1:
+                ranges[-1][1] = code
+            else:
+                ranges.append([code, code])
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in ranges)
+
+
+_LETTER = _letters_and_marks()
+LETTERS = re.compile(f"[{_LETTER}]+")
 JAVA_LETTERS = r"[\p{L}\p{M}]+"
+# Signs that stand in for letters, and words that hold such.
+INSIDE = re.compile(f"[0-9@$*](?=[{_LETTER}])")
+MIXED = re.compile(f"(?<![{_LETTER}])[{_LETTER}]++(?:[0-9@$*]++[{_LETTER}]++)++")
 QUOTES = re.compile(r"[\"“”„«»‹›]")
 
 
@@ -168,17 +189,24 @@ def hits(text: str, memory: Memory) -> tuple[int, int, int, int]:
     lowered = text.lower()
     words = LETTERS.findall(lowered)
     found = list(map(memory.__getitem__, words))
-    if not any(found):
+    mixed = [m.span() for m in MIXED.finditer(lowered) if memory[m.group()]] if INSIDE.search(lowered) else []
+    if not any(found) and not mixed:
         return 0, 0, 0, 0
     exact = near = cited = 0
     places: list[int] = []
-    spans = list(LETTERS.finditer(lowered)) if QUOTES.search(lowered) else None
-    for at in np.flatnonzero(np.array(found)).tolist():
-        if spans is not None and quoted(lowered, *spans[at].span()):
+    quotes = QUOTES.search(lowered) is not None
+    spans = [m.span() for m in LETTERS.finditer(lowered)] if quotes or mixed else None
+    seen = [(at, found[at], spans[at] if quotes else None) for at in np.flatnonzero(np.array(found)).tolist()]
+    for start, end in mixed:
+        first, last = bisect_left(spans, (start,)), bisect_left(spans, (end,))
+        if not any(found[first:last]):
+            seen.append((first, memory[lowered[start:end]], (start, end)))
+    for at, kind, span in sorted(seen, key=lambda hit: hit[0]):
+        if quotes and quoted(lowered, *span):
             cited += 1
             continue
-        exact += found[at] == 1
-        near += found[at] == 2
+        exact += kind == 1
+        near += kind == 2
         places.append(at)
     spots = np.array(places)
     dense = int((np.searchsorted(spots, spots + WINDOW, "right") - np.arange(len(spots))).max()) if places else 0

@@ -233,6 +233,18 @@ def test_quotation_is_told_from_abuse():
     assert toxicity.hits("", memory) == (0, 0, 0, 0)
 
 
+def test_signs_in_words_and_combining_marks():
+    memory = toxicity.Memory(["idiot", "moron", "worthless", "मूर्ख", "cafe\u0301"])
+    for text in ("you id1ot", "a m0ron.", "w0rthl3ss", "wor*hless", "mor@n"):
+        assert toxicity.hits(text, memory) == (0, 1, 0, 1), text
+    assert toxicity.hits("तुम मूर्ख हो", memory) == (1, 0, 0, 1) == toxicity.hits("le cafe\u0301 la", memory)
+    # Joined words stay hits of their own; other signs change nothing.
+    assert toxicity.hits("idiot2you moron*idiot", memory) == (3, 0, 0, 3)
+    assert toxicity.hits("so 'an \"id1ot\"' there", memory) == (0, 0, 1, 0)
+    assert toxicity.hits("a1b2c3 x@y.org 5 * 3 z9", memory) == (0, 0, 0, 0)
+    assert toxicity.LETTERS.findall("क्षमा x_y 12²") == ["क्षमा", "x", "y"]
+
+
 def test_toxicity_held_out(spark, docs):
     scores = QUERIES["op3_toxicity"](spark, "/root/testdata/sf0.1")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").select("doc_id", "toxic")

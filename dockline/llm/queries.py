@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -9,7 +10,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 from dockline.session import configure
 
-from . import bpe, licences, linededup, neardup, packing, pii, quality, sharding, topk, toxicity
+from . import (
+    bpe,
+    collocations,
+    fingerprints,
+    licences,
+    linededup,
+    neardup,
+    packing,
+    periods,
+    pii,
+    quality,
+    sharding,
+    topk,
+    toxicity,
+)
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,3 +94,29 @@ def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_licences")
 def licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents"))
+
+
+def with_period(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """In every tenth document by checksum, the end is made to repeat; rows without an id stay."""
+    checksum = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if checksum % 10 or not words:
+        return words
+    g, n = checksum // 10, len(words)
+    first = g % n
+    period = 1 + (n - first) // (3 + g % 8)
+    return words[:first] + [words[first + i % period] for i in range(n - first)]
+
+
+@query("op11_periodic_runs")
+def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.digests(periods.periodic_runs(table(spark, sf_dir, "documents"), rewrite=with_period))
+
+
+@query("op12_collocations", collocations.SQL)
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op13_fingerprints")
+def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))

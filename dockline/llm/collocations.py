@@ -5,8 +5,9 @@ occurs. Every occurrence of a word gives one row: the phrase of up to four words
 there within its piece. Rows of four words are edges; shorter rows are the ends of pieces, and
 correct the flow: a phrase of three words occurs as often as the edges that leave it plus the
 pieces that end with it, a phrase of two as often as the phrases of three that go on from it
-plus the pieces that end with it, and so on. So only the longest phrases are shuffled, summed
-up in every batch before, and the shorter counts follow where the edges already are.
+plus the pieces that end with it. So only the longest phrases are shuffled, summed up in every
+batch before, and the shorter counts follow where the edges already are. Single words are
+counted in the pass before, so the rows of last words are left out.
 
 Two things are learnt in a pass before, and change the work but no result:
 
@@ -42,6 +43,8 @@ from .common import buffers, mix, stored
 LONGEST = 4
 # Words known as frequent are marked in a filter of so many bits, by two hashes.
 FILTER_BITS = 1 << 25
+# The edges take several times the space of the texts they come from.
+PARTS_EACH = 4
 # Pairs are counted in at least so many buckets, and in so many for each partition.
 PAIR_BUCKETS = 1 << 13
 BUCKETS_EACH = 16
@@ -153,7 +156,7 @@ def _frequent_filter(words: DataFrame, bits: int) -> np.ndarray:
 
 
 def _rows(docs: DataFrame, known: np.ndarray, hot: np.ndarray, buckets: int) -> DataFrame:
-    """``(deal, lang, k, gram, count)``: the longest phrase that starts at every frequent word."""
+    """``(deal, lang, k, gram, count)``: the longest phrase of 2 words or more from every frequent word on."""
     shared = docs.sparkSession.sparkContext.broadcast((known, hot))
 
     def longest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,10 +176,10 @@ def _rows(docs: DataFrame, known: np.ndarray, hot: np.ndarray, buckets: int) ->
             deal = w.pair_buckets(buckets)
             is_hot = hot[deal]
             found = []
-            for k in range(1, LONGEST + 1):
+            for k in range(2, LONGEST + 1):
                 at = np.flatnonzero(frequent & (left == k if k < LONGEST else left >= k))
                 parts = [w.words.take(pa.array(w.codes[at + j])) for j in range(k)]
-                gram = pc.binary_join_element_wise(*parts, " ") if k > 1 else parts[0]
+                gram = pc.binary_join_element_wise(*parts, " ")
                 whole = w.hashes[at]
                 for j in range(1, k):
                     whole = combine(whole, w.hashes[at + j])
@@ -202,7 +205,7 @@ def phrase_counts(docs: DataFrame, least: int = 30, filter_bits: int = FILTER_BI
     """
     spark = docs.sparkSession
     texts = docs.select("lang", "text")
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * texts.rdd.getNumPartitions())
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), PARTS_EACH * texts.rdd.getNumPartitions())
     buckets = max(PAIR_BUCKETS, BUCKETS_EACH * parts)
     survey = stored(_survey(texts, buckets).where(F.col("word").isNull() | (F.col("count") >= least)), "words")
     known = _frequent_filter(survey.where("word IS NOT NULL"), filter_bits)
@@ -215,10 +218,8 @@ def phrase_counts(docs: DataFrame, least: int = 30, filter_bits: int = FILTER_BI
     level = _rows(texts, known, hot, buckets).repartition(parts, "deal")
     keep = ["deal", "lang", "k", "gram"]
     # From the edges down: what is counted whole and often stays, the rest flows into its head.
-    for k in range(LONGEST, 0, -1):
+    for k in range(LONGEST, 2, -1):
         level = level.groupBy(*keep).agg(F.sum("count").alias("count"))
-        if k == 1:
-            break
         whole = F.lit(True) if k == LONGEST else F.col("deal") >= 0
         is_level = F.col("k") == k
         shorter = F.struct(F.lit(k - 1).cast("tinyint").alias("k"), head("gram", k - 1).alias("gram"), F.lit(True).alias("on"))
@@ -227,9 +228,11 @@ def phrase_counts(docs: DataFrame, least: int = 30, filter_bits: int = FILTER_BI
         level = (
             level.withColumn("x", F.explode(both)).where("x.on").select("deal", "lang", F.col("x.k").alias("k"), F.col("x.gram").alias("gram"), "count")
         )
+    level = level.groupBy(*keep).agg(F.sum("count").alias("count")).where((F.col("deal") < 0) | (F.col("count") >= least))
     counts = level.groupBy("lang", "k", "gram").agg(F.sum("count").alias("count")).where(F.col("count") >= least)
+    words = survey.where("word IS NOT NULL").select("lang", F.lit(1).cast("tinyint").alias("k"), F.col("word").alias("gram"), "count")
     n = survey.where("word IS NULL AND bucket IS NULL").select("lang", F.col("count").alias("n"))
-    return stored(counts, "phrases"), n
+    return stored(counts.unionByName(words), "phrases"), n
 
 
 def unary_nodes(counts: DataFrame) -> DataFrame:

@@ -20,9 +20,9 @@ EVENTS_SQL = "SELECT event_id, user_id AS key, ts, CAST(NULL AS VARCHAR) AS uid,
 
 def admission_sql(events: str, windows: Windows) -> str:
     """The outcome of every event, one step of the recursion per event of a key."""
-    dt, cd, ttl, delay = (
-        w // timedelta(microseconds=1) for w in (windows.double_tap, windows.cooldown, windows.ttl, windows.delay)
-    )
+    # A window of zero stands for the default, whichever it is.
+    own, usual = ((w.double_tap, w.cooldown, w.ttl, w.delay) for w in (windows, Windows()))
+    dt, cd, ttl, delay = ((w or default) // timedelta(microseconds=1) for w, default in zip(own, usual))
     return f"""
     WITH RECURSIVE e AS (
       SELECT *, epoch_us(ts) AS t, row_number() OVER (PARTITION BY key ORDER BY ts, event_id) AS n FROM ({events})

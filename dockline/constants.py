@@ -34,6 +34,7 @@ COOLDOWN = "cooldown"
 ACCEPTED = "accepted"
 # Ours: an event older than the last accepted one of its key (streams only).
 LATE = "late"
+UNDATED = "undated"
 
 # Admission windows used when a rule names none.
 DEFAULT_DOUBLE_TAP = timedelta(seconds=5)

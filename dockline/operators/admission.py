@@ -6,10 +6,11 @@ is a chain. A chain is not gathered in one task: events are range-partitioned by
 slice is folded in order, batch by batch, with one small state.
 
 A slice that starts inside a key needs the state its predecessor ends with. Those
-boundary states (one per slice) are found by folding only the keys that cross a
-boundary, first without an entry state, then again where the entry turned out to
-be different, until nothing changes. Chains meet again quickly, after any gap as
-long as the cooldown at the latest, so this takes few rounds.
+boundary states (one per slice) are found from the keys that cross a boundary:
+slices longer than the look-back are mapped from entry to exit at once, a few
+others are folded on demand, and where that is not enough the maps of all slices
+are composed by pointer doubling (``chains``), in as many rounds as the number of
+slices has bits.
 """
 
 from __future__ import annotations
@@ -37,10 +38,12 @@ from ..constants import (
     DUPLICATE,
     LATE,
     PENDING,
+    UNDATED,
 )
 from ..functions.durations import to_micros, window_or_default
 from ..session import enable_checkpoints, scratch
 from ..sinks.storage import drop_folder
+from .chains import SLICE_SHIFT, composed
 from .fold import Rows
 
 
@@ -211,7 +214,8 @@ def admit(
 
     ``order`` breaks ties of equal times. ``last`` holds the last ledger record of
     each key, if there is one. The task times are those of the new task for an
-    accepted event, else those of the task that held it back.
+    accepted event, else those of the task that held it back. An event without a time is
+    ``undated``: it is never accepted and holds nothing back.
     """
     columns = events.columns
     order = list(order)
@@ -232,6 +236,16 @@ def admit(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, state = None, None
         for batch in batches:
+            undated = pc.is_null(batch.column("_at"))
+            if pc.any(undated).as_py():
+                # Without a time there is no place in the chain: set aside, nothing changes.
+                aside = batch.filter(undated)
+                nothing = [pa.nulls(aside.num_rows, pa.int64())] * len(_OUTPUTS)
+                yield pa.RecordBatch.from_arrays(
+                    [aside.column(name) for name in columns] + [pa.array([UNDATED] * aside.num_rows), *nothing],
+                    names=[*columns, "status", *_OUTPUTS],
+                )
+                batch = batch.filter(pc.invert(undated))
             if batch.num_rows == 0:
                 continue
             if key is None:
@@ -310,7 +324,7 @@ def _boundary_states(ordered: DataFrame, seeded: bool) -> dict[int, Task]:
     spark = ordered.sparkSession
     path = scratch(spark, "boundary")
     keys = F.broadcast(spark.createDataFrame(list(handed_on.items()), "_slice int, _key string"))
-    numbered = ordered.select("_slice", *_INPUTS, F.monotonically_increasing_id().alias("_row"))
+    numbered = ordered.where("_at IS NOT NULL").select("_slice", *_INPUTS, F.monotonically_increasing_id().alias("_row"))
     numbered.join(keys, ["_slice", "_key"], "left_semi").write.partitionBy("_slice").parquet(path)
     try:
         return _settled(spark.read.parquet(path), crossings, through, seeded)
@@ -353,10 +367,14 @@ def _settled(
         known[number, ahead[number][entry]] = state
 
     entries: dict[int, Task] = {}
+    followed: set[str] | None = None
+    lookups = 0
     while True:
         wanted: dict[int, list[Task]] = {}
         exits = {s: known[s, None] for s in fresh}
-        for left, right, _ in crossings:
+        for left, right, key in crossings:
+            if key in (followed or ()):
+                continue
             if left not in exits:
                 # Behind a slice that is still to be folded.
                 continue
@@ -371,10 +389,30 @@ def _settled(
                 wanted[right] = [state]
         if not wanted:
             return entries
+        if followed is None and lookups == LOOKUPS:
+            # Too dense for single steps: follow all chains at once.
+            followed = _follow(rows, crossings, entries)
+            continue
+        lookups += 1
         for number, entry, state in _exits(rows, wanted, set(), 0):
             known[number, wanted[number][entry]] = state
 
 
+def _follow(rows: DataFrame, crossings: list[tuple[int, int, str]], entries: dict[int, Task]) -> set[str]:
+    """Settle the entries of all keys that keep their windows; the others are left to single steps."""
+    keys, ends, _ = composed(rows, _input_columns)
+    last: dict[str, dict[int, Task]] = {}
+    for end in ends:
+        last.setdefault(end.key, {})[end.row >> SLICE_SHIFT] = Task(*end[2:])
+    for left, right, key in crossings:
+        if key in keys:
+            # A slice in which nothing is accepted is left as it was entered.
+            entries[right] = last[key].get(left) or entries[left]
+    return keys
+
+
+# Rounds in which single slices are folded before all chains are followed.
+LOOKUPS = 2
 # Budget of exit states that may be tried ahead, over all slices.
 SPECULATIVE_STATES = 200_000
 
@@ -401,7 +439,7 @@ def _exits(
         table = table.sort_by("_row").combine_chunks()
         number = int(table.column("_slice")[0].as_py())
         # One slice of one key, cut to a bounded size by the range partitioning.
-        columns = {name: pc.cast(table.column(name), _ARROW[name]).combine_chunks() for name in _INPUTS}
+        columns = _input_columns(table)
         found = exits_of_any(columns, share) if number in unknown else exits_after(columns, entries[number])
         fields = list(zip(*((number, entry, *state) for entry, state in found))) or [[]] * len(_EXIT.fields)
         return pa.table([pa.array(list(v), t) for v, t in zip(fields, _EXIT_ARROW)], names=_EXIT.names)
@@ -416,6 +454,10 @@ _ARROW = {name: pa.int64() for name in _INPUTS} | {
 }
 
 
+def _input_columns(table: pa.Table) -> dict[str, pa.Array]:
+    return {name: pc.cast(table.column(name), _ARROW[name]).combine_chunks() for name in _INPUTS}
+
+
 def exits_of_any(columns: dict[str, pa.Array], share: int) -> list[tuple[None, Task]]:
     """Every state a slice of one key can end with."""
     rows = Rows(columns)

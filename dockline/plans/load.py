@@ -116,6 +116,9 @@ def run_load(
         df = normalize_timestamps(source)
         if spec.mode == "partition":
             value = _path_value(spark, spec, inputs)
+            if rejected:
+                # What was set aside is not loaded as well.
+                df = df.filter(_value_in_path(spec)[1].isNotNull())
             df = df.drop(SOURCE_PATH)
         else:
             df = with_partition(df, spec, files)
@@ -195,13 +198,18 @@ def _source(spark: SparkSession, spec: LoadSpec, paths: list[str], schema: str |
     )
 
 
+def _value_in_path(spec: LoadSpec) -> tuple[Column, Column]:
+    """The partition text in a row's path, and its value; NULL without one."""
+    text = extract_partition(_searched(spec, source_path()), spec.partition_regex)
+    return text, parse_partition_value(text, spec.partition_format, spec.table.column_type)
+
+
 def _quarantine(source: DataFrame, files: DataFrame, spec: LoadSpec, run_uuid: str) -> int:
     """Set aside the rows of files whose path names no partition; their number.
 
     The file list tells whether there are any; if so, the source is filtered by path.
     """
-    text = extract_partition(_searched(spec, source_path()), spec.partition_regex)
-    value = parse_partition_value(text, spec.partition_format, spec.table.column_type)
+    text, value = _value_in_path(spec)
     data = T.StructType([f for f in source.schema.fields if f.name != SOURCE_PATH])
     if files.filter(value.isNull()).isEmpty():
         return 0

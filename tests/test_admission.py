@@ -206,6 +206,63 @@ def test_a_long_key_is_settled_in_two_rounds(spark, monkeypatch):
     assert len(rounds) == 2
 
 
+def test_a_dense_key_is_followed_by_doubling(spark, monkeypatch):
+    """64 slices, all shorter than the look-back, with a task accepted in nearly each."""
+    from dockline.operators import admission
+
+    rounds, original, steps = [], admission.composed, []
+    monkeypatch.setattr(admission, "composed", lambda *a: rounds.append(original(*a)) or rounds[-1])
+    exits = admission._exits
+    monkeypatch.setattr(admission, "_exits", lambda *a: steps.append(1) or exits(*a))
+    w = Windows(timedelta(seconds=5), timedelta(hours=3), timedelta(hours=1), timedelta(seconds=200))
+    digests = [random.Random(i // 97).choice(["a", "b", None]) for i in range(20_000)]
+    rows = [(i, "k", BASE + timedelta(seconds=i), None, digests[i], i % 1013 == 5) for i in range(20_000)]
+    found = collected(run(spark.createDataFrame(rows, SCHEMA), w, slices=64))
+    assert found == walk_one_key(rows, w)
+    assert len(rounds) == 1 and rounds[0][2] <= 8 and len(steps) <= 4
+
+
+def walk_one_key(rows, w):
+    """The walk with the newest task only, for a key with many."""
+    answers, ledger = {}, []
+    for row in rows:
+        answers |= walk([row], w, ledger)
+        del ledger[:-1]
+    return answers
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_doubling_equals_the_walk(spark, monkeypatch, seed):
+    """Several dense keys with uids, digests, forced and tied events, and a ledger before them."""
+    from dockline.operators import admission
+
+    monkeypatch.setattr(admission, "LOOKUPS", 0)
+    w = CASES[seed][0]
+    w = Windows(w.double_tap, timedelta(seconds=500 + 100 * seed), w.ttl, w.delay)
+    rows = make_events(700, 3, 900, seed=41 + seed, uids=seed % 2 == 0, hot=0.5)
+    first, second = [r for r in rows if r[2] < BASE + timedelta(seconds=200)], [r for r in rows if r[2] >= BASE + timedelta(seconds=180)]
+    ledger = []
+    expected = walk(first, w, ledger)
+    one = run(spark.createDataFrame(first, SCHEMA), w, slices=9)
+    assert collected(one) == expected
+    records = one.filter("status = 'accepted'").select(
+        F.col("key").alias("task_key"), F.col("uid").alias("event_uid"), F.col("digest").alias("content_hash"),
+        "created_at", "scheduled_at", "cooldown_until", "expire_at",
+    )
+    two = run(spark.createDataFrame(second, SCHEMA), w, slices=14, last=latest_per_key(records))
+    assert collected(two) == walk(second, w, ledger)
+
+
+@pytest.mark.parametrize("slices", [None, 7])
+def test_events_without_a_time_are_set_aside(spark, slices):
+    rows = make_events(300, 2, 600, seed=5, hot=0.6)
+    bare = [(1000 + i, ("hot", "k0", None)[i % 3], None, None, "a", False) for i in range(60)]
+    found = run(spark.createDataFrame([*rows, *bare], SCHEMA), CASES[0][0], slices=slices)
+    assert collected(found.where("status <> 'undated'")) == walk(rows, CASES[0][0])
+    aside = found.where("status = 'undated'")
+    assert aside.count() == 60 and aside.where("created_at IS NOT NULL OR id < 1000").isEmpty()
+
+
 def test_no_events(spark):
     assert run(spark.createDataFrame([], SCHEMA), Windows()).count() == 0
 

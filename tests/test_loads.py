@@ -131,6 +131,16 @@ def test_quarantine(spark, folder, limit, monkeypatch):
     assert rejected.filter("path LIKE '%nodate%'").orderBy("raw").head().raw == '{"id":0,"day":"nodate"}'
 
 
+def test_one_partition_loads_nothing_that_was_set_aside(spark, folder):
+    source, aside = f"{folder}/in", f"{folder}/aside"
+    write_days(source, ["20240101"])
+    # The folder names a partition, the file below it does not.
+    careful = spec(f"{folder}/table", mode="partition", partition_regex=r"/(\d{8})$", on_error="quarantine", quarantine_path=aside)
+    audit = run_load(spark, careful, f"{source}/20240101", "r1").head()
+    assert (audit.row_count, audit.rejected_count) == (0, 3)
+    assert spark.read.parquet(aside).count() == 3 and contents(spark, f"{folder}/table") == {}
+
+
 def test_quarantine_keeps_the_columns_of_the_path(spark, folder):
     source, aside = f"{folder}/in", f"{folder}/aside"
     write_days(source, ["region=eu/day=20240101", "region=eu/day=20240199"])

@@ -42,6 +42,12 @@ class Folder:
         if not self._fs.rename(path(self._path, old), path(self._path, new)):
             raise OSError(f"cannot rename {old} to {new}")
 
+    def move(self, child: str, target: str) -> None:
+        """Move a sub-folder to a path that is free."""
+        path = self._jvm.org.apache.hadoop.fs.Path
+        if not self._fs.rename(path(self._path, child), path(target)):
+            raise OSError(f"cannot move {child} to {target}")
+
 
 def drop_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder this package has made for its own use."""

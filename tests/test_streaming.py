@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 import os
+import time
+from datetime import datetime, timezone
 
 import pytest
 
@@ -111,15 +113,117 @@ def test_a_replayed_batch_leaves_the_same_state(spark, folder, loader):
     assert [s[3] for s in before[0]] == ["accepted"] * 3
 
 
-def test_expired_batches_are_dropped(spark, folder, loader):
-    batch = lambda *lines: spark.createDataFrame([(line,) for line in lines], "value string")
-    loader.process(batch(event("20240101", "2024-01-05T10:00:00Z")), 0)
-    loader.process(batch(event("20240102", "2024-01-05T11:00:00Z")), 1)
-    assert loader.forget_expired() == []
-    loader.process(batch(event("20240103", "2024-01-05T12:00:00Z")), 2)
-    # 10:00 plus double tap, cooldown and an hour of buffer is past.
-    assert loader.forget_expired() == ["0"]
+def lines_of(spark, *lines):
+    return spark.createDataFrame([(line,) for line in lines], "value string")
+
+
+def days_in(folder, table):
+    return sorted(os.listdir(f"{folder}/state/{table}")) if os.path.exists(f"{folder}/state/{table}") else []
+
+
+def test_expired_days_disappear_without_a_call(spark, folder, loader):
+    """Over a stream of three files; a day goes when its last task could have expired."""
+    arrive(folder, 0, [event("20240101", "2024-01-05T10:00:00Z")])
+    arrive(folder, 1, [event("20240102", "2024-01-06T01:00:00Z")])
+    drain(loader, folder)
+    held = lambda t: [d for d in days_in(folder, t) if d.startswith("day=")]
+    assert held("ledger") == ["day=2024-01-05", "day=2024-01-06"]
+    arrive(folder, 2, [event("20240103", "2024-01-06T02:00:00Z")])
+    drain(loader, folder)
+    # Midnight plus double tap, cooldown and an hour of buffer is past.
+    assert held("ledger") == held("decisions") == ["day=2024-01-06"] and held("runs") in ([], ["day=2024-01-06"])
     assert {s[4] for s in statuses(loader)} == {1, 2}
+    assert [d for d in days_in(folder, "clock") if d.startswith("batch")] == ["batch_id=1", "batch_id=2"]
+
+
+def test_a_batch_opens_only_the_days_of_its_look_back(spark, folder, loader):
+    """Fifty batches over as many days; the plan of the next reads the last day only."""
+    ledger = loader._days
+    for batch in range(50):
+        day = f"2024-{1 + batch // 28:02}-{1 + batch % 28:02}"
+        rows = spark.sql(
+            f"SELECT 'days|b/{batch % 5}' AS task_key, 'u' AS event_uid, 'h' AS content_hash, timestamp'{day} 10:00:00' AS created_at,"
+            f" timestamp'{day} 10:10:00' AS scheduled_at, timestamp'{day} 10:30:30' AS cooldown_until,"
+            f" timestamp'{day} 11:30:30' AS expire_at, '{batch}' AS task_id, 'days' AS job"
+        )
+        loader._write_days(rows.coalesce(1), "ledger", batch)
+    at = int(datetime(2024, 2, 22, 10, 20, tzinfo=timezone.utc).timestamp()) * 10**6
+    last = loader.look_back(at - 30 * 60 * 10**6, 50)
+    assert [r.task_id for r in last.collect()] == ["49"]
+    assert [f.split("/state/ledger/")[1].rsplit("/", 1)[0] for f in last.inputFiles()] == ["day=2024-02-22/batch_id=49"]
+    plan = last._jdf.queryExecution().executedPlan().toString()
+    assert "InMemoryFileIndex(1 paths)" in plan
+    assert ledger("ledger").count() == 50
+
+
+def test_closed_days_are_compacted(spark, folder, loader):
+    """The last record of each key stays, a failure half way leaves nothing wrong."""
+    for batch, at in enumerate(["10:00", "11:00", "12:00"]):
+        loader.process(lines_of(spark, event("20240101", f"2024-01-05T{at}:00Z", str(batch))), batch)
+    loader.process(lines_of(spark, event("20240102", "2024-01-05T23:58:00Z")), 3)
+    loader.process(lines_of(spark, event("20240103", "2024-01-06T00:01:00Z")), 4)
+    held = [d for d in days_in(folder, "ledger/day=2024-01-05") if d.startswith("batch")]
+    assert held == ["batch_id=-5"]
+    rows = loader._days("ledger").orderBy("created_at").collect()
+    assert [r.name.split("/")[1] for r in rows] == ["20240101", "20240102", "20240103"] and rows[0].created_at.hour == 12
+    # The task of 23:58 was still to run when its day was compacted.
+    loader.process(lines_of(spark, event("20240103", "2024-01-06T00:09:00Z", "2")), 5)
+    assert read_table(spark, f"{folder}/table").where("day = '20240102'").count() == 3
+    loader.process(lines_of(spark, event("20240103", "2024-01-06T00:09:00Z", "2")), 5)
+    assert [s[3] for s in statuses(loader) if s[4] == 5] == ["pending"]
+
+
+def test_a_timer_runs_the_last_task(spark, folder, loader):
+    """No event comes after the one that is accepted last."""
+    loader.run_due = False
+    arrive(folder, 0, [event("20240101", "2024-01-05T10:00:00Z"), event("20240102", "2024-01-05T10:30:00Z")])
+    drain(loader, folder)
+    assert not os.path.exists(f"{folder}/table")
+    timer = loader.start_timer("1 second")
+    try:
+        for _ in range(120):
+            if len([d for d in days_in(folder, "runs") if d.startswith("day")]):
+                break
+            time.sleep(0.5)
+    finally:
+        timer.stop()
+    table = read_table(spark, f"{folder}/table", with_part_id=True)
+    assert {r.part_id: r["count"] for r in table.groupBy("part_id").count().collect()} == {"20240101": 3, "20240102": 3}
+    runs = loader._days("runs")
+    assert runs.count() == 2
+    loader.run_tasks(datetime.now(timezone.utc))
+    assert loader._days("runs").count() == 2
+
+
+def test_a_missing_folder_is_refused_and_the_rest_loads(spark, folder, loader):
+    rules = spark.createDataFrame(
+        [
+            ("days", "b", r"^daily/\d{8}/DONE$", "marker", True, "PT30S", "PT30M", "PT1H", "PT10M", 0, ["{{ source_prefix }}", "--run_uuid=x"]),
+            ("others", "b", r"^other/\d{8}$", "folder", True, "PT30S", "PT30M", "PT1H", "PT10M", 1, []),
+        ],
+        RULES + ", args array<string>",
+    )
+    names = ["daily/20240101/DONE", "daily/20240101/part.csv", "other/20240105"]
+    loader.rules = rules
+    loader.manifest = spark.createDataFrame([("b", n) for n in names], "bucket string, name string")
+    loader.loads["others"] = spec(f"{folder}/others", mode="partition_range")
+    other = lambda day: json.dumps(dict(bucket="b", name=f"other/{day}", generation="1", time_created="2024-01-05T10:00:00Z"))
+    loader.process(lines_of(spark, event("20240101", "2024-01-05T10:00:00Z"), event("20240109", "2024-01-05T10:00:00Z"), other("20240105")), 0)
+    loader.process(lines_of(spark, event("20240102", "2024-01-05T10:30:00Z")), 1)
+    refused = {(r.job, r.name): r.error for r in loader._days("refused").collect()}
+    assert refused[("days", "daily/20240109/DONE")] == "path not found"
+    runs = loader._days("runs").collect()
+    assert [(r.job, r.path) for r in runs] == [("days", "daily/20240101/")]
+    assert runs[0].args == ["daily/20240101/", f"--run_uuid={runs[0].task_id}"]
+    assert read_table(spark, f"{folder}/table").count() == 3
+
+
+def test_events_without_a_time_keep_their_arrival(spark, folder, loader):
+    bare = json.dumps(dict(bucket="b", name="daily/20240101/DONE", generation="1"))
+    loader.process(lines_of(spark, bare), 0)
+    before = loader.decisions().select("at", "created_at").collect()
+    loader.process(lines_of(spark, bare), 0)
+    assert loader.decisions().select("at", "created_at").collect() == before
 
 
 def test_routed_stream(spark, folder):

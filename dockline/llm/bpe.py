@@ -1,9 +1,8 @@
 """Byte-level BPE by a global shuffle of distinct words.
 
 * Explode: the pre-tokens of a chunk of documents (the matches of the vocabulary's pattern)
-  become positions in the chunk's list of distinct words, the most frequent first. Word
-  lists and position lists go different ways, from two passes over the documents; a chunk
-  is named by a digest of its word list, so if the two saw different ones the job fails.
+  become positions in the chunk's list of distinct words, the most frequent first. Texts are
+  split once; word lists and position lists leave in one shuffle, words to their buckets.
 * Encode: word lists are shuffled by a hash of the word, so all copies of a word meet in
   one bucket, where its merges are worked out once, by the rank file.
 * Join back: a bucket's ids return to the chunks that asked for them.
@@ -11,9 +10,11 @@
   token-byte table of the vocabulary.
 
 A chunk is a bounded run of rows of one partition, a word goes to a bucket once per chunk
-however often it occurs: a word that fills a third of the corpus is no hot key. The number
-of buckets follows ``spark.sql.shuffle.partitions``. Documents must come in the same order
-when they are read again, as they do from files; store the result of a shuffle first.
+however often it occurs: a word that fills a third of the corpus is no hot key. A chunk is
+named by its partition and number there, so equal chunks stay apart. The number of partitions
+follows the input's splits, and ``spark.sql.shuffle.partitions`` if that is more. Documents
+must come in the same order if a task is run again, as they do from files; store the result
+of a shuffle first. A text counts whole, as a chunk of its own if it is long.
 
 Null texts count as empty; empty ones have no ids. Every row gives one row, repeated rows
 too. Special tokens are never matched. An empty table gives an empty result, other columns
@@ -29,8 +30,10 @@ from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +42,8 @@ CHUNK_CHARS = 32_000_000
 # Rows of position lists hold about so many positions, or one document.
 ROW_POSITIONS = 1_000_000
 BUCKETS_PER_PARTITION = 4
+# Partitions of the shuffles for each split of the input.
+PARTS_EACH = 2
 # A bucket forgets its words beyond so many, and would encode them anew.
 BUCKET_WORDS = 2_000_000
 
@@ -108,11 +113,6 @@ def _broad(data: bytes) -> np.ndarray:
     return out
 
 
-def _name(words: list[bytes]) -> int:
-    """A chunk's name. Chunks with equal word lists may share it: they need the same ids."""
-    return int(np.frombuffer(xxhash.xxh64_digest(b"\0".join(words)), np.int64)[0])
-
-
 class _Chunk:
     """The distinct words of a run of documents, and their positions."""
 
@@ -135,9 +135,14 @@ class _Chunk:
         words = [w.encode() for w in self.words]
         return rank, [words[i] for i in order.tolist()]
 
-    def position_rows(self):
+    def rows(self, name: int, buckets: int):
+        """Rows of positions, then rows of words."""
         rank, words = self.ranked()
-        name, first, held = _name(words), 0, 0
+        yield from self._position_rows(name, rank)
+        yield from self._word_rows(name, words, buckets)
+
+    def _position_rows(self, name: int, rank: np.ndarray):
+        first, held = 0, 0
         for at, places in enumerate(self.places):
             held += len(places)
             if held >= ROW_POSITIONS or at + 1 == len(self.places):
@@ -146,9 +151,7 @@ class _Chunk:
                 yield (name, -1, first, self.doc_ids[first : at + 1], [len(p) for p in here], blob, None)
                 first, held = at + 1, 0
 
-    def word_rows(self, buckets: int):
-        _, words = self.ranked()
-        name = _name(words)
+    def _word_rows(self, name: int, words: list[bytes], buckets: int):
         home = np.array([xxhash.xxh64_intdigest(w) % buckets for w in words], np.int64)
         order = np.argsort(home, kind="stable")
         edges = np.flatnonzero(np.diff(home[order], prepend=-1, append=-1)) if words else []
@@ -158,21 +161,21 @@ class _Chunk:
             yield (name, int(home[here[0]]), 0, None, None, _pieces([words[i] for i in here]), _squeeze(steps.tobytes()))
 
 
-def _explode(pattern: str, rows):
+def _explode(pattern: str, buckets: int):
     def exploded(batches):
         import regex
 
         find = regex.compile(pattern).findall
-        chunk = _Chunk()
+        chunk, name = _Chunk(), TaskContext.get().partitionId() << 32
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
                 text = text.as_py() or ""
                 chunk.add(doc_id, find(text), len(text))
                 if chunk.chars >= CHUNK_CHARS:
-                    yield from (_rows([row]) for row in rows(chunk))
-                    chunk = _Chunk()
+                    yield from (_rows([row]) for row in chunk.rows(name, buckets))
+                    chunk, name = _Chunk(), name + 1
         if chunk.doc_ids:
-            yield from (_rows([row]) for row in rows(chunk))
+            yield from (_rows([row]) for row in chunk.rows(name, buckets))
 
     return exploded
 
@@ -184,6 +187,11 @@ def _encode(path: str):
         coder = tiktoken.Encoding("words", pat_str=r"(?s).+", mergeable_ranks=ranks(path), special_tokens={})
         bucket, known = None, {}
         for batch in batches:
+            # Positions only pass by.
+            listed = pc.less(batch.column("bucket"), 0)
+            if pc.any(listed).as_py():
+                yield batch.filter(listed)
+                batch = batch.filter(pc.invert(listed))
             out = []
             for row in batch.to_pylist():
                 if row["bucket"] != bucket or len(known) > BUCKET_WORDS:
@@ -293,14 +301,16 @@ def token_bytes(path: str) -> tuple[list[bytes], list[str]]:
 
 
 def _joined(docs: DataFrame, path: str, pattern: str, finish, schema: str) -> DataFrame:
-    buckets = BUCKETS_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "text")
-    words = texts.mapInArrow(_explode(pattern, lambda chunk: chunk.word_rows(buckets)), _SHARED)
-    documents = texts.mapInArrow(_explode(pattern, _Chunk.position_rows), _SHARED)
-    encoded = words.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_encode(path), _SHARED)
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), PARTS_EACH * texts.rdd.getNumPartitions())
+    buckets = BUCKETS_PER_PARTITION * parts
+    exploded = texts.mapInArrow(_explode(pattern, buckets), _SHARED)
+    # Words go to their bucket, rows of positions anywhere.
+    home = F.when(F.col("bucket") >= 0, F.col("bucket")).otherwise(F.xxhash64("chunk", "part"))
+    encoded = exploded.repartition(parts, home).sortWithinPartitions("bucket").mapInArrow(_encode(path), _SHARED)
     # Word ids come first within a chunk: document rows have part numbers, word rows a bucket.
     order = [F.col("chunk"), (F.col("bucket") < 0).cast("int"), F.col("part")]
-    met = encoded.unionByName(documents).repartition("chunk").sortWithinPartitions(*order)
+    met = encoded.repartition(parts, "chunk").sortWithinPartitions(*order)
     return met.mapInArrow(_assemble(finish), schema)
 
 

@@ -220,8 +220,16 @@ def selected(spans: Column, model: Boosted, least: list[float]) -> Column:
     apart = F.filter(
         added, lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
     )
-    alone = F.filter(apart, lambda s, i: F.coalesce(F.get(apart, i - 1)["end"] <= s["start"], F.lit(True)))
     none = F.array().cast(_NO_SPANS)
+
+    def step(acc: Column, s: Column) -> Column:
+        free = s["start"] >= acc["at"]
+        end = F.when(free, s["end"]).otherwise(acc["at"])
+        return F.struct(end.alias("at"), F.when(free, F.concat(acc["kept"], F.array(s))).otherwise(acc["kept"]).alias("kept"))
+
+    # A span gives way only to one that stays itself.
+    begin = F.struct(F.lit(0).alias("at"), F.filter(apart, lambda s: F.lit(False)).alias("kept"))
+    alone = F.aggregate(F.sort_array(apart), begin, step, lambda acc: acc["kept"])
     return F.when(F.size(spans) > 0, F.sort_array(F.concat(base, alone))).otherwise(none)
 
 

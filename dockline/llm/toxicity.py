@@ -12,14 +12,16 @@ they are sought. Words joined by digits or ``@ $ *`` (``id1ot``) are also tried
 none of them is a hit by itself, so that an edit can be spent on such a sign. Words of documents not labelled toxic are words of their own, not
 misspellings, and do not match.
 
-*Context.* A hit counts as quoted if quotation marks open before it and close after it
-within ``WINDOW`` words on its line, otherwise as abuse; the densest window of abuse counts.
+*Context.* A hit counts as quoted if it stands in a quotation of its line that opens at most
+``WINDOW`` words before it and closes at most as many after it, otherwise as abuse; marks are
+paired from the start of the line, however long that is. The densest window of abuse counts.
 
 *Score.* A logistic model over binned counts of exact, misspelled and quoted hits and the
 densest window. It is fitted on counts per bin, so what reaches the driver is bounded by
 the number of bins.
 
-The model is fitted on at most ``FIT_ROWS`` labelled rows, those with the smallest hashes
+The model holds the ``LEXICON_SIZE`` most telling terms and the ``OWN_WORDS`` most frequent
+other words; both bound what a task keeps. It is fitted on at most ``FIT_ROWS`` labelled rows, those with the smallest hashes
 among the rows of the training fold; everything else covers every row. Of rows that repeat
 an id in ``labels`` the larger label counts; null labels are none. Without labels, or
 without toxic ones, every score is 0. Null and empty texts have no hits and score as such.
@@ -176,12 +178,18 @@ class Memory(dict):
         return found
 
 
-def quoted(text: str, start: int, end: int) -> bool:
-    """Whether quotation marks stand on both sides, near and on the same line, unevenly many before."""
-    reach = WINDOW * 8
-    before = text[max(0, start - reach) : start].rsplit("\n", 1)[-1]
-    after = text[end : end + reach].split("\n", 1)[0]
-    return len(QUOTES.findall(before)) % 2 == 1 and QUOTES.search(after) is not None
+def quoted(text: str, marks: list[int], spans: list[tuple[int, int]], start: int, end: int) -> bool:
+    """Whether the hit stands in a quotation of its line that opens and closes within ``WINDOW`` words.
+
+    ``marks`` are the places of all quotation marks, ``spans`` those of all words; marks are
+    paired from the start of the line.
+    """
+    line, until = text.rfind("\n", 0, start) + 1, text.find("\n", end)
+    opened, closed = bisect_left(marks, start), bisect_left(marks, end)
+    if (opened - bisect_left(marks, line)) % 2 == 0 or closed == len(marks) or -1 < until < marks[closed]:
+        return False
+    place = lambda at: bisect_left(spans, (at,))
+    return place(start) - place(marks[opened - 1]) <= WINDOW and place(marks[closed]) - place(end) <= WINDOW
 
 
 def hits(text: str, memory: Memory) -> tuple[int, int, int, int]:
@@ -194,7 +202,7 @@ def hits(text: str, memory: Memory) -> tuple[int, int, int, int]:
         return 0, 0, 0, 0
     exact = near = cited = 0
     places: list[int] = []
-    quotes = QUOTES.search(lowered) is not None
+    quotes = [m.start() for m in QUOTES.finditer(lowered)]
     spans = [m.span() for m in LETTERS.finditer(lowered)] if quotes or mixed else None
     seen = [(at, found[at], spans[at] if quotes else None) for at in np.flatnonzero(np.array(found)).tolist()]
     for start, end in mixed:
@@ -202,7 +210,7 @@ def hits(text: str, memory: Memory) -> tuple[int, int, int, int]:
         if not any(found[first:last]):
             seen.append((first, memory[lowered[start:end]], (start, end)))
     for at, kind, span in sorted(seen, key=lambda hit: hit[0]):
-        if quotes and quoted(lowered, *span):
+        if quotes and quoted(lowered, quotes, spans, *span):
             cited += 1
             continue
         exact += kind == 1

@@ -233,6 +233,19 @@ def test_quotation_is_told_from_abuse():
     assert toxicity.hits("", memory) == (0, 0, 0, 0)
 
 
+def test_quotations_are_measured_in_words():
+    memory = toxicity.Memory(["idiot"])
+    long = " ".join(["incomprehensibility"] * 14)
+    assert toxicity.hits(f'he said "{long} idiot, {long}" again', memory)[:3] == (0, 0, 1)
+    # A quotation that is over by now, however long it was.
+    words = " ".join(["word"] * 60)
+    assert toxicity.hits(f'"{words}" you idiot, he said "no"', memory)[:3] == (1, 0, 0)
+    assert toxicity.hits(f'{words} "a" "b" you idiot', memory)[:3] == (1, 0, 0)
+    # Opened or closed too far away, or on another line.
+    assert toxicity.hits(f'"{words} idiot"', memory)[:3] == (1, 0, 0) == toxicity.hits(f'"idiot {words}"', memory)[:3]
+    assert toxicity.hits('"you\nidiot"', memory)[:3] == (1, 0, 0) == toxicity.hits('"\n" idiot', memory)[:3]
+
+
 def test_signs_in_words_and_combining_marks():
     memory = toxicity.Memory(["idiot", "moron", "worthless", "मूर्ख", "cafe\u0301"])
     for text in ("you id1ot", "a m0ron.", "w0rthl3ss", "wor*hless", "mor@n"):
@@ -323,6 +336,25 @@ def test_near_duplicates_in_a_group_without_a_centre(spark):
     assert [found[i] for i in range(300)] == label
 
 
+@pytest.mark.parametrize("few", [0, 40, 500_000])
+def test_components(spark, monkeypatch, few):
+    """Chains, stars and random links, with copies of links and links of a node to itself."""
+    from dockline.llm import components as module
+
+    monkeypatch.setattr(module, "FEW_LINKS", few)
+    rng = np.random.default_rng(6)
+    pairs = [(i, i + 1) for i in range(100, 160)] + [(int(x), 200) for x in range(201, 260)] + [(7, 7), (300, 301), (301, 300), (300, 301)]
+    pairs += [(int(x), int(y)) for x, y in rng.integers(400, 520, (90, 2))] + [(999 - i, 998 - i) for i in range(0, 300, 1) if i % 50]
+    label = {x: x for pair in pairs for x in pair if pair[0] != pair[1]}
+    for _ in label:
+        for a, b in pairs:
+            if a != b:
+                label[a] = label[b] = min(label[a], label[b])
+    found = module.components(spark.createDataFrame(pairs, "a bigint, b bigint"))
+    assert {r.node: r.component for r in found.collect()} == label
+    assert module.components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
 def test_bpe_round_trip(docs):
     coder = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.ranks(MULTI), special_tokens={})
     sha = lambda data: hashlib.sha256(data).hexdigest()
@@ -431,6 +463,26 @@ def test_planted_spans_of_each_added_kind(spark):
     assert {r["spans"] for r in rows_of(pii.find(df))} == {""}
 
 
+def test_added_spans_give_way_to_kept_ones_only(spark):
+    """Against a walk over the spans with the end of the last one kept."""
+    from dockline.llm.boosting import Boosted
+
+    cases = [[(0, 30), (5, 10), (12, 20)], [(0, 12), (10, 22), (20, 30)], [(0, 5), (5, 9)], [(3, 4)], []]
+    rng = np.random.default_rng(3)
+    cases += [sorted((int(a), int(a + n)) for a, n in zip(rng.integers(0, 40, 6), rng.integers(1, 15, 6))) for _ in range(40)]
+    rank = len(pii.BASE)
+    rows = [(i, [(a, rank, b, True, True, (0,) * len(pii.FEATURES)) for a, b in spans]) for i, spans in enumerate(cases)]
+    df = spark.createDataFrame(rows, f"id int, spans {pii._NO_SPANS}")
+    chosen = pii.selected(F.col("spans"), Boosted(1.0, []), [0.0] * len(pii.KINDS))
+    for i, found in ((r.id, [(s.start, s.end) for s in r.c]) for r in df.select("id", chosen.alias("c")).collect()):
+        expected, at = [], 0
+        for a, b in cases[i]:
+            if a >= at:
+                expected.append((a, b))
+                at = b
+        assert found == expected, cases[i]
+
+
 def test_licences(spark):
     mit = (
         "MIT License\n\nPermission is hereby granted, free of charge, to any person obtaining a copy of this\nsoftware "

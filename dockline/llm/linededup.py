@@ -41,8 +41,10 @@ from .common import SPACE, mix, stored
 # A passage of more than 50 words has more than 100 characters.
 MIN_BLOCK_CHARS = 100
 
-# Where lines end, as a Java and Python pattern: after a line break or a sentence.
-LINE_END = r"(?<=\n)|(?<=[.!?\u2026] )|(?<=[\u3002\uFF01\uFF1F])"
+# Where lines end: after a line break, a full-width stop, or a stop and a blank, with a closing
+# quotation mark or bracket between them or not.
+STOPS, CLOSERS, WIDE_STOPS = ".!?\u2026\u0964\u061F\u06D4", "\"'\u201D\u2019\u00BB)\\]", "\u3002\uFF01\uFF1F"
+LINE_END = rf"(?<=\n)|(?<=[{STOPS}] )|(?<=[{STOPS}][{CLOSERS}] )|(?<=[{WIDE_STOPS}])"
 _LINE_END = re.compile(LINE_END)
 
 _BASE = 0x9E3779B97F4A7C15
@@ -186,13 +188,69 @@ def run_hashes(hashes: np.ndarray, sizes: np.ndarray, least: int = MIN_BLOCK_CHA
     return mix((sums[ends] - sums[starts]) * _powers(_BASE_INVERSE, n)[starts] + length).view(np.int64)
 
 
-def _with_runs(batches):
+_KIND = np.zeros(0x110000, np.uint8)
+_STOP, _CLOSER, _ENDS, _BLANK = 1, 2, 4, 8
+for _chars, _bit in ((STOPS, _STOP), (CLOSERS.replace("\\", ""), _CLOSER), (WIDE_STOPS + "\n", _ENDS), (" \t\n\v\f\r", _BLANK)):
+    _KIND[[ord(c) for c in _chars]] |= _bit
+
+
+def lines_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes and sizes of the lines of texts that are not empty, white space around them left out, and where each text's lines begin."""
+    codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4")
+    lengths = np.array([len(t) for t in texts], np.int64)
+    ends = np.cumsum(lengths)
+    begins = ends - lengths
+    kind = _KIND[codes]
+    stop, closer = (kind & _STOP) > 0, (kind & _CLOSER) > 0
+    # Whether a sentence is over before each place, in the text it belongs to.
+    over = np.zeros(len(codes), bool)
+    over[1:] = stop[:-1]
+    over[2:] |= closer[1:-1] & stop[:-2] & ~np.isin(np.arange(1, len(codes) - 1), begins)
+    over[begins] = False
+    cuts = np.flatnonzero(((kind & _ENDS) > 0) | (over & (codes == 0x20))) + 1
+    starts = np.concatenate([begins, cuts])
+    owner = np.concatenate([np.arange(len(texts)), np.searchsorted(ends, cuts)])
+    order = np.lexsort((starts, owner))
+    starts, owner = starts[order], owner[order]
+    edges = np.searchsorted(owner, np.arange(len(texts) + 1))
+    until = np.append(starts[1:], 0)
+    until[edges[1:] - 1] = ends
+    dark = np.flatnonzero((kind & _BLANK) == 0)
+    low, high = np.searchsorted(dark, starts), np.searchsorted(dark, until)
+    full = high > low
+    a, b = (np.append(dark, 0)[x] for x in (low, high - 1))
+    a, b = np.where(full, a, 0), np.where(full, b + 1, 0)
+    sums = np.zeros(len(codes) + 1, np.uint64)
+    np.cumsum(mix((codes.astype(np.uint64) + np.uint64(1)) * np.uint64(_BASE)) * _powers(_BASE, len(codes)), out=sums[1:])
+    hashes = mix((sums[b] - sums[a]) * _powers(_BASE_INVERSE, len(codes) + 1)[a] + (b - a).astype(np.uint64))
+    return hashes.view(np.int64), b - a, edges
+
+
+# Texts are cut together up to so many characters.
+CUT_CHARS = 1 << 18
+
+
+def _with_lines(batches):
     for batch in batches:
-        runs = [
-            np.unique(run_hashes(np.array(h.as_py(), np.int64), np.array(n.as_py(), np.int64)))
-            for h, n in zip(batch.column("hashes"), batch.column("sizes"))
-        ]
-        yield batch.append_column("runs", pa.array(runs, pa.list_(pa.int64())))
+        texts = batch.column("text").to_pylist()
+        parts, first = [], 0
+        while first < len(texts):
+            last, chars = first, 0
+            while last < len(texts) and (last == first or chars + len(texts[last]) <= CUT_CHARS):
+                chars += len(texts[last])
+                last += 1
+            parts.append(lines_of(texts[first:last]))
+            first = last
+        hashes, sizes, runs = [], [], []
+        for own, length, edges in parts:
+            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+                hashes.append(own[a:b])
+                sizes.append(length[a:b].astype(np.int32))
+                runs.append(np.unique(run_hashes(own[a:b], length[a:b])))
+        lists = [pa.array(hashes, pa.list_(pa.int64())), pa.array(sizes, pa.list_(pa.int32())), pa.array(runs, pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("text_key"), *lists], names=["doc_id", "text_key", "hashes", "sizes", "runs"]
+        )
 
 
 def _aligned(batches):
@@ -218,16 +276,12 @@ def repeated_blocks(docs: DataFrame) -> DataFrame:
     texts = docs.where("doc_id IS NOT NULL AND text <> ''").select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.struct(F.xxhash64("text").alias("h"), F.crc32(F.encode("text", "UTF-8")).alias("c"), F.length("text").alias("n")).alias("text_key"),
-        F.transform(F.split("text", LINE_END, -1), lambda line: F.btrim(line, F.lit(" \n"))).alias("lines"),
-    )
-    hashed = texts.select(
-        "doc_id",
-        "text_key",
-        F.transform("lines", lambda line: F.xxhash64(line)).alias("hashes"),
-        F.transform("lines", lambda line: F.length(line)).alias("sizes"),
+        "text",
     )
-    schema = T.StructType([*hashed.schema, T.StructField("runs", T.ArrayType(T.LongType()))])
-    table = stored(hashed.mapInArrow(_with_runs, schema), "lines")
+    schema = T.StructType([f for f in texts.schema if f.name != "text"])
+    for name, kind in (("hashes", T.LongType()), ("sizes", T.IntegerType()), ("runs", T.LongType())):
+        schema = schema.add(name, T.ArrayType(kind))
+    table = stored(texts.mapInArrow(_with_lines, schema), "lines")
     first_ids = table.groupBy("text_key").agg(F.min("doc_id").alias("first_id"))
     firsts = table.join(first_ids.withColumnRenamed("first_id", "doc_id"), ["doc_id", "text_key"], "left_semi")
     firsts = stored(firsts.dropDuplicates(["doc_id", "text_key"]), "lines-first")

@@ -179,6 +179,41 @@ def test_runs_are_hashed_alike_wherever_they_stand():
         assert len(linededup.run_hashes(hashes, sizes)) == sum(sizes[i:].sum() >= 100 and sizes[i] > 0 for i in range(6))
 
 
+def test_lines_are_cut_and_hashed_alike():
+    rng = np.random.default_rng(12)
+    letters = list("ab .!\n\r\t\")'\u2026\u0964\u3002\uff1f\U0001f600")
+    texts = ["".join(rng.choice(letters, int(rng.integers(1, 40)))) for _ in range(600)]
+    hashes, sizes, edges = linededup.lines_of(texts)
+    by_line = {}
+    for text, a, b in zip(texts, edges, edges[1:]):
+        lines = [x.strip(" \t\n\v\f\r") for x in linededup._LINE_END.split(text)]
+        assert sizes[a:b].tolist() == [len(x) for x in lines], text
+        for line, code in zip(lines, hashes[a:b].tolist()):
+            assert by_line.setdefault(line, code) == code
+    assert len(set(by_line.values())) == len(by_line)
+
+
+def test_passages_whatever_surrounds_them(spark):
+    """Other line breaks, tabs, stops of other scripts, closing quotation marks."""
+    passage = [prose(960 + i, 15) for i in range(4)]
+    own = lambda i: prose(970 + i, 12)
+    one = f"{own(0)}\n" + "\n".join(passage) + f"\n{own(1)}"
+    texts = {
+        1: one,
+        2: f"{own(2)}\r\n" + "\r\n".join(passage) + f"\r\n{own(3)}",
+        3: f"{own(4)}\n" + "\n".join(f"\t{x}  " for x in passage) + f"\n{own(5)}",
+        10: f'{own(6)}. ' + " ".join(f'{x}."' for x in passage) + f' {own(7)}',
+        11: f'{own(8)}. ' + " ".join(f'{x}."' for x in passage) + f' {own(9)}',
+        20: f"{own(10)}\u0964 " + " ".join(f"{x} x\u0964" for x in passage) + f" {own(11)}",
+        21: f"{own(12)}\u0964 " + " ".join(f"{x} x\u0964" for x in passage) + f" {own(13)}",
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id int, text string")
+    out = {r["doc_id"]: (r["text"], r["lines_removed"]) for r in linededup.dedup_lines(docs).collect()}
+    assert all(out[i][0] == texts[i] for i in (1, 10, 20))
+    assert out[2][0] == f"{own(2)}\r\n{own(3)}" and out[3][0] == f"{own(4)}\n{own(5)}"
+    assert out[11] == (f"{own(8)}. {own(9)}", 4) and out[21] == (f"{own(12)}\u0964 {own(13)}", 4)
+
+
 def test_line_dedup_inside_lines(spark):
     """Passages within lines; blocks whose lines have other first holders one by one; kept line breaks."""
     passage = ". ".join(prose(700 + i, 14) for i in range(5)) + "."

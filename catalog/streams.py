@@ -45,31 +45,35 @@ def stream_ingest(spark, sf_dir):
     return spark.read.parquet(out).groupBy("name", "job").agg(F.count(F.lit(1)).alias("n"))
 
 
-def event_files(spark, sf_dir, cuts):
-    """Events as files that arrive one after the other, in time order."""
-    path = scratch(spark, "arrivals")
+def admitted_in_turn(spark, parts, **options):
+    """Parts arrive one after the other; the stream is drained, and started again, after each.
+
+    Parts are written and read by as many tasks as they need: a micro-batch is a part.
+    """
+    path, out = scratch(spark, "arrivals"), scratch(spark, "admitted")
+    for part in parts:
+        part.write.mode("append").parquet(path)
+        stream = spark.readStream.schema(part.schema).parquet(path)
+        drain(
+            admit_stateful(
+                stream, F.col("user_id"), "ts", order=["event_id"], content_hash=F.col("event_type"), windows=DAY, **options
+            ),
+            out,
+        )
+    return spark.read.parquet(out)
+
+
+def periods(spark, sf_dir, cuts):
+    """The events between the cuts, in time order."""
     events = narrow(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
-    edges = [None, *cuts, None]
-    for low, high in zip(edges, edges[1:]):
-        part = events
-        if low:
-            part = part.filter(F.col("ts") >= low)
-        if high:
-            part = part.filter(F.col("ts") < high)
-        part.coalesce(1).write.mode("append").parquet(path)
-    return path, events.schema
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        yield events.filter((F.lit(low is None) | (F.col("ts") >= F.lit(low))) & (F.lit(high is None) | (F.col("ts") < F.lit(high))))
 
 
 @query("admit_events_stream", admission_sql(EVENTS_SQL, DAY))
 def admit_events_stream(spark, sf_dir):
     """The stateful stream gives every event the answer of the batch."""
-    path, schema = event_files(spark, sf_dir, ["2024-01-08", "2024-01-15", "2024-01-22"])
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
-    admitted = admit_stateful(
-        stream, F.col("user_id"), "ts", order=["event_id"], content_hash=F.col("event_type"), windows=DAY
-    )
-    out = drain(admitted, scratch(spark, "admitted"))
-    return answers(spark.read.parquet(out))
+    return answers(admitted_in_turn(spark, periods(spark, sf_dir, ["2024-01-08", "2024-01-15", "2024-01-22"])))
 
 
 # Every event arrives again at the end; it is late unless nothing of its user was
@@ -87,14 +91,9 @@ def admit_events_stream(spark, sf_dir):
     """,
 )
 def late_events_query(spark, sf_dir):
-    path, schema = event_files(spark, sf_dir, ["2024-01-15"])
-    late = narrow(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
-    late.withColumn("event_id", -F.col("event_id") - 1).coalesce(1).write.mode("append").parquet(path)
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
-    admitted = admit_stateful(
-        stream, F.col("user_id"), "ts", watermark="60 days", order=["event_id"], content_hash=F.col("event_type"), windows=DAY
-    )
-    return late_events(answers(spark.read.parquet(drain(admitted, scratch(spark, "admitted")))))
+    again = narrow(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp")).withColumn("event_id", -F.col("event_id") - 1)
+    parts = [*periods(spark, sf_dir, ["2024-01-15"]), again]
+    return late_events(answers(admitted_in_turn(spark, parts, watermark="60 days")))
 
 
 @query("continuous_load", MONTHLY_SQL)

@@ -5,7 +5,10 @@ from __future__ import annotations
 import bz2
 import gzip
 import os
+import struct
+from random import Random
 
+import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -376,6 +379,96 @@ def test_large_compressed_file_comes_in_pieces(spark, folder):
     assert tuple(row) == (200_000, sum(range(200_000)), 60)
 
 
+def packed(codec, data):
+    if codec == "snappy":
+        raw = pa.Codec("snappy").compress(data, asbytes=True)
+        return struct.pack(">II", len(data), len(raw)) + raw
+    return {"gzip": gzip.compress, "bzip2": bz2.compress}[codec](data)
+
+
+@pytest.fixture()
+def small_splits(spark):
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    yield
+    spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+@pytest.mark.parametrize("codec", ["gzip", "bzip2", "snappy"])
+def test_compressed_bytes_are_read_by_many_tasks(spark, folder, small_splits, codec):
+    """Files of many splits come out whole and in order, whatever bytes they hold."""
+    os.makedirs(f"{folder}/in")
+    random = Random(7)
+    expected = []
+    for name in ("one", "two", "three"):
+        rows = [f"{name}{i},{random.getrandbits(400):x}" for i in range(4_000)]
+        expected += rows
+        with open(f"{folder}/in/{name}", "wb") as file:
+            file.write(packed(codec, "\n".join(rows[:1500]).encode() + b"\n") + packed(codec, "\n".join(rows[1500:]).encode()))
+    df = scan(spark, f"{folder}/in", "delimited", delimiter=",", schema="id:string,hex:string", codec=codec)
+    assert sorted(f"{r.id},{r.hex}" for r in df.collect()) == sorted(expected)
+    plan = df._jdf.queryExecution().toString()
+    assert "binaryFile" not in plan and "Format: Text" in plan
+    assert len(df.inputFiles()) == 3
+
+
+@pytest.mark.parametrize("last", [b"\n", b"\r"])
+def test_compressed_files_may_end_in_a_line_feed(spark, folder, last):
+    os.makedirs(f"{folder}/in")
+    packs = (bz2.compress(b"a,%d\n" % i) for i in range(5_000))
+    with open(f"{folder}/in/part", "wb") as file:
+        file.write(next(data for data in packs if data.endswith(last)))
+    df = scan(spark, f"{folder}/in", "delimited", delimiter=",", schema="a:string,n:int", codec="bzip2")
+    assert [r.a for r in df.collect()] == ["a"]
+
+
+def test_zeros_behind_gzip_members(spark, folder):
+    os.makedirs(f"{folder}/in")
+    with open(f"{folder}/in/part", "wb") as file:
+        file.write(gzip.compress(b"a,1\n") + gzip.compress(b"b,2\n") + b"\0" * 600)
+    df = scan(spark, f"{folder}/in", "delimited", delimiter=",", schema="a:string,n:int", codec="gzip")
+    assert [r.a for r in df.collect()] == ["a", "b"]
+
+
+def test_empty_compressed_files(spark, folder):
+    os.makedirs(f"{folder}/in")
+    for name, data in [("none", b""), ("nothing", gzip.compress(b"")), ("blank", gzip.compress(b"\n\r\n"))]:
+        with open(f"{folder}/in/{name}", "wb") as file:
+            file.write(data)
+    for header in (True, False):
+        df = scan(spark, f"{folder}/in", "delimited", delimiter=",", has_header=header, schema="a:int", codec="gzip")
+        assert df.collect() == []
+
+
+def test_header_of_each_compressed_file(spark, folder):
+    """Blank lines before a header, columns in other orders, columns that a file lacks, types that differ."""
+    os.makedirs(f"{folder}/in/below")
+    files = {
+        "a": "\n  \nid,name,n\n1,one,7\n2,,8\n",
+        "b": "name,id,n\nthree,3,x\n",
+        "c": "id,extra\n4,2024-01-01\n",
+        "d": "only,header\n",
+        "below/a": "id,name,n\n5,five,9\n",
+    }
+    for name, text in files.items():
+        with open(f"{folder}/in/{name}", "wb") as file:
+            file.write(gzip.compress(text.encode()))
+    paths = [f"{folder}/in", f"{folder}/in/below/", f"{folder}/in"]
+    df = scan(spark, paths, "delimited", delimiter=",", has_header=True, codec="gzip", recursive=True)
+    assert dict(df.dtypes) == {
+        "id": "int", "name": "string", "n": "string", "extra": "date", "only": "string", "header": "string"
+    }
+    assert sorted((r.id, r.name, r.n, str(r.extra), r.only) for r in df.collect()) == [
+        (1, "one", "7", "None", None),
+        (2, None, "8", "None", None),
+        (3, "three", "x", "None", None),
+        (4, None, None, "2024-01-01", None),
+        (5, "five", "9", "None", None),
+    ]
+    plain = scan(spark, f"{folder}/in/below", "delimited", delimiter=",", has_header=True, codec="gzip")
+    assert plain.dtypes == [("id", "int"), ("name", "string"), ("n", "int")]
+
+
 def test_truncated_data_is_an_error(spark, folder):
     os.makedirs(f"{folder}/in")
     with open(f"{folder}/in/part", "wb") as file:

@@ -60,10 +60,11 @@ RIDGE = 0.02
 # A task remembers what it found for so many words.
 MEMORY = 300_000
 
-def _letters_and_marks() -> str:
-    r"""The members of ``[\p{L}\p{M}]`` as ranges of a Python character class."""
+
+def _letters_and_marks(until: int) -> str:
+    r"""The members of ``[\p{L}\p{M}]`` up to a code point as ranges of a Python character class."""
     ranges: list[list[int]] = []
-    for code in range(sys.maxunicode + 1):
+    for code in range(until + 1):
         if unicodedata.category(chr(code))[0] in "LM":
             if ranges and ranges[-1][1] == code - 1:
                 ranges[-1][1] = code
@@ -72,12 +73,21 @@ def _letters_and_marks() -> str:
     return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in ranges)
 
 
-_LETTER = _letters_and_marks()
-LETTERS = re.compile(f"[{_LETTER}]+")
+class Patterns:
+    """Words of texts without characters above a code point; the fewer ranges, the faster a space is told from a letter."""
+
+    def __init__(self, until: int):
+        letter = _letters_and_marks(until)
+        self.letters = re.compile(f"[{letter}]+")
+        # Signs that stand in for letters, and words that hold such.
+        self.inside = re.compile(f"[0-9@$*](?=[{letter}])")
+        self.mixed = re.compile(f"(?<![{letter}])[{letter}]++(?:[0-9@$*]++[{letter}]++)++")
+
+
+ASCII, BASIC, ANY = Patterns(0x7F), Patterns(0xFFFF), Patterns(sys.maxunicode)
+LETTERS = ANY.letters
+BEYOND_BASIC = re.compile("[\U00010000-\U0010ffff]")
 JAVA_LETTERS = r"[\p{L}\p{M}]+"
-# Signs that stand in for letters, and words that hold such.
-INSIDE = re.compile(f"[0-9@$*](?=[{_LETTER}])")
-MIXED = re.compile(f"(?<![{_LETTER}])[{_LETTER}]++(?:[0-9@$*]++[{_LETTER}]++)++")
 QUOTES = re.compile(r"[\"“”„«»‹›]")
 
 
@@ -195,15 +205,16 @@ def quoted(text: str, marks: list[int], spans: list[tuple[int, int]], start: int
 def hits(text: str, memory: Memory) -> tuple[int, int, int, int]:
     """Abusive exact hits, abusive misspelled hits, quoted hits, most abuse in one window."""
     lowered = text.lower()
-    words = LETTERS.findall(lowered)
+    patterns = ASCII if lowered.isascii() else ANY if BEYOND_BASIC.search(lowered) else BASIC
+    words = patterns.letters.findall(lowered)
     found = list(map(memory.__getitem__, words))
-    mixed = [m.span() for m in MIXED.finditer(lowered) if memory[m.group()]] if INSIDE.search(lowered) else []
+    mixed = [m.span() for m in patterns.mixed.finditer(lowered) if memory[m.group()]] if patterns.inside.search(lowered) else []
     if not any(found) and not mixed:
         return 0, 0, 0, 0
     exact = near = cited = 0
     places: list[int] = []
     quotes = [m.start() for m in QUOTES.finditer(lowered)]
-    spans = [m.span() for m in LETTERS.finditer(lowered)] if quotes or mixed else None
+    spans = [m.span() for m in patterns.letters.finditer(lowered)] if quotes or mixed else None
     seen = [(at, found[at], spans[at] if quotes else None) for at in np.flatnonzero(np.array(found)).tolist()]
     for start, end in mixed:
         first, last = bisect_left(spans, (start,)), bisect_left(spans, (end,))

@@ -281,6 +281,17 @@ def test_quotations_are_measured_in_words():
     assert toxicity.hits('"you\nidiot"', memory)[:3] == (1, 0, 0) == toxicity.hits('"\n" idiot', memory)[:3]
 
 
+def test_toxicity_patterns_agree():
+    """Each set of patterns finds the same words in the texts that it is for."""
+    texts = ["id1ot x_y 12² a@b$c*d", "क्षमा é1é ß_İ ʼn", "\U00010400\U00010401 1 \U0001f600a0b", ""]
+    for text in texts:
+        for patterns in (toxicity.ASCII, toxicity.BASIC):
+            if text.isascii() or (patterns is toxicity.BASIC and not toxicity.BEYOND_BASIC.search(text)):
+                for name in ("letters", "inside", "mixed"):
+                    mine, full = getattr(patterns, name), getattr(toxicity.ANY, name)
+                    assert [m.span() for m in mine.finditer(text.lower())] == [m.span() for m in full.finditer(text.lower())]
+
+
 def test_signs_in_words_and_combining_marks():
     memory = toxicity.Memory(["idiot", "moron", "worthless", "मूर्ख", "cafe\u0301"])
     for text in ("you id1ot", "a m0ron.", "w0rthl3ss", "wor*hless", "mor@n"):

@@ -3,7 +3,15 @@
 Same decisions as the batch operator. Within a micro-batch a key's events are
 sorted by time; an event older than the last accepted one of its key is ``late``.
 A key is forgotten once the watermark passes the expiry of its last task, which
-is later than any look-back.
+is later than any look-back. An event behind the watermark whose key is not known
+(any more) is ``late`` as well, without task times: what was accepted around it
+cannot be told. Every event gets an answer; those without a time are ``undated``.
+
+Spark drops rows behind the watermark of the column that carries it before they
+reach the state. Events therefore carry their arrival time, which is behind no
+watermark, and a branch of the stream that yields no rows (the clock) follows the
+event times. The query's watermark is the lesser of both, that is the clock's; this
+is Spark's default policy for several watermarks (``multipleWatermarkPolicy=min``).
 
 A micro-batch's events of one key meet in one task, so bound the batch
 (``maxFilesPerTrigger``). Where a single key floods the stream, use the batch
@@ -20,13 +28,27 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..constants import ACCEPTED, LATE
+from ..constants import ACCEPTED, LATE, UNDATED
 from ..operators.admission import Task, Windows, accept, decide, output_schema, prepare, task_times
 
 _STATE = "created bigint, scheduled bigint, until bigint, expire bigint, uid string, digest string"
+_NEVER = -(2**63)
+_ANSWER = ("status", "_created", "_scheduled", "_cooldown_until", "_expire_at")
+_NOTHING = (None,) * 4
 _ROW = ("_at", "_uid", "_digest", "_force", "_double_tap", "_cooldown", "_ttl", "_delay")
 
 
+def _clocked(stream: DataFrame, events: DataFrame, at: str, watermark: str) -> DataFrame:
+    """The stream with a watermark that follows ``at`` but is behind none of its rows."""
+    rows = stream.withColumn("_clock", F.current_timestamp()).withWatermark("_clock", "0 seconds")
+    clock = events.select(
+        *(F.lit(None).cast(f.dataType).alias(f.name) for f in stream.schema.fields),
+        F.col(at).cast("timestamp").alias("_clock"),
+    ).withWatermark("_clock", watermark)
+    # No event lies that far back; a plain ``false`` would remove the branch from the plan.
+    return rows.union(clock.filter(F.unix_micros("_clock") == F.lit(_NEVER)))
+
+
 def admit_stateful(
     events: DataFrame,
     key: Column,
@@ -39,11 +61,14 @@ def admit_stateful(
     force: Column | None = None,
     windows: Windows | dict[str, Column] | None = None,
 ) -> DataFrame:
-    """Append ``status`` and task times to a stream; ``at`` is its timestamp column."""
+    """Append ``status`` and task times to a stream; ``at`` is its timestamp column.
+
+    The stream must not have a watermark of its own yet.
+    """
     order = list(order)
     # pandas would turn nullable longs into floats.
     longs = [f.name for f in events.schema.fields if isinstance(f.dataType, T.LongType)]
-    stream = prepare(events.withWatermark(at, watermark), key, F.col(at), uid, content_hash, force, windows)
+    stream = prepare(events, key, F.col(at), uid, content_hash, force, windows)
     ties = [f"_tie{i}" for i in range(len(order))]
     stream = stream.drop("_sched", "_until", "_expire", "_seed")
     stream = stream.withColumns({tie: F.col(name) for tie, name in zip(ties, order)})
@@ -52,6 +77,7 @@ def admit_stateful(
         [T.StructField(f.name, T.StringType() if f.name in longs else f.dataType, True) for f in events.schema.fields]
     )
     names = events.columns
+    stream = _clocked(stream, events, at, watermark)
 
     def step(_: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -59,18 +85,28 @@ def admit_stateful(
             return
         rows = pd.concat(list(frames), ignore_index=True)
         rows = rows.sort_values(["_at", *ties], kind="stable", ignore_index=True)
+        clock = state.getCurrentWatermarkMs()
         last = Task(*state.get) if state.exists else None
         answers = []
         for when, u, d, f, dt, cd, ttl, delay in zip(*(rows[name].tolist() for name in _ROW)):
+            if pd.isna(when):
+                answers.append((UNDATED, *_NOTHING))
+                continue
+            # Without undated rows these are whole already; floats hold micros exactly.
+            when = int(when)
+            if last is None and when < clock * 1000:
+                answers.append((LATE, *_NOTHING))
+                continue
             status = decide(last, when, u, d, f, dt, cd)
             if status == ACCEPTED:
                 last = accept(when, u, d, f, dt, cd, ttl, delay)
             answers.append((status, *last[:4]))
-        state.update(tuple(last))
-        state.setTimeoutTimestamp(max(last.expire // 1000, state.getCurrentWatermarkMs() + 1))
-        out = rows[names].copy()
-        out[["status", "_created", "_scheduled", "_cooldown_until", "_expire_at"]] = answers
-        yield out
+        if last is not None:
+            state.update(tuple(last))
+            state.setTimeoutTimestamp(max(last.expire // 1000, clock + 1))
+        # As objects: empty times would turn the others into floats.
+        given = pd.DataFrame(answers, columns=_ANSWER, dtype=object)
+        yield pd.concat([rows[names], given], axis=1)
 
     folded = stream.groupBy("_key").applyInPandasWithState(
         step, output_schema(texts), _STATE, "append", GroupStateTimeout.EventTimeTimeout

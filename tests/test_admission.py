@@ -287,3 +287,41 @@ def test_stream_equals_batch(spark, folder, batches):
     )
     query.awaitTermination()
     assert collected(spark.read.parquet(f"{folder}/out")) == walk(rows, w)
+
+
+def admitted_files(spark, folder, files):
+    """The stream's answers, drained after each file with the default watermark."""
+    for rows in files:
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(SCHEMA).parquet(f"{folder}/in")
+        admitted = admit_stateful(
+            stream, F.col("key"), "ts", order=["id"], uid=F.col("uid"), content_hash=F.col("digest"), force=F.col("force"),
+            windows=CASES[0][0],
+        )
+        admitted.writeStream.format("parquet").option("path", f"{folder}/out").option(
+            "checkpointLocation", f"{folder}/checkpoint"
+        ).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{folder}/out")
+
+
+def test_stream_answers_events_behind_its_watermark(spark, folder):
+    """Five events in three files, two of them a day late: of a known key, and of one that nothing is known of."""
+    day = timedelta(days=1)
+    files = [
+        [(1, "a", BASE, "u1", "x", False)],
+        [(2, "a", BASE + 3 * day, "u2", "x", False), (3, "b", BASE + 3 * day, "u3", "x", False)],
+        [(4, "a", BASE + 2 * day, "u4", "x", False), (5, "c", BASE + 2 * day, "u5", "x", False)],
+    ]
+    out = {r.id: r for r in admitted_files(spark, folder, files).collect()}
+    assert {i: r.status for i, r in out.items()} == {1: "accepted", 2: "accepted", 3: "accepted", 4: "late", 5: "late"}
+    assert out[5].created_at is None and out[5].expire_at is None
+
+
+def test_stream_sets_undated_events_aside(spark, folder):
+    files = [
+        [(1, "a", None, "u1", "x", False), (2, "a", BASE, "u2", "x", False)],
+        [(3, "a", None, "u3", "x", False), (4, "b", None, None, None, None)],
+    ]
+    out = {r.id: r for r in admitted_files(spark, folder, files).collect()}
+    assert {i: r.status for i, r in out.items()} == {1: "undated", 2: "accepted", 3: "undated", 4: "undated"}
+    assert out[1].created_at is None and out[2].created_at is not None

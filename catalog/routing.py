@@ -92,22 +92,41 @@ def route_events_many_rules(spark, sf_dir):
     return pairs.select("event_id", F.col("rule.name").alias("job"))
 
 
+LOOSE_RULES_SQL = f"SELECT job, source_bucket, substr(source_prefix, 2) AS source_prefix FROM ({USER_RULES_SQL})"
+
+
+@query(
+    "route_events_without_folder",
+    f"""
+    SELECT e.event_id, r.job FROM ({USER_OBJECTS_SQL}) e JOIN ({LOOSE_RULES_SQL}) r
+      ON e.bucket = r.source_bucket AND contains(e.name, split_part(r.source_prefix, '\\', 1))
+     AND regexp_matches(e.name, r.source_prefix)
+    """,
+)
+def route_events_without_folder(spark, sf_dir):
+    """The same registry with patterns that may match anywhere in a name."""
+    loose = user_rules(spark, sf_dir).withColumn("source_prefix", F.expr("substr(source_prefix, 2)"))
+    pairs = match_pairs(user_objects(spark, sf_dir), loose)
+    return pairs.select("event_id", F.col("rule.name").alias("job"))
+
+
 @query(
     "route_events_with_manifest",
     f"""
-    SELECT o_orderkey, job FROM ({PAIRS_SQL}) WHERE auto_trigger AND mode <> 'folder'
-    UNION ALL
-    SELECT f.o_orderkey, 'folder' AS job
-    FROM (SELECT o_orderkey, bucket, regexp_replace(name, 'part-.*', '') AS folder FROM ({OBJECTS_SQL})) f
-    WHERE f.bucket = 'b2' AND EXISTS (
-      SELECT 1 FROM ({OBJECTS_SQL}) m
-      WHERE m.bucket = 'b2' AND m.name NOT LIKE '%part-3.csv' AND regexp_replace(m.name, 'part-.*', '') = f.folder)
+    WITH o AS ({OBJECTS_SQL}),
+    e AS (SELECT * FROM o UNION ALL SELECT o_orderkey, bucket, regexp_replace(name, 'part-.*', '') AS name FROM o),
+    folders AS (
+      SELECT DISTINCT bucket, regexp_replace(name, 'part-.*', '') AS name FROM o
+      WHERE bucket <> 'b2' OR name NOT LIKE '%part-3.csv')
+    SELECT e.o_orderkey, r.job FROM e JOIN {RULES_SQL.replace('AS rules(', 'AS r(')}
+      ON e.bucket = r.source_bucket AND regexp_matches(e.name, r.source_prefix)
+    WHERE r.auto_trigger AND (r.mode <> 'folder' OR (e.bucket, e.name) IN (SELECT bucket, name FROM folders))
     """,
 )
 def route_events_with_manifest(spark, sf_dir):
-    """File events of all objects, and folder events of which only some exist."""
+    """File events of all objects and folder events of all buckets; some folders do not exist."""
     found = objects(spark, sf_dir)
-    folders = found.withColumn("name", F.regexp_replace("name", "part-.*", "")).filter("bucket = 'b2'")
+    folders = found.withColumn("name", F.regexp_replace("name", "part-.*", ""))
     manifest = found.filter((F.col("bucket") != "b2") | ~F.col("name").like("%part-3.csv"))
     return route_events(found.unionByName(folders), rules(spark), manifest).select("o_orderkey", "job")
 

@@ -7,7 +7,10 @@ stays one row with an array of its rules.
 Larger registries are joined. Joining on the bucket alone would try every rule
 of a bucket on every one of its events, so each rule also gets an *anchor*: the
 literal folder its pattern starts with. Events look up the folders above their
-name, and the regex runs only on those candidates.
+name, and the regex runs only on those candidates. A rule that starts with no
+literal folder is looked up by four literal characters that its matches hold
+somewhere, those that the fewest rules of the bucket have (``factors``). Only rules
+without such characters meet every event of their bucket.
 """
 
 from __future__ import annotations
@@ -20,12 +23,16 @@ from pyspark.sql import functions as F
 from ..functions.paths import ancestor_folders, has_wildcards
 from ..options import translated_regex
 from .classify import classify_paths
+from .factors import grams, rarest_grams
 
 # A registry up to this many rules is written into the plan.
 INLINE_RULES = 64
 # A registry up to this many rules may be broadcast (a few hundred bytes each).
 BROADCAST_RULES = 100_000
 
+# Marks keys that are literal characters; no folder starts with it.
+_GRAM_KEY = "*"
+
 _MATCH = "struct<ordinal:bigint,name:string,mode:string,auto_trigger:boolean>"
 
 # ``^`` and whole literal segments, each followed by a plain slash.
@@ -92,6 +99,43 @@ def _inline_hits(events: DataFrame, listed: list[Row], bucket: str, name: str) -
     return events.withColumn("_hits", F.coalesce(hits, F.array().cast("array<int>"))), entries
 
 
+def _keyed_rules(rules: DataFrame) -> tuple[DataFrame, bool]:
+    """Rules by bucket and key, and whether some key is literal characters."""
+    anchored = rules.withColumn("_rule_anchor", rule_anchor(F.col("source_prefix")))
+    loose = anchored.filter(F.col("_rule_anchor") == "")
+    rare = rarest_grams(loose, "source_prefix", "source_bucket").select(
+        F.col("source_bucket").alias("_gram_bucket"),
+        F.col("source_prefix").alias("_gram_prefix"),
+        F.concat(F.lit(_GRAM_KEY), "gram").alias("_gram"),
+    )
+    by_grams = not rare.isEmpty()
+    if by_grams:
+        same = (F.col("source_bucket") == F.col("_gram_bucket")) & (F.col("source_prefix") == F.col("_gram_prefix"))
+        found = F.when(F.col("_rule_anchor") == "", F.col("_gram"))
+        anchored = anchored.join(rare, same, "left").withColumn("_rule_anchor", F.coalesce(found, "_rule_anchor"))
+    keyed = anchored.select(
+        F.col("source_bucket").alias("_bucket"),
+        "_rule_anchor",
+        _java_pattern(F.col("source_prefix")).alias("_pattern"),
+        F.struct(
+            F.col("ordinal").cast("bigint").alias("ordinal"),
+            "name",
+            "mode",
+            F.coalesce("auto_trigger", F.lit(True)).alias("auto_trigger"),
+        ).alias("rule"),
+    )
+    return keyed, by_grams
+
+
+def _lookup_keys(text: Column, by_grams: bool) -> Column:
+    """What an event is looked up by: no key, the folders above it, its runs of characters."""
+    folders = F.transform(ancestor_folders(text), lambda folder: F.concat(folder, F.lit("/")))
+    keys = F.concat(F.array(F.lit("")), folders)
+    if not by_grams:
+        return keys
+    return F.concat(keys, F.transform(grams(text), lambda gram: F.concat(F.lit(_GRAM_KEY), gram)))
+
+
 def match_pairs(
     events: DataFrame,
     rules: DataFrame,
@@ -110,22 +154,8 @@ def match_pairs(
         return hit.filter(F.col("_hit").isNotNull()).select(*events.columns, F.get(entries, F.col("_hit")).alias("rule"))
 
     text = F.coalesce(F.col(name), F.lit(""))
-    folders = F.concat(
-        F.array(F.lit("")),
-        F.transform(ancestor_folders(text), lambda folder: F.concat(folder, F.lit("/"))),
-    )
-    keyed = events.select("*", F.explode(folders).alias("_anchor"))
-    patterns = rules.select(
-        F.col("source_bucket").alias("_bucket"),
-        rule_anchor(F.col("source_prefix")).alias("_rule_anchor"),
-        _java_pattern(F.col("source_prefix")).alias("_pattern"),
-        F.struct(
-            F.col("ordinal").cast("bigint").alias("ordinal"),
-            "name",
-            "mode",
-            F.coalesce("auto_trigger", F.lit(True)).alias("auto_trigger"),
-        ).alias("rule"),
-    )
+    patterns, by_grams = _keyed_rules(rules)
+    keyed = events.select("*", F.explode(_lookup_keys(text, by_grams)).alias("_anchor"))
     same = (F.col(bucket) == F.col("_bucket")) & (F.col("_anchor") == F.col("_rule_anchor"))
     # A file or marker rule needs a name to look at.
     found = F.rlike(text, F.col("_pattern")) & ((F.col("rule.mode") == "folder") | (text != ""))

@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from dockline.operators import routing
 from dockline.operators.classify import classify_paths, resolve_input_path
+from dockline.operators.factors import grams, literal_factors, rarest_grams
 from dockline.operators.routing import (
+    _keyed_rules,
+    _lookup_keys,
     analyze_path,
     match_pairs,
     nameless_events,
@@ -25,6 +28,8 @@ RULES = "ordinal bigint, name string, source_bucket string, source_prefix string
 PATTERNS = [
     r"^a/b/\d+\.csv$", r"^a/b/", r"b/", r"^a/|^c/", r"^a/?b", r"^(a|b)/", r"^a/(?P<x>\d)(?P=x)", r"^c d/e-f/", r"$", r"^$",
     r"^a/b/+x", r"(?i)^A/", r"^a\/b", r"^a/b*/", r"^a/{1,2}b/",
+    # Without a literal folder at the start.
+    r"/c d/\w+\.csv$", r"e-f/1\.csv", r"(c d/)+e-f", r"(?:x/)?c d/e", r"[ab]/c d/", r"(1\.csv|22)$", r"(?P<x>.)/c d/(?P=x)",
 ]
 
 
@@ -38,7 +43,7 @@ def make(spark, n=400):
         events.append((i, f"b{random.randrange(3)}", random.choice([name, name, name, None])))
     rules = [
         (i, f"r{i}", f"b{random.randrange(3)}", p, random.choice(["file", "marker", "folder"]), random.choice([True, False, None]))
-        for i, p in enumerate(PATTERNS * 4)
+        for i, p in enumerate(PATTERNS * 2)
     ]
     return events, rules
 
@@ -109,7 +114,8 @@ def test_physical_forms_differ(spark, form):
     plan = match_pairs(spark.createDataFrame(events, EVENTS), spark.createDataFrame(rules, RULES))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert ("BroadcastHashJoin" in text) == (form == "broadcast")
-    assert ("Exchange hashpartitioning" in text) == (form == "shuffled")
+    # Events; a large registry is grouped by itself in both of the joined forms.
+    assert ("Exchange hashpartitioning(bucket#" in text) == (form == "shuffled")
     assert "NestedLoop" not in text and "Cartesian" not in text
 
 
@@ -193,3 +199,84 @@ def test_resolved_paths(spark):
     manifest = spark.createDataFrame(OBJECTS, "bucket string, name string")
     found = {(r.mode, r.name): (r.input_path, r.error) for r in resolve_input_path(df, manifest).collect()}
     assert found == {(m, n): (path, error) for m, n, path, error in requests}
+
+
+@pytest.mark.parametrize(
+    "pattern, factors",
+    [
+        (r"^[a-z]+/daily_orders/\d{8}\.csv$", ["/daily_orders/", ".csv"]),
+        (r"daily\.csv", ["daily.csv"]),
+        (r"abcd+efgh", ["abcd", "efgh"]),
+        (r"abcd*efgh", ["abc", "efgh"]),
+        (r"abcd{0,2}efgh?", ["abc", "efg"]),
+        (r"ab(c(d)?e)*?f", ["ab", "f"]),
+        (r"ab(cd)ef", ["abcdef"]),
+        (r"ab(cd)?ef", ["ab", "ef"]),
+        (r"ab(cd)+ef", ["ab", "cd", "ef"]),
+        (r"ab((c)d(e)*f)g", ["abcd", "fg"]),
+        (r"ab((cd)e)*f", ["ab", "f"]),
+        (r"(?P<day>\d+)/orders_(?:x|y)", []),
+        (r"(?P<day>\d+)/orders_(?:xy)", ["/orders_xy"]),
+        (r"(?i)orders", []),
+        (r"(?=orders)x", []),
+        (r"or\x41ders", []),
+        (r"\Qa.b\E", []),
+        (r"\p{L}orders", []),
+        (r"ord[^/]ers[]a]x[\]b]y", ["ord", "ers", "x", "y"]),
+        (r"a[b[c]d]e", []),
+        (r"a\(bc\)d\*+e", ["a", "bc", "d", "e"]),
+        (r"a\bcd\$", ["a", "cd"]),
+        (r"", []),
+        (None, []),
+    ],
+)
+def test_literal_factors(spark, pattern, factors):
+    found = spark.createDataFrame([(pattern,)], "p string").select(literal_factors(F.col("p")).alias("x")).head().x
+    assert found == factors
+
+
+def test_matches_hold_every_factor(spark):
+    """Random patterns against random names: a match without a factor would be lost."""
+    random.seed(23)
+    atoms = ["a", "b", "/", r"\.", ".", r"\d", "[ab]", "[^a]", "(ab)", "(a|b)", "(?:b/)", "(a(b)?/)", "1", "^", "$"]
+    tails = ["", "", "", "", "*", "+", "?", "{1,2}", "*?", "+?"]
+    patterns = set()
+    while len(patterns) < 600:
+        pattern = "".join(a + ("" if a in "^$" else random.choice(tails)) for a in random.choices(atoms, k=random.randint(1, 6)))
+        patterns.add(pattern)
+    names = ["".join(random.choices("ab/.1", k=random.randint(0, 9))) for _ in range(1500)]
+    df = spark.createDataFrame([(p,) for p in sorted(patterns)], "p string")
+    kept = 0
+    for row in df.select("p", literal_factors(F.col("p")).alias("factors")).collect():
+        for name in names:
+            if row.factors and re.search(row.p, name):
+                kept += 1
+                assert all(f in name for f in row.factors), (row.p, row.factors, name)
+    assert kept > 10_000
+
+
+def test_many_rules_without_a_folder_meet_few_events(spark):
+    """10,000 rules that start with no literal folder: events meet a handful, not all."""
+    n = 10_000
+    rules = [(i, f"r{i}", "b0", rf"[a-z]+/feed{i:05d}x/\d+\.csv$", "file", True) for i in range(n)]
+    rules.append((n, "any", "b0", r"\d\d\.\w+$", "file", True))
+    events = [(i, "b0", f"in/feed{i * 37 % n:05d}x/{i}.csv") for i in range(500)]
+    df, registry = spark.createDataFrame(events, EVENTS), spark.createDataFrame(rules, RULES)
+    keyed, by_grams = _keyed_rules(registry)
+    assert by_grams
+    looked_up = df.select("id", "bucket", F.explode(_lookup_keys(F.col("name"), True)).alias("_rule_anchor"))
+    candidates = looked_up.join(keyed, (F.col("bucket") == F.col("_bucket")) & (looked_up._rule_anchor == keyed._rule_anchor))
+    # 5 digits and a letter leave four runs of the number's own; ten rules share the rarest.
+    assert candidates.count() <= 500 * 60
+    found = {(r.id, r.rule.name) for r in match_pairs(df, registry).collect()}
+    assert found == {(i, f"r{i * 37 % n}") for i in range(500)} | {(i, "any") for i in range(10, 500)}
+
+
+def test_rarest_run(spark):
+    rows = [("b", "[a-z]alpha_one"), ("b", "[a-z]alpha_two"), ("b", "[a-z]alpha_two"), ("c", "x+y"), (None, "[a-z]beta")]
+    found = {(r.b, r.p): r.gram for r in rarest_grams(spark.createDataFrame(rows, "b string, p string"), "p", "b").collect()}
+    one, two = found["b", "[a-z]alpha_one"], found["b", "[a-z]alpha_two"]
+    assert one in "alpha_one" and one not in "alpha_two" and two in "alpha_two" and two not in "alpha_one"
+    assert ("c", "x+y") not in found
+    runs = spark.createDataFrame([("abcde",), ("aaaaaa",), ("abc",), (None,)], "t string").select(grams(F.col("t")).alias("g"))
+    assert [r.g for r in runs.collect()] == [["abcd", "bcde"], ["aaaa"], [], []]

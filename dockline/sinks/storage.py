@@ -37,6 +37,11 @@ class Folder:
     def remove(self, child: str) -> None:
         self._fs.delete(self._jvm.org.apache.hadoop.fs.Path(self._path, child), True)
 
+    def create(self, name: str) -> None:
+        """Make an empty file that must not be there yet."""
+        if not self._fs.createNewFile(self._jvm.org.apache.hadoop.fs.Path(self._path, name)):
+            raise OSError(f"{name} is there already")
+
     def rename(self, old: str, new: str) -> None:
         path = self._jvm.org.apache.hadoop.fs.Path
         if not self._fs.rename(path(self._path, old), path(self._path, new)):

@@ -3,8 +3,9 @@
 All writes go through one dynamic partition overwrite. Its files are staged below
 the target and take the place of the old partitions only when the whole job has
 succeeded, so a load that fails (say, on a path without a date) leaves the table
-as it was. Each write is a single pass: row count and partition names come from
-metrics of the write itself.
+as it was. A full overwrite writes a version of the table that becomes current in one
+step (``versions``), so read tables by ``read_table``. Each write is a single pass: row
+count and partition names come from metrics of the write itself.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from ..constants import PART_ID
 from ..functions.partitions import check_column_type, check_granularity, partition_name
 from .schema import conformed, merge_schemas, relaxed, store_schema, stored_schema
 from .storage import Folder
+from .versions import data_folder, new_version, publish, sweep, version_folder
 
 
 # A load may bring each row's partition name along in this column, where it was
@@ -58,9 +60,12 @@ class MissingTable(ValueError):
 
 
 def overwrite_table(df: DataFrame, table: TableSpec) -> WriteResult:
-    """Replace the whole table."""
-    result = _write(df, table)
-    _drop_partitions(df.sparkSession, table, keep=result.partitions)
+    """Replace the whole table; readers see either the old one or the new one."""
+    spark = df.sparkSession
+    version = new_version(spark, table.path)
+    result = _write(df, table, target=version_folder(table.path, version))
+    publish(spark, table.path, version)
+    sweep(spark, table.path)
     return result
 
 
@@ -83,22 +88,27 @@ def overwrite_partition(df: DataFrame, table: TableSpec, value: date | datetime
     marked = df.withColumn(table.partition_column, moment.cast(table.column_type))
     result = _write(marked, table, part_id=F.lit(name))
     if result.row_count == 0:
-        folder = Folder(spark, table.path)
+        folder = Folder(spark, data_folder(spark, table.path))
         child = f"{PART_ID}={name}"
         if child in folder.children():
             folder.remove(child)
     return WriteResult(result.row_count, [name])
 
 
-def _write(df: DataFrame, table: TableSpec, part_id: Column | None = None) -> WriteResult:
+def _write(
+    df: DataFrame, table: TableSpec, part_id: Column | None = None, target: str | None = None
+) -> WriteResult:
+    """Replace partitions in the folder that holds the table, or fill the one given."""
     spark = df.sparkSession
+    home = data_folder(spark, table.path)
+    target = target or home
     if PART_ID in (c.lower() for c in df.columns):
         raise ValueError(f"the input has a column named {PART_ID}")
     if part_id is None:
         brought = KNOWN_PART_ID in df.columns
         part_id = F.col(KNOWN_PART_ID) if brought else partition_name(F.col(table.partition_column), table.granularity)
     load = T.StructType([f for f in df.schema.fields if f.name != KNOWN_PART_ID])
-    known = stored_schema(spark, table.path)
+    known = stored_schema(spark, home)
     if known is None and not table.create and not Folder(spark, table.path).exists():
         raise MissingTable(f"table {table.path} does not exist")
     schema = merge_schemas(known, load) if known is not None else relaxed(load)
@@ -109,9 +119,9 @@ def _write(df: DataFrame, table: TableSpec, part_id: Column | None = None) -> Wr
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART_ID)
     if table.max_records_per_file:
         writer = writer.option("maxRecordsPerFile", table.max_records_per_file)
-    writer.parquet(table.path)
-    if schema != known:
-        store_schema(spark, table.path, schema)
+    writer.parquet(target)
+    if schema != known or target != home:
+        store_schema(spark, target, schema)
     seen = metrics.get
     return WriteResult(seen["rows"], sorted(seen["partitions"]))
 
@@ -134,14 +144,6 @@ def _distribute(df: DataFrame, table: TableSpec) -> DataFrame:
     return ranged.drop("_spread").sortWithinPartitions(*keys)
 
 
-def _drop_partitions(spark: SparkSession, table: TableSpec, keep: list[str]) -> None:
-    folder = Folder(spark, table.path)
-    kept = {f"{PART_ID}={name}" for name in keep}
-    for child in folder.children():
-        if child.startswith(f"{PART_ID}=") and child not in kept:
-            folder.remove(child)
-
-
 def read_table(
     spark: SparkSession,
     path: str,
@@ -153,14 +155,15 @@ def read_table(
     ``between`` bounds the partition names (both ends included) and skips all
     other folders. Names of one granularity sort like their times.
     """
-    schema = stored_schema(spark, path)
+    home = data_folder(spark, path)
+    schema = stored_schema(spark, home)
     if schema is None:
         raise MissingTable(f"table {path} does not exist")
     full = T.StructType([*schema.fields, T.StructField(PART_ID, T.StringType())])
-    if not any(name.startswith(f"{PART_ID}=") for name in Folder(spark, path).children()):
+    if not any(name.startswith(f"{PART_ID}=") for name in Folder(spark, home).children()):
         df = spark.createDataFrame([], full)
     else:
-        df = spark.read.schema(full).parquet(path)
+        df = spark.read.schema(full).parquet(home)
     if between is not None:
         df = df.filter(F.col(PART_ID).between(*between))
     return df if with_part_id else df.drop(PART_ID)

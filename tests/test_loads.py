@@ -24,6 +24,7 @@ from dockline.sinks.table import (
     overwrite_table,
     read_table,
 )
+from dockline.sinks.versions import data_folder
 from dockline.sources import manifest as manifests
 from dockline.sources.manifest import expand_folders, expand_paths, expand_wildcard, object_manifest
 from dockline.sources.scan import normalize_timestamps, scan
@@ -299,7 +300,8 @@ def test_hot_partition_is_split(spark, folder):
         overwrite_table(df, TableSpec(path=f"{folder}/t", partition_column="d"))
     finally:
         spark.conf.set(small, before)
-    files = [f for f in os.listdir(f"{folder}/t/part_id=20240101") if f.endswith(".parquet")]
+    stored = f"{data_folder(spark, f'{folder}/t')}/part_id=20240101"
+    files = [f for f in os.listdir(stored) if f.endswith(".parquet")]
     assert len(files) > 1
     assert read_table(spark, f"{folder}/t").count() == 400_000
 
@@ -505,3 +507,60 @@ def test_naive_timestamps_become_instants(spark):
     df = normalize_timestamps(spark.sql("SELECT TIMESTAMP_NTZ'2024-01-01 05:00:00' AS t, 1 AS n"))
     assert df.select(F.col("t").cast("string"), "n").head()[0] == "2024-01-01 05:00:00"
     assert df.schema["t"].dataType.simpleString() == "timestamp"
+
+
+def dated(spark, rows):
+    return spark.createDataFrame(rows, "a bigint, date string").withColumn("date", F.col("date").cast("timestamp"))
+
+
+OLD, NEW = [(1, "2024-01-01"), (2, "2024-01-02"), (3, "2024-01-03")], [(7, "2024-01-02"), (8, "2024-01-05")]
+
+
+def stored_in(path):
+    """Version folders, and partitions that are in none."""
+    return sorted(x for f in (path, f"{path}/_versions") for x in os.listdir(f) if not x.startswith((".", "_")))
+
+
+@pytest.mark.parametrize("first", [overwrite_table, overwrite_partition_range])
+@pytest.mark.parametrize("step, after", [("publish", "old"), ("sweep", "new")])
+def test_full_overwrite_is_one_step(spark, folder, monkeypatch, first, step, after):
+    """A run that ends anywhere shows the old table or the new one, and the next run clears up."""
+    from dockline.sinks import table as sink
+
+    table = TableSpec(f"{folder}/t")
+    first(dated(spark, OLD), table)
+    rows = lambda: sorted(r.a for r in read_table(spark, table.path).collect())
+
+    def ended(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patched, pytest.raises(KeyboardInterrupt):
+        patched.setattr(sink, step, ended)
+        overwrite_table(dated(spark, NEW).withColumn("more", F.lit("x")), table)
+    assert rows() == ([1, 2, 3] if after == "old" else [7, 8])
+    assert ("more" in read_table(spark, table.path).columns) == (after == "new")
+    overwrite_table(dated(spark, NEW), table)
+    assert rows() == [7, 8] and len(stored_in(table.path)) == 1
+    assert len([x for x in os.listdir(f"{table.path}/_current") if not x.startswith(".")]) == 1
+
+
+def test_partitions_are_replaced_in_the_current_version(spark, folder):
+    table = TableSpec(f"{folder}/t")
+    overwrite_partition_range(dated(spark, OLD), table)
+    overwrite_table(dated(spark, NEW), table)
+    overwrite_partition_range(dated(spark, [(9, "2024-01-05"), (10, "2024-01-06")]).withColumn("b", F.lit(1)), table)
+    assert contents(spark, table.path) == {"20240102": 1, "20240105": 1, "20240106": 1}
+    overwrite_partition(dated(spark, []), table, "2024-01-02")
+    assert {tuple(r) for r in read_table(spark, table.path).select("a", "b").collect()} == {(9, 1), (10, 1)}
+    overwrite_table(dated(spark, []), table)
+    empty = read_table(spark, table.path)
+    assert empty.count() == 0 and empty.columns == ["a", "date", "b"] and len(stored_in(table.path)) == 1
+
+
+def test_a_lost_version_is_not_published(spark, folder):
+    from dockline.sinks.versions import publish
+
+    overwrite_table(dated(spark, OLD), TableSpec(f"{folder}/t"))
+    with pytest.raises(OSError, match="is gone"):
+        publish(spark, f"{folder}/t", "version-00000002-x")
+    assert read_table(spark, f"{folder}/t").count() == 3

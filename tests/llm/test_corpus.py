@@ -592,6 +592,28 @@ GENUINE = {
     "CC0-1.0": "Released under CC0 1.0.",
     "Unlicense": "This is free and unencumbered software released into the public\ndomain.",
     "All rights reserved": "All rights\nreserved.",
+    "EPL-2.0 notice": "This program and the accompanying materials are made\navailable under the terms of the Eclipse Public License "
+    "2.0\nwhich is available at https://www.eclipse.org/legal/epl-2.0/.",
+    "Apache-2.0 text": "Apache License\n    Version 2.0, January 2004\n http://www.apache.org/licenses/.",
+    "MIT reference to file": "Licensed under the MIT License (see LICENSE).",
+    **{f"{x} tag": f"SPDX-License-Identifier: {x}" for x in licences.TAGGED},
+}
+VERBATIM = (
+    "\n\nCopyright (C) 2007 Free Software Foundation, Inc. <https://fsf.org/>\nEveryone is permitted to copy and distribute "
+    "verbatim copies\nof this license document, but changing it is not allowed."
+)
+GENUINE |= {
+    "BSD-3-Clause": GENUINE["BSD-2-Clause"] + "\n\n3. Neither the name of the copyright holder nor the names of its\n   contributors "
+    "may be used to endorse or promote products derived from\n   this software without specific prior written permission.",
+    "AGPL-3.0-or-later": GENUINE["GPL-3.0-or-later"].replace("GNU General", "GNU Affero General"),
+    "LGPL-2.1-or-later": GENUINE["GPL-3.0-or-later"].replace("program", "library").replace("GNU General", "GNU Lesser General").replace(
+        "version 3", "version 2.1"
+    ),
+    "GPL-3.0 text": "GNU GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007" + VERBATIM,
+    "GPL-2.0 text": "GNU GENERAL PUBLIC LICENSE\n   Version 2, June 1991" + VERBATIM,
+    "AGPL-3.0 text": "GNU AFFERO GENERAL PUBLIC LICENSE\n   Version 3, 19 November 2007" + VERBATIM,
+    "LGPL-3.0 text": "GNU LESSER GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007" + VERBATIM,
+    "LGPL-2.1 text": "GNU LESSER GENERAL PUBLIC LICENSE\n   Version 2.1, February 1999" + VERBATIM,
 }
 
 
@@ -604,16 +626,29 @@ def test_every_licence_is_found_in_its_genuine_text(spark):
             commented = lambda t: "\n".join(f"{prefix}{x}".rstrip(" ") for x in t.split("\n"))
             rows.append((licence, commented(text)))
             rows.append((licence, commented(f"Copyright Some One\n{text}\n\nmore words").replace("\n", "\r\n")))
-        rows.append((licence, f"words before\n\n{' '.join(text.split())} words after"[: None if text.endswith(".") else -12]))
+        # A title ends with its line, so it takes the line break.
+        joined = " ".join(text.split()) if VERBATIM not in text else text
+        rows.append((licence, f"words before\n\n{joined} words after"[: None if text.endswith(".") else -12]))
     rows.append((None, "This program is free.\nsoftware: you can redistribute it.\nNot licensed under the MIT license\nAll rights. reserved."))
     # A stop is no part of a known sentence that has none there.
     rows.append(("Apache-2.0 notice", "Licensed under the Apache License, Version 2.0.\n\nThe License\n\nfollows."))
+    rows.append(("CC-BY-4.0", "Licensed under CC BY 4.0 International."))
     docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id bigint, text string")
     out = {r["doc_id"]: r["licences"] for r in rows_of(licences.scan(docs))}
     wrong = [(rows[i], found) for i, found in sorted(out.items()) if found != [x for x in rows[i][:1] if x]]
     assert not wrong and len(out) == len(rows)
 
 
+def test_a_licence_that_begins_another_one(spark):
+    """Two clauses count where a text has them without the third, also beside one that has it."""
+    two, three = GENUINE["BSD-2-Clause"], GENUINE["BSD-3-Clause"]
+    texts = [two, three, f"{three}\n\nand\n\n{two}", f"{two}\n\nand\n\n{three}", "SPDX-License-Identifier: MIT OR Apache-2.0"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    out = {r["doc_id"]: r["licences"] for r in rows_of(licences.scan(docs))}
+    assert out[0] == ["BSD-2-Clause"] and out[1] == ["BSD-3-Clause"] and out[4] == []
+    assert out[2] == ["BSD-2-Clause", "BSD-3-Clause"] == out[3]
+
+
 def test_quality_of_odd_rows(docs):
     out = rows_of(quality.judge(docs))
     assert len(out) == len(TEXTS)

@@ -54,6 +54,11 @@ def objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows dealt over all tasks, as a table of few large row groups is read by few."""
+    return df.hint("rebalance", key)
+
+
 def rules(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(
         [(i, *rule) for i, rule in enumerate(RULES)],

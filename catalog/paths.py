@@ -9,7 +9,7 @@ from dockline.operators.classify import classify_paths, resolve_input_path
 from dockline.operators.registry import path_set, sorted_paths
 
 from . import query
-from .fixtures import OBJECTS_SQL, objects
+from .fixtures import OBJECTS_SQL, objects, spread
 
 # Every object, its folder, the folder with a slash, a missing sibling, the root,
 # a folder above, and a text that is only the beginning of a folder's name.
@@ -31,7 +31,7 @@ def probes(spark, sf_dir):
         F.lit("daily/"),
         F.lit("daily/dat"),
     )
-    return objects(spark, sf_dir).select("o_orderkey", "bucket", F.explode(paths).alias("path"))
+    return spread(objects(spark, sf_dir), "o_orderkey").select("o_orderkey", "bucket", F.explode(paths).alias("path"))
 
 
 CLASSES_SQL = f"""

@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 
 def trim_slashes(path: Column) -> Column:
-    return F.regexp_replace(path, "^/+|/+\\z", "")
+    return F.btrim(path, F.lit("/"))
 
 
 def strip_filename(path: Column) -> Column:
     """``a/b/c.csv`` to ``a/b/``; a folder stays; a bare name becomes ``/``."""
-    parent = F.regexp_replace(F.regexp_replace(path, r"[^/]*\z", ""), r"/+\z", "")
+    last = F.substring_index(path, "/", -1)
+    parent = F.rtrim(F.left(path, F.length(path) - F.length(last)), F.lit("/"))
     return F.when(path.endswith("/"), path).otherwise(F.concat(parent, F.lit("/")))
 
 
@@ -21,7 +22,7 @@ def last_segment(path: Column) -> Column:
 
 
 def has_wildcards(path: Column) -> Column:
-    return path.rlike("[*?]")
+    return path.contains("*") | path.contains("?")
 
 
 def build_uri(bucket: Column, path: Column, scheme: str = "gs") -> Column:
@@ -63,16 +64,19 @@ def is_manual(generation: Column) -> Column:
     return generation.isNull()
 
 
+def folder_depth(path: Column) -> Column:
+    """The number of folders above an object."""
+    return F.octet_length(path) - F.octet_length(F.replace(path, F.lit("/"), F.lit("")))
+
+
 def ancestor_folders(path: Column) -> Column:
     """Every folder above an object: ``a/b/c.csv`` to ``[a, a/b]``.
 
     A folder marker ``a/b/`` is above itself.
     """
-    parts = F.split(path, "/")
-    return F.transform(
-        F.slice(parts, 1, F.size(parts) - 1),
-        lambda _, i: F.array_join(F.slice(parts, 1, i + 1), "/"),
-    )
+    depth = folder_depth(path)
+    folders = F.transform(F.sequence(F.lit(1), depth), lambda i: F.call_function("substring_index", path, F.lit("/"), i))
+    return F.when(depth > 0, folders).when(depth == 0, F.array().cast("array<string>"))
 
 
 def decoded_file_path(path: Column | None = None) -> Column:

@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.paths import ancestor_folders, has_wildcards, strip_filename, trim_slashes
+from ..functions.paths import ancestor_folders, folder_depth, has_wildcards, strip_filename, trim_slashes
+
+
+# An index up to this many paths may be broadcast (some hundred bytes each).
+BROADCAST_PATHS = 200_000
 
 
 def path_index(manifest: DataFrame) -> DataFrame:
@@ -25,17 +29,31 @@ def path_index(manifest: DataFrame) -> DataFrame:
     )
 
 
+def _most_paths(manifest: DataFrame) -> int:
+    """No fewer paths than the index has, but for the estimate: objects times the levels of the deepest."""
+    found = manifest.agg(
+        F.approx_count_distinct(F.xxhash64("bucket", "name")).alias("objects"),
+        F.coalesce(F.max(folder_depth(F.col("name"))), F.lit(0)).alias("depth"),
+    ).first()
+    return found.objects * (1 + found.depth)
+
+
 def classify_paths(paths: DataFrame, manifest: DataFrame, path: str = "path") -> DataFrame:
     """Add ``path_class``: ``file``, ``folder`` or ``not_found``.
 
     The bucket root is a folder; an object wins over a folder of the same name.
+    Objects that are listed often make a small index: it is broadcast, so the paths
+    asked for, of which there may be many times more, are neither shuffled nor sorted.
     """
     index = path_index(manifest).select(
         F.col("bucket").alias("_bucket"), F.col("path").alias("_path"), F.col("is_file").alias("_is_file")
     )
-    wanted = trim_slashes(F.coalesce(F.col(path), F.lit("")))
+    if _most_paths(manifest) <= BROADCAST_PATHS:
+        index = F.broadcast(index)
+    wanted = F.col("_wanted")
     return (
-        paths.join(index, (F.col("bucket") == F.col("_bucket")) & (wanted == F.col("_path")), "left")
+        paths.withColumn("_wanted", trim_slashes(F.coalesce(F.col(path), F.lit(""))))
+        .join(index, (F.col("bucket") == F.col("_bucket")) & (wanted == F.col("_path")), "left")
         .withColumn(
             "path_class",
             F.when(wanted == "", F.lit("folder"))
@@ -43,7 +61,7 @@ def classify_paths(paths: DataFrame, manifest: DataFrame, path: str = "path") ->
             .when(F.col("_is_file").isNotNull(), F.lit("folder"))
             .otherwise(F.lit("not_found")),
         )
-        .drop("_bucket", "_path", "_is_file")
+        .drop("_bucket", "_path", "_is_file", "_wanted")
     )
 
 

@@ -8,7 +8,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from dockline.operators import routing
+from dockline.operators import classify, routing
 from dockline.operators.classify import classify_paths, resolve_input_path
 from dockline.operators.factors import grams, literal_factors, rarest_grams
 from dockline.operators.routing import (
@@ -183,6 +183,28 @@ def test_classes(spark):
     assert {(r.bucket, r.path): r.path_class for r in df.collect()} == {(b, p): is_folder(b, p or "") for b, p in probes}
 
 
+@pytest.mark.parametrize("limit", [0, classify.BROADCAST_PATHS])
+def test_a_small_index_is_broadcast(spark, monkeypatch, limit):
+    """Whatever the sizes Spark expects: paths asked for are shuffled only where the index is large."""
+    monkeypatch.setattr(classify, "BROADCAST_PATHS", limit)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        manifest = spark.createDataFrame([*OBJECTS, ("b", None), (None, "a/b")] * 3, "bucket string, name string")
+        asked = [("b", p) for p in ("a", "/a/", "", None, "//", "nothing", "both")] + [(None, "a"), (None, "")]
+        df = classify_paths(spark.createDataFrame(asked, "bucket string, path string"), manifest)
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert ("BroadcastHashJoin" in text) == (limit > 0)
+        assert ("SortMergeJoin" in text) == (limit == 0)
+        found = {(r.bucket, r.path): r.path_class for r in df.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert found == {
+        ("b", "a"): "folder", ("b", "/a/"): "folder", ("b", ""): "folder", ("b", None): "folder", ("b", "//"): "folder",
+        ("b", "nothing"): "not_found", ("b", "both"): "file", (None, "a"): "not_found", (None, ""): "folder",
+    }
+
+
 def test_resolved_paths(spark):
     requests = [
         ("folder", "a/b", "a/b", None),

@@ -2,8 +2,9 @@
 
 A name matches a pattern only if it holds every *factor* of it: text outside of
 repetition, choice, classes and anchors. Each pattern gets one key, the run of
-``GRAM`` characters of its factors that the fewest patterns have; a name has all
-its runs. Patterns that cannot be read with certainty get no key.
+characters of its factors that the fewest patterns have; a name has all its runs.
+Runs are long where a factor is, since the patterns that share a short one grow with
+the registry. Patterns that cannot be read with certainty get no key.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 GRAM = 4
+# Lengths of runs; a pattern takes the first that one of its factors has.
+SIZES = (8, GRAM)
 # Groups within groups are opened up to this depth.
 DEPTH = 6
 
@@ -49,17 +52,28 @@ def literal_factors(pattern: Column) -> Column:
     return F.when(pattern.isNull() | unread, F.array().cast("array<string>")).otherwise(factors)
 
 
-def grams(text: Column) -> Column:
-    """All runs of ``GRAM`` characters of a text, each once."""
-    starts = F.when(F.length(text) >= GRAM, F.sequence(F.lit(1), F.length(text) - GRAM + 1))
-    runs = F.transform(starts, lambda start: F.substring(text, start, F.lit(GRAM)))
+def grams(text: Column, size: int = GRAM) -> Column:
+    """All runs of ``size`` characters of a text, each once."""
+    starts = F.when(F.length(text) >= size, F.sequence(F.lit(1), F.length(text) - size + 1))
+    runs = F.transform(starts, lambda start: F.substring(text, start, F.lit(size)))
     return F.array_distinct(F.coalesce(runs, F.array().cast("array<string>")))
 
 
+def run_size(factors: Column) -> Column:
+    """The length of the runs taken from a pattern's factors; null if there are none."""
+    longest = F.array_max(F.transform(factors, F.length))
+    return F.coalesce(*(F.when(longest >= size, F.lit(size)) for size in SIZES))
+
+
+def _runs(factors: Column, size: int) -> Column:
+    return F.array_distinct(F.flatten(F.transform(factors, lambda factor: grams(factor, size))))
+
+
 def rarest_grams(patterns: DataFrame, pattern: str, group: str) -> DataFrame:
     """``group, pattern, gram``: the run that the fewest patterns of a group have, if there is any."""
-    listed = patterns.select(group, pattern).distinct()
-    runs = F.array_distinct(F.flatten(F.transform(literal_factors(F.col(pattern)), grams)))
+    listed = patterns.select(group, pattern).distinct().withColumn("_factors", literal_factors(F.col(pattern)))
+    size, factors = run_size(F.col("_factors")), F.col("_factors")
+    runs = F.coalesce(*(F.when(size == n, _runs(factors, n)) for n in SIZES))
     held = listed.select(group, pattern, F.explode(runs).alias("gram"))
     sizes = held.groupBy(group, "gram").agg(F.count(F.lit(1)).alias("_holders"))
     ranked = held.join(sizes, [group, "gram"])

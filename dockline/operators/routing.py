@@ -8,9 +8,12 @@ Larger registries are joined. Joining on the bucket alone would try every rule
 of a bucket on every one of its events, so each rule also gets an *anchor*: the
 literal folder its pattern starts with. Events look up the folders above their
 name, and the regex runs only on those candidates. A rule that starts with no
-literal folder is looked up by four literal characters that its matches hold
-somewhere, those that the fewest rules of the bucket have (``factors``). Only rules
-without such characters meet every event of their bucket.
+literal folder is looked up by eight literal characters, or four, that its matches
+hold somewhere, those that the fewest rules of the bucket have (``factors``). Only
+rules without such characters meet every event of their bucket.
+
+Most keys of an event are no rule's. Where a registry is too large to be broadcast,
+a filter of its keys is, so that only keys that may be a rule's are shuffled.
 """
 
 from __future__ import annotations
@@ -23,12 +26,17 @@ from pyspark.sql import functions as F
 from ..functions.paths import ancestor_folders, has_wildcards
 from ..options import translated_regex
 from .classify import classify_paths
-from .factors import grams, rarest_grams
+from .factors import SIZES, grams, literal_factors, rarest_grams, run_size
 
 # A registry up to this many rules is written into the plan.
 INLINE_RULES = 64
 # A registry up to this many rules may be broadcast (a few hundred bytes each).
 BROADCAST_RULES = 100_000
+# A larger one has its keys filtered from this many rules on; four share a word of the filter.
+FILTERED_RULES = 100_000
+KEYS_PER_WORD = 4
+# The filter's words take some 50 MB; beyond that it lets more keys pass, and loses none.
+FILTER_WORDS = 2_000_000
 
 # Marks keys that are literal characters; no folder starts with it.
 _GRAM_KEY = "*"
@@ -99,8 +107,8 @@ def _inline_hits(events: DataFrame, listed: list[Row], bucket: str, name: str) -
     return events.withColumn("_hits", F.coalesce(hits, F.array().cast("array<int>"))), entries
 
 
-def _keyed_rules(rules: DataFrame) -> tuple[DataFrame, bool]:
-    """Rules by bucket and key, and whether some key is literal characters."""
+def _keyed_rules(rules: DataFrame) -> tuple[DataFrame, list[int]]:
+    """Rules by bucket and key, and the lengths of keys that are literal characters."""
     anchored = rules.withColumn("_rule_anchor", rule_anchor(F.col("source_prefix")))
     loose = anchored.filter(F.col("_rule_anchor") == "")
     rare = rarest_grams(loose, "source_prefix", "source_bucket").select(
@@ -108,8 +116,9 @@ def _keyed_rules(rules: DataFrame) -> tuple[DataFrame, bool]:
         F.col("source_prefix").alias("_gram_prefix"),
         F.concat(F.lit(_GRAM_KEY), "gram").alias("_gram"),
     )
-    by_grams = not rare.isEmpty()
-    if by_grams:
+    found = loose.select(run_size(literal_factors(F.col("source_prefix"))).alias("size")).distinct().collect()
+    sizes = [row.size for row in found if row.size]
+    if sizes:
         same = (F.col("source_bucket") == F.col("_gram_bucket")) & (F.col("source_prefix") == F.col("_gram_prefix"))
         found = F.when(F.col("_rule_anchor") == "", F.col("_gram"))
         anchored = anchored.join(rare, same, "left").withColumn("_rule_anchor", F.coalesce(found, "_rule_anchor"))
@@ -124,16 +133,35 @@ def _keyed_rules(rules: DataFrame) -> tuple[DataFrame, bool]:
             F.coalesce("auto_trigger", F.lit(True)).alias("auto_trigger"),
         ).alias("rule"),
     )
-    return keyed, by_grams
+    return keyed, sorted(sizes)
 
 
-def _lookup_keys(text: Column, by_grams: bool) -> Column:
-    """What an event is looked up by: no key, the folders above it, its runs of characters."""
+def _lookup_keys(text: Column, sizes: list[int] | bool) -> Column:
+    """What an event is looked up by: no key, the folders above it, its runs of given lengths or all."""
     folders = F.transform(ancestor_folders(text), lambda folder: F.concat(folder, F.lit("/")))
     keys = F.concat(F.array(F.lit("")), folders)
-    if not by_grams:
-        return keys
-    return F.concat(keys, F.transform(grams(text), lambda gram: F.concat(F.lit(_GRAM_KEY), gram)))
+    for size in SIZES if sizes is True else sizes or ():
+        keys = F.concat(keys, F.transform(grams(text, size), lambda gram: F.concat(F.lit(_GRAM_KEY), gram)))
+    return keys
+
+
+def _filter_bits(bucket: str, key: str, words: int) -> tuple[Column, Column]:
+    """A key's word in the filter, and the three bits that it sets there."""
+    mixed = F.xxhash64(bucket, key)
+    bits = (F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftrightunsigned(mixed, n).bitwiseAND(63).cast("int")) for n in (40, 46, 52))
+    first, second, third = bits
+    return F.pmod(mixed, F.lit(words)), first.bitwiseOR(second).bitwiseOR(third)
+
+
+def _rules_keys_only(keyed: DataFrame, patterns: DataFrame, n_rules: int, bucket: str) -> DataFrame:
+    """Keyed events without most keys that no rule has: a Bloom filter, one word of it for a key."""
+    words = max(1, min(n_rules // KEYS_PER_WORD, FILTER_WORDS))
+    word, bits = _filter_bits("_bucket", "_rule_anchor", words)
+    held = patterns.select(word.alias("_word"), bits.alias("_bits")).groupBy("_word").agg(F.bit_or("_bits").alias("_held"))
+    word, bits = _filter_bits(bucket, "_anchor", words)
+    asked = keyed.withColumns({"_asked": word, "_bits": bits})
+    known = (F.col("_asked") == F.col("_word")) & (F.col("_held").bitwiseAND(F.col("_bits")) == F.col("_bits"))
+    return asked.join(F.broadcast(held), known).select(*keyed.columns)
 
 
 def match_pairs(
@@ -154,8 +182,8 @@ def match_pairs(
         return hit.filter(F.col("_hit").isNotNull()).select(*events.columns, F.get(entries, F.col("_hit")).alias("rule"))
 
     text = F.coalesce(F.col(name), F.lit(""))
-    patterns, by_grams = _keyed_rules(rules)
-    keyed = events.select("*", F.explode(_lookup_keys(text, by_grams)).alias("_anchor"))
+    patterns, sizes = _keyed_rules(rules)
+    keyed = events.select("*", F.explode(_lookup_keys(text, sizes)).alias("_anchor"))
     same = (F.col(bucket) == F.col("_bucket")) & (F.col("_anchor") == F.col("_rule_anchor"))
     # A file or marker rule needs a name to look at.
     found = F.rlike(text, F.col("_pattern")) & ((F.col("rule.mode") == "folder") | (text != ""))
@@ -164,6 +192,8 @@ def match_pairs(
     else:
         # Too many rules to ship everywhere: shuffle both sides. A bucket's events
         # spread over several keys, so a hot bucket does not land on one task.
+        if registry_size(rules, FILTERED_RULES) > FILTERED_RULES:
+            keyed = _rules_keys_only(keyed, patterns, rules.count(), bucket)
         keyed = keyed.withColumn("_salt", F.pmod(F.xxhash64(name), F.lit(salts)).cast("int"))
         spread = patterns.withColumn("_rule_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         joined = keyed.join(spread, same & (F.col("_salt") == F.col("_rule_salt")) & found)

@@ -302,3 +302,35 @@ def test_rarest_run(spark):
     assert ("c", "x+y") not in found
     runs = spark.createDataFrame([("abcde",), ("aaaaaa",), ("abc",), (None,)], "t string").select(grams(F.col("t")).alias("g"))
     assert [r.g for r in runs.collect()] == [["abcd", "bcde"], ["aaaa"], [], []]
+
+
+def test_large_registries_shuffle_few_keys(spark, monkeypatch):
+    """Of the keys of an event those go on that rules have, and no other pair is lost."""
+    n = 3_000
+    rules = [(i, f"r{i}", "b0", rf"[a-z]+/feed{i:05d}x/\d+\.csv$", "file", True) for i in range(n)]
+    rules += [(n, "short", "b0", r"\d/abcd\d", "file", True), (n + 1, "any", "b0", r"\d\d\.\w+$", "file", True)]
+    rules += [(n + 2, "anchored", "b0", "^in/feed00037x/", "folder", True)]
+    events = [(i, "b0", f"in/feed{i * 37 % n:05d}x/{i}.csv") for i in range(500)] + [(500, "b0", "7/abcd7"), (501, None, "7/abcd7")]
+    df, registry = spark.createDataFrame(events, EVENTS), spark.createDataFrame(rules, RULES)
+    patterns, sizes = _keyed_rules(registry)
+    assert sizes == [4, 8]
+    keyed = df.select("*", F.explode(_lookup_keys(F.col("name"), sizes)).alias("_anchor"))
+    kept = routing._rules_keys_only(keyed, patterns, len(rules), "bucket")
+    # No key and the key of its rule, and now and then another one's.
+    assert keyed.count() > 500 * 30 and kept.count() < 500 * 5
+    for name in ("INLINE_RULES", "BROADCAST_RULES", "FILTERED_RULES"):
+        monkeypatch.setattr(routing, name, 0)
+    pairs = match_pairs(df, registry)
+    assert "BroadcastHashJoin" in pairs._jdf.queryExecution().executedPlan().toString()
+    found = {(r.id, r.rule.name) for r in pairs.collect()}
+    wanted = {(i, f"r{i * 37 % n}") for i in range(500)} | {(i, "any") for i in range(10, 500)}
+    assert found == wanted | {(500, "short")} | {(i, "anchored") for i in range(500) if i * 37 % n == 37}
+
+
+def test_filtered_pairs(spark, monkeypatch):
+    for name in ("INLINE_RULES", "BROADCAST_RULES", "FILTERED_RULES"):
+        monkeypatch.setattr(routing, name, 0)
+    monkeypatch.setattr(routing, "FILTER_WORDS", 2)
+    events, rules = make(spark)
+    found = [(r.id, r.rule.name) for r in match_pairs(spark.createDataFrame(events, EVENTS), spark.createDataFrame(rules, RULES)).collect()]
+    assert len(found) == len(set(found)) and set(found) == expected_pairs(events, rules)

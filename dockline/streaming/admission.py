@@ -1,7 +1,10 @@
-"""Admission on a stream with one small state per key.
+"""Admission on a stream with one small task per key as state.
 
 Same decisions as the batch operator. Within a micro-batch a key's events are
 sorted by time; an event older than the last accepted one of its key is ``late``.
+Keys are dealt by their hash to ``GROUPS`` groups, whose tasks are one state: a call
+into Python costs some milliseconds, so one for every key and micro-batch would
+cost far more than the decisions. A group's state is written anew when it is touched.
 A key is forgotten once the watermark passes the expiry of its last task, which
 is later than any look-back. An event behind the watermark whose key is not known
 (any more) is ``late`` as well, without task times: what was accepted around it
@@ -13,13 +16,14 @@ watermark, and a branch of the stream that yields no rows (the clock) follows th
 event times. The query's watermark is the lesser of both, that is the clock's; this
 is Spark's default policy for several watermarks (``multipleWatermarkPolicy=min``).
 
-A micro-batch's events of one key meet in one task, so bound the batch
+A micro-batch's events of one group meet in one task, so bound the batch
 (``maxFilesPerTrigger``). Where a single key floods the stream, use the batch
 operator in ``foreachBatch`` instead, as ``continuous`` does.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
@@ -31,11 +35,15 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from ..constants import ACCEPTED, LATE, UNDATED
 from ..operators.admission import Task, Windows, accept, decide, output_schema, prepare, task_times
 
-_STATE = "created bigint, scheduled bigint, until bigint, expire bigint, uid string, digest string"
+# Groups of keys; the layout of a stream's state, so not to be changed under a checkpoint.
+GROUPS = 1024
+
+# JSON: the last task of each key, and when it is forgotten.
+_STATE = "tasks string"
 _NEVER = -(2**63)
 _ANSWER = ("status", "_created", "_scheduled", "_cooldown_until", "_expire_at")
 _NOTHING = (None,) * 4
-_ROW = ("_at", "_uid", "_digest", "_force", "_double_tap", "_cooldown", "_ttl", "_delay")
+_ROW = ("_key", "_at", "_uid", "_digest", "_force", "_double_tap", "_cooldown", "_ttl", "_delay")
 
 
 def _clocked(stream: DataFrame, events: DataFrame, at: str, watermark: str) -> DataFrame:
@@ -69,9 +77,20 @@ def admit_stateful(
     # pandas would turn nullable longs into floats.
     longs = [f.name for f in events.schema.fields if isinstance(f.dataType, T.LongType)]
     stream = prepare(events, key, F.col(at), uid, content_hash, force, windows)
-    ties = [f"_tie{i}" for i in range(len(order))]
-    stream = stream.drop("_sched", "_until", "_expire", "_seed")
-    stream = stream.withColumns({tie: F.col(name) for tie, name in zip(ties, order)})
+    longs_in_order = {name for name in order if name in longs}
+    ties, tie_columns = [], {}
+    for i, name in enumerate(order):
+        if name in longs_in_order:
+            # Last, as other missing values.
+            tie_columns[f"_void{i}"] = F.col(name).isNull()
+            tie_columns[f"_tie{i}"] = F.coalesce(F.col(name), F.lit(0).cast("bigint"))
+            ties.append(f"_void{i}")
+        else:
+            tie_columns[f"_tie{i}"] = F.col(name)
+        ties.append(f"_tie{i}")
+    stream = stream.drop("_sched", "_until", "_expire", "_seed").withColumns(tie_columns)
+    # No value is missing, so that pandas keeps the column whole.
+    stream = stream.withColumn("_at", F.coalesce("_at", F.lit(_NEVER)))
     stream = stream.withColumns({name: F.col(name).cast("string") for name in longs})
     texts = T.StructType(
         [T.StructField(f.name, T.StringType() if f.name in longs else f.dataType, True) for f in events.schema.fields]
@@ -80,35 +99,46 @@ def admit_stateful(
     stream = _clocked(stream, events, at, watermark)
 
     def step(_: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        rows = pd.concat(list(frames), ignore_index=True)
-        rows = rows.sort_values(["_at", *ties], kind="stable", ignore_index=True)
+        tasks = {k: (Task(*task), until) for k, (task, until) in json.loads(state.get[0]).items()} if state.exists else {}
         clock = state.getCurrentWatermarkMs()
-        last = Task(*state.get) if state.exists else None
-        answers = []
-        for when, u, d, f, dt, cd, ttl, delay in zip(*(rows[name].tolist() for name in _ROW)):
-            if pd.isna(when):
-                answers.append((UNDATED, *_NOTHING))
-                continue
-            # Without undated rows these are whole already; floats hold micros exactly.
-            when = int(when)
-            if last is None and when < clock * 1000:
-                answers.append((LATE, *_NOTHING))
-                continue
-            status = decide(last, when, u, d, f, dt, cd)
-            if status == ACCEPTED:
-                last = accept(when, u, d, f, dt, cd, ttl, delay)
-            answers.append((status, *last[:4]))
-        if last is not None:
-            state.update(tuple(last))
-            state.setTimeoutTimestamp(max(last.expire // 1000, clock + 1))
-        # As objects: empty times would turn the others into floats.
-        given = pd.DataFrame(answers, columns=_ANSWER, dtype=object)
-        yield pd.concat([rows[names], given], axis=1)
-
-    folded = stream.groupBy("_key").applyInPandasWithState(
+        seen: set[str] = set()
+        given = None
+        if not state.hasTimedOut:
+            rows = pd.concat(list(frames), ignore_index=True)
+            rows = rows.sort_values(["_at", *ties], kind="stable", ignore_index=True)
+            answers = []
+            for k, when, u, d, f, dt, cd, ttl, delay in zip(*(rows[name].tolist() for name in _ROW)):
+                seen.add(k)
+                if when == _NEVER:
+                    answers.append((UNDATED, *_NOTHING))
+                    continue
+                last = tasks[k][0] if k in tasks else None
+                if last is None and when < clock * 1000:
+                    answers.append((LATE, *_NOTHING))
+                    continue
+                status = decide(last, when, u, d, f, dt, cd)
+                if status == ACCEPTED:
+                    last = accept(when, u, d, f, dt, cd, ttl, delay)
+                    tasks[k] = last, 0
+                answers.append((status, *last[:4]))
+            # As objects: empty times would turn the others into floats.
+            given = pd.concat([rows[names], pd.DataFrame(answers, columns=_ANSWER, dtype=object)], axis=1)
+        # Keys without events in this micro-batch are forgotten behind the watermark, as Spark does with states.
+        tasks = {
+            k: (task, max(task.expire // 1000, clock + 1) if k in seen else until)
+            for k, (task, until) in tasks.items()
+            if k in seen or until >= clock
+        }
+        if tasks:
+            state.update((json.dumps(tasks),))
+            state.setTimeoutTimestamp(max(min(until for _, until in tasks.values()), clock + 1))
+        elif state.exists:
+            state.remove()
+        if given is not None:
+            yield given
+
+    stream = stream.withColumn("_group", F.pmod(F.xxhash64("_key"), F.lit(GROUPS)))
+    folded = stream.groupBy("_group").applyInPandasWithState(
         step, output_schema(texts), _STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
     return task_times(folded.withColumns({name: F.col(name).cast("bigint") for name in longs}), names)

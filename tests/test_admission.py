@@ -289,6 +289,27 @@ def test_stream_equals_batch(spark, folder, batches):
     assert collected(spark.read.parquet(f"{folder}/out")) == walk(rows, w)
 
 
+def test_stream_keys_share_states(spark, folder, monkeypatch):
+    """Calls and states are bounded by the groups, not by the keys; answers are the batch's."""
+    monkeypatch.setattr("dockline.streaming.admission.GROUPS", 4)
+    w, _ = CASES[0]
+    rows = sorted(make_events(600, 60, 1500, seed=32), key=lambda r: (r[2], r[0]))
+    for start in range(0, len(rows), 250):
+        spark.createDataFrame(rows[start : start + 250], SCHEMA).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    admitted = admit_stateful(
+        stream, F.col("key"), "ts", order=["id"], uid=F.col("uid"), content_hash=F.col("digest"), force=F.col("force"), windows=w
+    )
+    query = (
+        admitted.writeStream.format("parquet").option("path", f"{folder}/out")
+        .option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    states = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert 0 < max(states) <= 4
+    assert collected(spark.read.parquet(f"{folder}/out")) == walk(rows, w)
+
+
 def admitted_files(spark, folder, files):
     """The stream's answers, drained after each file with the default watermark."""
     for rows in files:

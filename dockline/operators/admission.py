@@ -65,6 +65,12 @@ class Windows:
     ttl: timedelta = DEFAULT_TTL
     delay: timedelta = DEFAULT_DELAY
 
+    def micros(self) -> dict[str, int]:
+        """The windows as all events have them."""
+        own = {"_double_tap": self.double_tap, "_cooldown": self.cooldown, "_ttl": self.ttl, "_delay": self.delay}
+        usual = (DEFAULT_DOUBLE_TAP, DEFAULT_COOLDOWN, DEFAULT_TTL, DEFAULT_DELAY)
+        return {name: to_micros(window) or to_micros(default) for (name, window), default in zip(own.items(), usual)}
+
     def columns(self) -> dict[str, Column]:
         return window_columns(
             *(F.lit(to_micros(w)).cast("bigint") for w in (self.double_tap, self.cooldown, self.ttl, self.delay))
@@ -122,16 +128,21 @@ def fold_batch(
     carried = state is not None and columns["_key"][0].as_py() == key
     if carried:
         columns = _with_states(columns, key, [state])
+    rows, status, holder = answered(columns)
+    skip = int(carried)
+    times = [pa.array(values[holder][skip:]) for values in (rows.at, rows.sched, rows.until, rows.expire)]
+    state = _task(rows, columns, int(holder[-1]))
+    return pa.array(status[skip:], pa.string()), times, columns["_key"][-1].as_py(), state
+
+
+def answered(columns: dict[str, pa.Array]) -> tuple[Rows, np.ndarray, np.ndarray]:
+    """Sorted rows, their statuses, and the rows whose tasks they answer with."""
     rows = Rows(columns)
     if rows.uniform():
         accepted = rows.accepted(rows.successors())
     else:
         accepted = _accepted_one_by_one(columns)
-    status, holder = rows.answers(accepted)
-    skip = int(carried)
-    times = [pa.array(values[holder][skip:]) for values in (rows.at, rows.sched, rows.until, rows.expire)]
-    state = _task(rows, columns, int(holder[-1]))
-    return pa.array(status[skip:], pa.string()), times, columns["_key"][-1].as_py(), state
+    return rows, *rows.answers(accepted)
 
 
 def _accepted_one_by_one(columns: dict[str, pa.Array]) -> np.ndarray:

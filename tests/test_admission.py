@@ -346,3 +346,67 @@ def test_stream_sets_undated_events_aside(spark, folder):
     out = {r.id: r for r in admitted_files(spark, folder, files).collect()}
     assert {i: r.status for i, r in out.items()} == {1: "undated", 2: "accepted", 3: "undated", 4: "undated"}
     assert out[1].created_at is None and out[2].created_at is not None
+
+
+def stateful(stream, windows, **more):
+    return admit_stateful(
+        stream, F.col("key"), "ts", order=["id"], uid=F.col("uid"), content_hash=F.col("digest"), force=F.col("force"),
+        windows=windows, **more,
+    )
+
+
+def drained(admitted, folder):
+    admitted.writeStream.format("parquet").option("path", f"{folder}/out").option(
+        "checkpointLocation", f"{folder}/checkpoint"
+    ).trigger(availableNow=True).start().awaitTermination()
+
+
+def test_stream_sends_little_of_an_event_to_python(spark, folder):
+    """Windows that all events share, and a second copy of longs and times, are not sent with each event."""
+    stream = spark.readStream.schema(SCHEMA).parquet(folder)
+    admitted = admit_stateful(stream, F.col("key"), "ts", order=["id"], content_hash=F.col("digest"), windows=CASES[0][0])
+    plan = admitted._jdf.queryExecution().analyzed()
+    while plan.nodeName() != "FlatMapGroupsInPandasWithState":
+        plan = plan.children().apply(0)
+    sent = plan.child().output()
+    names = {sent.apply(i).name() for i in range(sent.size())}
+    assert names == {"id", "key", "uid", "digest", "force", "_key", "_at", "_digest", "_missing0", "_clock", "_group"}
+
+
+def test_stream_keeps_longs_and_times_exact(spark, folder):
+    """Missing ones among them, and times that nanoseconds cannot tell."""
+    rows = [
+        (1, "a", BASE, 2**60 + 1, datetime(1500, 1, 1, tzinfo=timezone.utc)),
+        (None, "a", BASE, None, None),
+        (3, "a", BASE + timedelta(hours=1), 2**62 + 3, datetime(9000, 6, 1, 1, 2, 3, 4, tzinfo=timezone.utc)),
+        (4, "b", None, 5, BASE),
+    ]
+    df = spark.createDataFrame(rows, "id bigint, key string, ts timestamp, big bigint, seen timestamp").coalesce(1)
+    df.write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema(df.schema).parquet(f"{folder}/in")
+    drained(admit_stateful(stream, F.col("key"), "ts", order=["id"], windows=CASES[0][0]), folder)
+    out = spark.read.parquet(f"{folder}/out")
+    assert sorted(map(str, out.select(df.columns).collect())) == sorted(map(str, df.collect()))
+    # A missing value comes last among equal times.
+    assert {r.id: r.status for r in out.collect()} == {1: "accepted", None: "double_tap", 3: "accepted", 4: "undated"}
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_stream_with_late_events_and_changing_windows(spark, folder, seed):
+    """Each event brings its own windows; some of a later file are older than what was accepted."""
+    patient, hasty = CASES[0][0], Windows(timedelta(seconds=2), timedelta(seconds=30), timedelta(hours=2), timedelta(seconds=9))
+    rows = make_events(700, 9, 1500, seed=51 + seed, hot=0.4)
+    even = F.col("id") % 2 == 0
+    mixed = {n: F.when(even, a).otherwise(hasty.columns()[n]) for n, a in patient.columns().items()}
+    cuts = [(0, 600), (540, 1000), (940, 1500)]
+    ledger, expected, rest = [], {}, rows
+    for low, high in cuts:
+        # The overlaps are dealt by id.
+        part = [r for r in rest if r[2] < BASE + timedelta(seconds=high) and (r[0] % 3 or r[2] < BASE + timedelta(seconds=high - 60))]
+        rest = [r for r in rest if r not in part]
+        for row in sorted(part, key=lambda r: (r[1], r[2], r[0])):
+            expected |= walk([row], patient if row[0] % 2 == 0 else hasty, ledger)
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        drained(stateful(spark.readStream.schema(SCHEMA).parquet(f"{folder}/in"), mixed), folder)
+    assert collected(spark.read.parquet(f"{folder}/out")) == expected
+    assert any(status == "late" for status, *_ in expected.values())
